@@ -51,19 +51,24 @@ def unseen_by_title_time(batch: DataFrame, stored: DataFrame, probe: bool = Fals
     return _unseen(batch, stored.where(_has_title_time()), ["title", "published_at"], probe)
 
 
-def new_articles(batch: DataFrame, stored: DataFrame, order_cols: list[str], probe: bool = False) -> DataFrame:
-    """The rows of ``batch`` to store. ``order_cols`` give the arrival order and must make it total.
+def new_articles(
+    batch: DataFrame, stored: DataFrame | None, order_cols: list[str], probe: bool = False
+) -> DataFrame:
+    """The rows of ``batch`` to store, given the ``stored`` ones (None: nothing yet).
 
-    ``probe`` says that the batch holds at most :data:`PROBE_ROWS` rows.
+    ``order_cols`` give the arrival order and must make it total. ``probe`` says that the batch holds at most :data:`PROBE_ROWS` rows.
     """
     keys = ["title", "published_at"]
     no_url = url_missing(F.col("url"))
-    by_url = unseen_by_url(_first_by(batch.where(~no_url), ["url"], order_cols), stored, probe)
+    by_url = _first_by(batch.where(~no_url), ["url"], order_cols)
+    if stored is not None:
+        by_url = unseen_by_url(by_url, stored, probe)
 
     # NULL keys never match anything: they bypass the grouping, or all of them would meet in one task.
     unkeyed = batch.where(no_url & ~_has_title_time())
     keyed = _first_by(batch.where(no_url & _has_title_time()), keys, order_cols)
-    keyed = unseen_by_title_time(keyed, stored, probe)
+    if stored is not None:
+        keyed = unseen_by_title_time(keyed, stored, probe)
 
     # A url row stored earlier in this batch also blocks a later row without url.
     arrival = F.col(order_cols[0]) if len(order_cols) == 1 else F.struct(*order_cols)

@@ -1,8 +1,13 @@
 """Exactly n rows out of many, repeatable and without a big sort.
 
-A plain top-k keeps up to n rows of *every* partition and merges them in one task. With n in the ten thousands and
-many partitions that merge is the bottleneck, so rows are first cut down by a hash threshold. The threshold comes
-from a histogram of 65,536 hash prefixes and is never too low, so the result is the same as without it.
+A plain top-k keeps up to n rows of *every* partition and merges them in one task. With n in the ten thousands, many
+partitions and wide rows, that merge is the bottleneck. Here only hashes are ranked, and only those near the cut:
+
+1. a histogram of 65,536 hash prefixes says below which prefix at least n rows lie;
+2. the n-th smallest hash among those rows is the cut;
+3. every row decides by its own hash whether it is in.
+
+The rows themselves are neither sorted nor moved, and the result is the same as that of the plain top-k.
 """
 
 from __future__ import annotations
@@ -18,15 +23,17 @@ _PREFIX = 4  # hex digits, 16**4 histogram bins
 def random_sample(df: DataFrame, key: str, n: int = 20_000, seed: int = 42) -> DataFrame:
     """Uniform sample of exactly ``n`` rows (all, if there are fewer). ``key`` must be unique."""
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
-    prefix = F.substring("_digest", 1, _PREFIX)
-    hashed = df.withColumn("_digest", digest)
+    hashed = df.select(digest.alias("digest"), F.col(key).alias("key"))
+    prefix = F.substring("digest", 1, _PREFIX)
 
-    bins = hashed.select(prefix.alias("bin")).groupBy("bin").agg(F.count("*").alias("rows"))
+    bins = hashed.groupBy(prefix.alias("bin")).agg(F.count("*").alias("rows"))
     before = F.sum("rows").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
     needed = bins.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < n)
-    threshold = needed.agg(F.max("bin")).scalar()
+    last_bin = needed.agg(F.max("bin")).scalar()
 
-    return hashed.where(prefix <= threshold).orderBy("_digest", key).limit(n).drop("_digest")
+    near = hashed.where(prefix <= last_bin).orderBy("digest", "key").limit(n)
+    cut = near.agg(F.max(F.struct("digest", "key"))).scalar()
+    return df.where(F.struct(digest.alias("digest"), F.col(key).alias("key")) <= cut)
 
 
 def first_n(df: DataFrame, n: int, key: str) -> DataFrame:

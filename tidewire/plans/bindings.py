@@ -65,9 +65,9 @@ def clean(spark: SparkSession, sf_dir: str, summary: bool = False) -> DataFrame:
     return incidents(spark, sf_dir, summary).where(has_coordinates()).select(*CLEAN.names)
 
 
-def incidents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incidents_raw(spark: SparkSession, sf_dir: str, summary: bool = True) -> DataFrame:
     """All columns as text; casualties carry a decimal point and years an exponent in places."""
-    df = incidents(spark, sf_dir, summary=True)
+    df = incidents(spark, sf_dir, summary)
     text = {name: F.col(name).cast("string") for name in RAW_COLUMNS}
     text["nkill"] = F.concat(text["nkill"], F.lit(".0"))
     text["nwound"] = F.when(F.col("eventid") % 4 == 0, F.concat(text["nwound"], F.lit(".5"))).otherwise(text["nwound"])

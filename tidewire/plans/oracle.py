@@ -383,7 +383,7 @@ def _folded(name: str, source: str) -> str:
     return f"""
 {name}_spelled AS (SELECT word, lower(word) AS low, count(*) AS n FROM {source} GROUP BY 1, 2),
 {name}_merged AS (
-  SELECT CASE WHEN s.low IS NOT NULL THEN s.low ELSE w.low END AS key,
+  SELECT w.low, CASE WHEN s.low IS NOT NULL THEN s.low ELSE w.low END AS key,
          CASE WHEN s.low IS NOT NULL THEN substr(w.word, 1, length(w.word) - 1) ELSE w.word END AS form, w.n
   FROM {name}_spelled w
   LEFT JOIN (SELECT DISTINCT low FROM {name}_spelled) s
@@ -425,9 +425,7 @@ bigram AS (
 {_folded('uni', 'unigram')},
 {_folded('bi', 'bigram')},
 lookup AS (
-  SELECT DISTINCT s.low, u.term, u.n FROM uni_spelled s
-  JOIN uni u ON u.key = s.low
-     OR (s.low LIKE '%s' AND s.low NOT LIKE '%ss' AND u.key = substr(s.low, 1, length(s.low) - 1))
+  SELECT l.low, u.term, u.n FROM (SELECT DISTINCT low, key FROM uni_merged) l JOIN uni u ON u.key = l.key
 ),
 counts AS (
   SELECT bi.term AS bigram, x.term AS word1, y.term AS word2, bi.n AS n12, CAST(bi.n AS DOUBLE) AS c12,

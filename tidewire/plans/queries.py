@@ -50,7 +50,7 @@ def clean_incidents(spark, sf):
 
 @query
 def load_clean_report(spark, sf):
-    raw = b.incidents_raw(spark, sf)
+    raw = b.incidents_raw(spark, sf, summary=False)
     return tables.load_report(raw, inc.clean_incidents(raw))
 
 
@@ -128,8 +128,7 @@ def article_dedupe_key(spark, sf):
 
 def _stored_first_half(spark, sf):
     old, fresh = b.first_half(b.articles_in(spark, sf))
-    nothing = spark.createDataFrame([], old.schema)
-    return materialize(dedupe.new_articles(old, nothing, ["off"]), "stored"), fresh
+    return materialize(dedupe.new_articles(old, None, ["off"]), "stored"), fresh
 
 
 @query
@@ -146,8 +145,7 @@ def anti_join_title_time(spark, sf):
 
 @query
 def dedupe_articles(spark, sf):
-    df = b.articles_in(spark, sf)
-    return _article_fields(dedupe.new_articles(df, spark.createDataFrame([], df.schema), ["off"]))
+    return _article_fields(dedupe.new_articles(b.articles_in(spark, sf), None, ["off"]))
 
 
 @query
