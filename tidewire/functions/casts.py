@@ -16,31 +16,23 @@ NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 DATE_START = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 
 
-def _fail(col: Column, wanted: str) -> Column:
-    return F.raise_error(F.concat(F.lit(f"not {wanted}: '"), col, F.lit("'")))
-
-
-def _rounded(col: Column, to: str, cast: str) -> Column:
-    # Whole numbers, the common case, take the first branch; it also keeps all digits of a long.
-    whole = col.try_cast(to)
-    number = F.round(col.cast("double"))
-    return F.coalesce(whole, F.when(col.rlike(NUMBER), getattr(number, cast)(to)))
+def _fail(col: Column, wanted: str, to: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"not {wanted}: '"), col, F.lit("'"))).cast(to)
 
 
 def strict_int(col: Column, to: str = "int") -> Column:
-    return F.when(col.isNull() | col.rlike(NUMBER), _rounded(col, to, "cast")).otherwise(
-        _fail(col, "an integer").cast(to)
-    )
+    # Whole numbers, the common case, take the first branch; it also keeps all digits of a long.
+    rounded = F.round(col.cast("double")).cast(to)
+    other = F.when(col.isNull(), F.lit(None)).when(col.rlike(NUMBER), rounded).otherwise(_fail(col, "an integer", to))
+    return F.coalesce(col.try_cast(to), other)
 
 
 def lenient_int(col: Column, to: str = "int") -> Column:
-    return _rounded(col, to, "try_cast")
+    return F.coalesce(col.try_cast(to), F.when(col.rlike(NUMBER), F.round(col.cast("double")).try_cast(to)))
 
 
 def strict_double(col: Column) -> Column:
-    return F.when(col.isNull() | col.rlike(NUMBER), col.cast("double")).otherwise(
-        _fail(col, "a number").cast("double")
-    )
+    return F.when(col.isNull() | col.rlike(NUMBER), col.cast("double")).otherwise(_fail(col, "a number", "double"))
 
 
 def lenient_double(col: Column) -> Column:

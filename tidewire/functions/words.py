@@ -43,7 +43,6 @@ NEWS_STOPWORDS = ["news", "said", "say", "new", "one", "just", "will", "us", "mr
 _NOT_WORD = r"[^\p{L}\p{N}_\s']"
 _SPACES = r"(?U)\s+"
 _LETTERS = r"^\p{L}+$"
-_DIGITS = r"^\p{Nd}+$"
 
 
 def stopwords(base: Iterable[str] = BASE_STOPWORDS, extra: Iterable[str] = ()) -> list[str]:
@@ -64,22 +63,26 @@ def is_title_token(token: Column, stop: list[str]) -> Column:
     return (F.length(token) > 2) & token.rlike(_LETTERS) & ~token.isin(stop)
 
 
-def word_pattern(min_word_length: int) -> str:
-    """A word starts with a letter, digit or underscore; single characters count only below length 2."""
-    return r"[\p{L}\p{N}_][\p{L}\p{N}_']" + ("*" if min_word_length < 2 else "+")
-
-
 def raw_words(text: Column, min_word_length: int = 2) -> Column:
-    """All words of a text in order, before possessives and numbers are handled."""
-    return F.regexp_extract_all(text, F.lit(word_pattern(min_word_length)), F.lit(0))
+    """All words of a text in order, without numbers; a possessive ``'s`` is still on.
+
+    A word starts with a letter, digit or underscore and may hold apostrophes; single characters count only below
+    length 2. The first branch of the pattern swallows numbers, which leaves an empty group.
+    """
+    start, rest = r"[\p{L}\p{N}_]", r"[\p{L}\p{N}_']"
+    number = rf"\p{{Nd}}+(?:'[sS])?(?!{rest})"
+    word = rf"{start}{rest}" + ("*" if min_word_length < 2 else "+")
+    return F.array_remove(F.regexp_extract_all(text, F.lit(f"{number}|({word})"), F.lit(1)), "")
 
 
 def cut_possessive(word: Column) -> Column:
     return F.when(F.lower(word).endswith("'s"), F.substring(word, F.lit(1), F.length(word) - 2)).otherwise(word)
 
 
-def is_number(word: Column) -> Column:
-    return word.rlike(_DIGITS)
+def is_stop(raw: Column, stop: list[str]) -> Column:
+    """Whether a raw word is a stop word once its possessive is cut."""
+    plain = [word for word in stop if not word.endswith("'s")]
+    return F.lower(raw).isin([*plain, *(word + "'s" for word in stop)])
 
 
 def stem(lower: Column) -> Column:

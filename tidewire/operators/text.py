@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import words as W
 from ..session import materialize
 from .filters import restrict_to
-from .views import cooccurrence, order_rows_by, top_n
+from .views import order_rows_by, top_n
 
 
 def title_tokens(df: DataFrame, col: str, stop: list[str], keep: list[str]) -> DataFrame:
@@ -19,14 +19,22 @@ def title_tokens(df: DataFrame, col: str, stop: list[str], keep: list[str]) -> D
     )
 
 
-def source_tokens(df: DataFrame, stop: list[str], n_sources: int = 20) -> DataFrame:
-    """Counts of (token, source) for the tokens of titles from the most frequent sources.
+def token_counts(df: DataFrame, col: str, stop: list[str], by: list[str] = ()) -> DataFrame:
+    """(by..., token, count). Counts raw tokens first, so that each distinct one is cleaned and tested once."""
+    raw = df.select(*by, F.explode(W.tokenize(F.col(col))).alias("_raw"))
+    counts = raw.groupBy(*by, "_raw").agg(F.count("*").alias("n"))
+    tokens = counts.select(*by, W.strip_quotes(F.col("_raw")).alias("token"), "n")
+    return tokens.where(W.is_title_token(F.col("token"), stop)).groupBy(*by, "token").agg(F.sum("n").alias("count"))
 
-    All later steps only need these counts, so the titles are tokenized once and pre-aggregated.
-    """
+
+def top_tokens(df: DataFrame, col: str, stop: list[str], n: int = 15) -> DataFrame:
+    return token_counts(df, col, stop).orderBy(F.col("count").desc(), "token").limit(n)
+
+
+def source_tokens(df: DataFrame, stop: list[str], n_sources: int = 20) -> DataFrame:
+    """Counts of (token, source) for the titles from the most frequent sources; all later steps start here."""
     sources = top_n(df, "source_name", n_sources, drop_null_keys=True)
-    tokens = title_tokens(restrict_to(df, sources, "source_name"), "title", stop, ["source_name"])
-    return cooccurrence(tokens, "token", "source_name")
+    return token_counts(restrict_to(df, sources, "source_name"), "title", stop, ["source_name"])
 
 
 def ranked_tokens(pair_counts: DataFrame, n: int = 15) -> DataFrame:
@@ -80,29 +88,26 @@ def fold_forms(counts: DataFrame) -> DataFrame:
 
 
 def word_counts(df: DataFrame, col: str, stop: list[str], min_word_length: int = 2) -> DataFrame:
-    """(word, n) of all words that are neither stop words nor numbers, as spelled."""
-    raw = df.select(F.explode(W.raw_words(F.col(col), min_word_length)).alias("_raw"))
-    found = raw.select(W.cut_possessive(F.col("_raw")).alias("word"))
-    keep = ~W.is_number(F.col("word")) & ~F.lower("word").isin(stop)
-    return found.where(keep).groupBy("word").agg(F.count("*").alias("n"))
+    """(word, n) of all words that are neither stop words nor numbers, as spelled; a word may come in two rows."""
+    raw = df.select(F.explode(W.raw_words(F.col(col), min_word_length)).alias("raw"))
+    counts = raw.groupBy("raw").agg(F.count("*").alias("n"))
+    return counts.where(~W.is_stop(F.col("raw"), stop)).select(W.cut_possessive(F.col("raw")).alias("word"), "n")
 
 
 def adjacent_pairs(df: DataFrame, col: str, stop: list[str], min_word_length: int = 2) -> DataFrame:
     """(w1, w2, n): every non-stop word with its successor, NULL if that is a stop word or the text ends.
 
     Pairs are formed inside a row, before stop words go, so there is no shuffle by document. The sum over w2 gives
-    the word counts, so one pass over the texts serves both.
+    the word counts, so one pass over the texts serves both. A pair may come in several rows.
     """
-    kept = F.filter(
-        F.transform(W.raw_words(F.col(col), min_word_length), W.cut_possessive), lambda word: ~W.is_number(word)
-    )
-    texts = df.where(F.col(col).isNotNull()).select(kept.alias("t"))
+    texts = df.where(F.col(col).isNotNull()).select(W.raw_words(F.col(col), min_word_length).alias("t"))
     following = F.slice("t", F.lit(2), F.greatest(F.size("t") - 1, F.lit(0)))
     pairs = texts.select(F.inline(F.arrays_zip(F.col("t").alias("w1"), following.alias("w2"))).alias("w1", "w2"))
-    pairs = pairs.where(~F.lower("w1").isin(stop)).select(
-        "w1", F.when(~F.lower("w2").isin(stop), F.col("w2")).alias("w2")
+    pairs = pairs.where(~W.is_stop(F.col("w1"), stop)).select(
+        "w1", F.when(~W.is_stop(F.col("w2"), stop), F.col("w2")).alias("w2")
     )
-    return pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
+    counts = pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
+    return counts.select(W.cut_possessive(F.col("w1")).alias("w1"), W.cut_possessive(F.col("w2")).alias("w2"), "n")
 
 
 def _log_likelihood(k: Column, n: Column, x: Column) -> Column:

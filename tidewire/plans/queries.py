@@ -343,8 +343,7 @@ def title_tokens(spark, sf):
 
 @query
 def top_keywords(spark, sf):
-    tokens = text.title_tokens(b.articles_in(spark, sf), "title", NEWS_STOP, [])
-    return views.top_n(tokens, "token", 15)
+    return text.top_tokens(b.articles_in(spark, sf), "title", NEWS_STOP, 15)
 
 
 @query
