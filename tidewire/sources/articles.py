@@ -21,11 +21,12 @@ def _object_text(df: DataFrame, col: str) -> Column:
 
 
 def decode_articles(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Adds ``raw_json`` (the message as text), ``doc`` (its fields) and ``decoded`` (false: not a JSON object)."""
-    text = _object_text(df, value_col)
-    out = df.withColumn("raw_json", F.col(value_col).cast("string")).withColumn(
-        "doc", F.from_json(text, ARTICLE_JSON, _JSON)
-    )
+    """Adds ``raw_json`` (the message as text), ``doc`` (its fields) and ``decoded`` (false: not a JSON object).
+
+    The explode of one element keeps later filters above the parse; pushed below, they would repeat it.
+    """
+    doc = F.from_json(_object_text(df, value_col), ARTICLE_JSON, _JSON)
+    out = df.withColumn("raw_json", F.col(value_col).cast("string")).withColumn("doc", F.explode(F.array(doc)))
     return out.withColumn("decoded", F.col("doc").isNotNull() & F.col(f"doc.{CORRUPT}").isNull())
 
 
@@ -61,7 +62,7 @@ def quarantine(extracted: DataFrame, keep: list[str] = ()) -> DataFrame:
 
 
 def decode_pages(df: DataFrame, value_col: str = "value", keep: list[str] = ()) -> DataFrame:
-    page = F.from_json(_object_text(df, value_col), RESPONSE_PAGE, _JSON)
+    page = F.explode(F.array(F.from_json(_object_text(df, value_col), RESPONSE_PAGE, _JSON)))
     return df.select(*keep, F.col(value_col).cast("string").alias("raw_page"), page.alias("_page"))
 
 
