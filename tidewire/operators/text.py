@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import words as W
+from ..functions.once import once
 from ..session import materialize
 from .filters import restrict_to
 from .views import order_rows_by, top_n
@@ -150,7 +151,7 @@ def _collocations(pairs: DataFrame, unigrams: DataFrame, threshold: float) -> Da
     total = pairs.agg(F.sum("n")).scalar()
     scored = bigrams.join(first, "s1").join(second, "s2").withColumn("total", total)
     score = association(F.col("c12"), F.col("c1"), F.col("c2"), F.col("total"))
-    return scored.select("bigram", "word1", "word2", "c12", "c1", "c2", score.alias("score")).where(
+    return scored.select("bigram", "word1", "word2", "c12", "c1", "c2", once(score).alias("score")).where(
         F.col("score") > threshold
     )
 

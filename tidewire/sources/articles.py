@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from ..functions.casts import ntz_to_iso, to_ntz
+from ..functions.once import once
 from ..schemas import ARTICLE_JSON, ARTICLES, CORRUPT, RESPONSE_PAGE
 
 _JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -21,12 +22,9 @@ def _object_text(df: DataFrame, col: str) -> Column:
 
 
 def decode_articles(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Adds ``raw_json`` (the message as text), ``doc`` (its fields) and ``decoded`` (false: not a JSON object).
-
-    The explode of one element keeps later filters above the parse; pushed below, they would repeat it.
-    """
+    """Adds ``raw_json`` (the message as text), ``doc`` (its fields) and ``decoded`` (false: not a JSON object)."""
     doc = F.from_json(_object_text(df, value_col), ARTICLE_JSON, _JSON)
-    out = df.withColumn("raw_json", F.col(value_col).cast("string")).withColumn("doc", F.explode(F.array(doc)))
+    out = df.withColumn("raw_json", F.col(value_col).cast("string")).withColumn("doc", once(doc))
     return out.withColumn("decoded", F.col("doc").isNotNull() & F.col(f"doc.{CORRUPT}").isNull())
 
 
@@ -62,7 +60,7 @@ def quarantine(extracted: DataFrame, keep: list[str] = ()) -> DataFrame:
 
 
 def decode_pages(df: DataFrame, value_col: str = "value", keep: list[str] = ()) -> DataFrame:
-    page = F.explode(F.array(F.from_json(_object_text(df, value_col), RESPONSE_PAGE, _JSON)))
+    page = once(F.from_json(_object_text(df, value_col), RESPONSE_PAGE, _JSON))
     return df.select(*keep, F.col(value_col).cast("string").alias("raw_page"), page.alias("_page"))
 
 
