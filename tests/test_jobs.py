@@ -1,0 +1,92 @@
+import pytest
+
+from conftest import rows
+from tidewire.plans import bindings, jobs
+from tidewire.plans.queries import QUERIES
+from tidewire.session import materialize, scratch_path, shared_dir, spread
+from tidewire.sources import tables
+
+
+def test_incident_job(spark, sf):
+    csv, out = scratch_path(spark, "csv"), scratch_path(spark, "out")
+    bindings.incidents_raw(spark, sf).write.options(header=True, quote='"', escape='"').csv(csv)
+    report = jobs.run_incident_job(spark, csv, out)
+    assert (report["raw_rows"], report["clean_rows"]) == (1500, 1470)
+    assert len(report["views"]) == 12
+    for view, query in {
+        "incidents_per_year": "incidents_per_year",
+        "attack_trend": "attack_year_trend",
+        "attack_target_matrix": "attack_target_matrix",
+    }.items():
+        assert rows(spark.read.parquet(f"{out}/views/{view}")) == rows(QUERIES[query](spark, sf))
+    words = spark.read.parquet(f"{out}/views/summary_words")
+    assert rows(words.select("term", "count")) == rows(QUERIES["summary_word_freq"](spark, sf).select("term", "count"))
+
+
+def test_incident_job_stops_on_a_bad_value(spark, tmp_path):
+    from tidewire.schemas import RAW_COLUMNS
+
+    line = ["many" if name == "nkill" else "1" for name in RAW_COLUMNS]
+    (tmp_path / "in.csv").write_text(",".join(RAW_COLUMNS) + "\n" + ",".join(line) + "\n")
+    out = scratch_path(spark, "out")
+    with pytest.raises(Exception):
+        jobs.run_incident_job(spark, str(tmp_path / "in.csv"), out)
+    report = jobs.run_incident_job(spark, str(tmp_path / "in.csv"), out, on_error="null")
+    assert (report["raw_rows"], report["clean_rows"]) == (1, 1)
+
+
+def test_news_job(spark, sf):
+    out = scratch_path(spark, "news")
+    outcome = jobs.run_news_job(spark, bindings.articles_in(spark, sf), out)
+    assert outcome == dict.fromkeys(["title_words", "top_sources", "keyword_source_matrix"], "ok")
+    assert rows(tables.read_table(spark, f"{out}/top_sources")) == rows(QUERIES["top_sources"](spark, sf))
+
+
+def test_news_job_survives_a_failing_analysis(spark, sf):
+    articles = bindings.articles_in(spark, sf).drop("title")
+    outcome = jobs.run_news_job(spark, articles, scratch_path(spark, "news"))
+    assert outcome["top_sources"] == "ok"
+    assert outcome["title_words"] != "ok" and outcome["keyword_source_matrix"] != "ok"
+
+
+def test_export_results(spark):
+    path = scratch_path(spark, "export")
+    good = spark.range(3)
+    bad = spark.range(1).selectExpr("cast('x' AS int) AS v")
+    outcome = tables.export_results({"good": good, "bad": bad}, path)
+    assert outcome["good"] == "ok" and outcome["bad"] != "ok"
+    assert tables.export_results({"good": spark.range(2)}, path) == {"good": "ok"}
+    assert spark.read.parquet(f"{path}/good").count() == 2
+
+
+def test_explore(spark, sf):
+    clean = bindings.clean(spark, sf, summary=True)
+    views = jobs.explore(clean, (1995, 2001), region="ASIA")
+    total = clean.where("region_txt = 'ASIA'").count()
+    assert views["kpis"].first().total_incidents == total
+    assert views["regions"].collect()[0]["count"] == total
+    assert views["summary_words"].count() > 0
+    assert views["map_frames"].count() > total
+    sampled = jobs.explore(clean, (1995, 2001), sample_n=50)
+    assert sampled["kpis"].first().total_incidents == 50
+
+
+def test_explore_nothing(spark, sf):
+    views = jobs.explore(bindings.clean(spark, sf, summary=True), (1800, 1801))
+    assert rows(views.pop("kpis")) == [(0, 0, 0)]
+    assert {name: df.count() for name, df in views.items()} == dict.fromkeys(views, 0)
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    df = materialize(spark.range(5), "five")
+    assert shared_dir(spark) in df.inputFiles()[0]
+
+
+def test_spread_only_small_inputs(spark, sf):
+    few = bindings.table(spark, sf, "orders")
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    path = scratch_path(spark, "many")
+    spark.range(100).repartition(16).write.parquet(path)
+    many = spark.read.parquet(path)
+    assert spread(many) is many

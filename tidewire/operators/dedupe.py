@@ -32,13 +32,12 @@ def _unseen(batch: DataFrame, stored: DataFrame, keys: list[str], probe: bool) -
         # The batch is known to be small: find its keys in one column-pruned pass over the stored table instead of
         # shuffling that table. The hash only preselects; the anti join below compares the keys themselves.
         hashes = batch.select(F.xxhash64(*keys).alias("_hash"))
-        stored_keys = (
-            stored_keys.withColumn("_hash", F.xxhash64(*keys))
-            .join(F.broadcast(hashes), "_hash", "left_semi")
-            .select(*keys)
-            .distinct()
-        )
-    return batch.join(stored_keys, keys, "left_anti")
+        stored_keys = stored_keys.withColumn("_hash", F.xxhash64(*keys)).join(
+            F.broadcast(hashes), "_hash", "left_semi"
+        ).select(*keys)
+    # Distinct before the join: a key stored many times is cut down inside each map task, and the join uses the
+    # partitioning of the distinct. A key that is hot in the batch is split by the adaptive skew join.
+    return batch.join(stored_keys.distinct(), keys, "left_anti")
 
 
 def unseen_by_url(batch: DataFrame, stored: DataFrame, probe: bool = False) -> DataFrame:

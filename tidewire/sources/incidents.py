@@ -17,13 +17,14 @@ def select_raw(df: DataFrame) -> DataFrame:
     return df.select(*RAW_COLUMNS)
 
 
-def read_incident_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_incident_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """All columns as text by header name; rows with too few or too many fields are skipped.
 
     No schema is passed on purpose: the header may hold more columns than are kept. Quoted line breaks need
-    ``multiLine``, which reads a file as one split: land the data as many files, and store it as Parquet once.
+    ``multi_line``, which reads each file in one task: land the data as many files, or switch it off for data
+    without line breaks in fields, and store the table as Parquet once.
     """
-    reader = spark.read.options(header=True, mode="DROPMALFORMED", multiLine=True, quote='"', escape='"')
+    reader = spark.read.options(header=True, mode="DROPMALFORMED", multiLine=multi_line, quote='"', escape='"')
     return select_raw(reader.csv(path))
 
 
