@@ -76,6 +76,25 @@ def test_small_batches_give_the_same_table(pipe):
     assert pipe.stored().select("batch_id").distinct().count() == 3
 
 
+def test_stream_goes_on_after_compaction(pipe):
+    for part in (("a", "b"), ("b", "c"), ("d",)):
+        pipe.land(*[message(url) for url in part])
+        pipe.run()
+    before = rows(pipe.stored().drop("batch_id"))
+    new_path = scratch_path(pipe.spark, "compact")
+    tables.compact_articles(pipe.spark, pipe.path, new_path)
+    pipe.path = new_path
+    assert rows(pipe.stored().drop("batch_id")) == before
+    assert rows(pipe.stored().select("batch_id").distinct()) == [(-1,), (2,)]
+    pipe.land(message("a"), message("e"))
+    pipe.run()
+    assert rows(pipe.stored().select("url", "batch_id").where("batch_id > 2")) == [("e", 3)]
+    empty = scratch_path(pipe.spark, "empty")
+    tables.ensure_articles(pipe.spark, empty)
+    tables.compact_articles(pipe.spark, empty, f"{empty}-compact")
+    assert tables.read_articles(pipe.spark, f"{empty}-compact").count() == 0
+
+
 def test_replay_idempotent(spark):
     path = scratch_path(spark, "stored")
     tables.ensure_articles(spark, path)

@@ -142,6 +142,9 @@ def test_plans(spark, sf):
 
     for name in ("top_countries", "deadliest_groups", "latest_articles", "top_sources", "top_keywords"):
         assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, sf)), name
+    for name in ("keyword_source_long", "keyword_source_matrix"):
+        text = plan(QUERIES[name](spark, sf))
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text, name
     for name, query in QUERIES.items():
         if name == "stream_ingest_articles":
             continue

@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 
 # Plain decimal notation. Without it, casts would also take Java forms such as '1d' or 'NaN'.
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+WHOLE = r"^\s*[+-]?\d+\s*$"
 # A timestamp needs at least a full date.
 DATE_START = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 
@@ -20,15 +21,20 @@ def _fail(col: Column, wanted: str, to: str) -> Column:
     return F.raise_error(F.concat(F.lit(f"not {wanted}: '"), col, F.lit("'"))).cast(to)
 
 
+def _rounded(col: Column, to: str, cast: str) -> Column:
+    # A failing try_cast costs an exception per row, so the notation is tested first and casts hardly ever fail.
+    number = getattr(F.round(col.cast("double")), cast)(to)
+    if to == "int":
+        return number
+    return F.when(col.rlike(WHOLE), getattr(col, cast)(to)).otherwise(number)  # a double would lose digits
+
+
 def strict_int(col: Column, to: str = "int") -> Column:
-    # Whole numbers, the common case, take the first branch; it also keeps all digits of a long.
-    rounded = F.round(col.cast("double")).cast(to)
-    other = F.when(col.isNull(), F.lit(None)).when(col.rlike(NUMBER), rounded).otherwise(_fail(col, "an integer", to))
-    return F.coalesce(col.try_cast(to), other)
+    return F.when(col.isNull() | col.rlike(NUMBER), _rounded(col, to, "cast")).otherwise(_fail(col, "an integer", to))
 
 
 def lenient_int(col: Column, to: str = "int") -> Column:
-    return F.coalesce(col.try_cast(to), F.when(col.rlike(NUMBER), F.round(col.cast("double")).try_cast(to)))
+    return F.when(col.rlike(NUMBER), _rounded(col, to, "try_cast"))
 
 
 def strict_double(col: Column) -> Column:

@@ -74,5 +74,6 @@ def filter_options(df: DataFrame, col: str, where: Column | None = None) -> Data
 
 
 def restrict_to(df: DataFrame, keys: DataFrame, col: str) -> DataFrame:
-    """Rows whose ``col`` is in a short key list. ``keys`` must be a top-n result, which bounds the broadcast."""
-    return df.join(F.broadcast(keys.select(col)), col, "left_semi")
+    """Rows whose ``col`` is in a key list. Spark knows the size of a top-n list and broadcasts it; a long list
+    is joined by shuffle."""
+    return df.join(keys.select(col), col, "left_semi")

@@ -90,8 +90,8 @@ def crosstab(
 
 
 def order_rows_by(matrix: DataFrame, ranked: DataFrame, key: str, rank: str) -> DataFrame:
-    """Rows of ``matrix`` in the order of a short ranked list of keys (a top-n, so it is safe to broadcast)."""
-    return matrix.join(F.broadcast(ranked.select(key, rank)), key).orderBy(rank)
+    """Rows of ``matrix`` in the order of a ranked list of keys."""
+    return matrix.join(ranked.select(key, rank), key).orderBy(rank)
 
 
 def trend(df: DataFrame, drop_null_keys: bool = False, attack: str = "attack") -> DataFrame:

@@ -13,7 +13,7 @@ from ..sources.tables import export_results, read_table, write_clean, write_raw
 
 def incident_views(clean: DataFrame) -> dict[str, DataFrame]:
     """The batch views over the clean table; each scans only the columns it needs."""
-    density = geo.kde_grid(clean, "longitude", "latitude")
+    density = materialize(geo.kde_grid(clean, "longitude", "latitude"), "density")
     return {
         "incidents_per_year": views.incidents_per_year(clean),
         "fatalities_per_year": views.fatalities_per_year(clean),

@@ -56,6 +56,23 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType([*ARTICLES.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
 
 
+def compact_articles(spark: SparkSession, path: str, new_path: str) -> None:
+    """Copy an article table into few large files, for use when it has gathered many small batches.
+
+    Run it while the stream is stopped, then go on with the same checkpoint and ``new_path``. The newest batch
+    keeps its own folder, because the stream may replay it.
+    """
+    stored = read_articles(spark, path)
+    newest = stored.agg(F.max("batch_id")).first()[0]
+    if newest is None:
+        ensure_articles(spark, new_path)
+        return
+    older = stored.where(F.col("batch_id") < newest).drop("batch_id")
+    older.hint("rebalance").write.parquet(f"{new_path}/batch_id=-1")
+    last = stored.where(F.col("batch_id") == newest).drop("batch_id")
+    last.write.mode("append").parquet(f"{new_path}/batch_id={newest}")
+
+
 def export_results(results: dict[str, DataFrame], path: str) -> dict[str, str]:
     """One Parquet dataset per view. A view that fails does not stop the others; returns name -> 'ok' or the error."""
     outcome = {}
