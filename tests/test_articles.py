@@ -153,3 +153,26 @@ def test_parse_happens_once(spark):
     df = spark.createDataFrame([(b"{}",)], "value binary")
     out = articles.accepted(articles.extract_article(articles.decode_articles(df)))
     assert plan(out).count("from_json") == 1
+
+
+def test_nothing_in_nothing_out(spark):
+    empty = batch(spark, ("A", "u", DAY)).where("false")
+    some = batch(spark, ("A", "u", DAY))
+    assert dedupe.new_articles(empty, None, ["off"]).count() == 0
+    for probe in (False, True):
+        assert dedupe.new_articles(empty, some, ["off"], probe).count() == 0
+        assert dedupe.new_articles(some, empty, ["off"], probe).count() == 1
+    out = articles.extract_article(articles.decode_articles(spark.createDataFrame([], "value binary")))
+    assert articles.accepted(out).count() == 0 and articles.quarantine(out).count() == 0
+
+
+def test_a_batch_without_titles_to_look_up_does_not_read_the_store(spark):
+    """With the probe, an empty key list is known before the stored table is scanned."""
+    from tidewire.session import materialize
+
+    stored = materialize(batch(spark, ("A", None, DAY)), "stored")
+    keyed = materialize(batch(spark, ("A", None, DAY)), "batch").where("length(title) > 5")
+    result = dedupe.unseen_by_title_time(keyed, stored, probe=True).agg(F.count("*"))
+    result.collect()
+    final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert stored.inputFiles()[0].rsplit("/", 2)[1] not in final

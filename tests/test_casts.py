@@ -27,12 +27,17 @@ def test_long_keeps_all_digits(spark):
     assert one(df, casts.strict_int(F.col("v"), "bigint")) == [9007199254740993, 197001010001, 13]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize("text", ["", "abc", "NaN", "12d", "99999999999"])
-def test_bad_integer_fails_or_is_null(spark, text):
+def test_bad_integer_fails_or_is_null(spark, text, ansi):
     df = column(spark, [text])
-    assert one(df, casts.lenient_int(F.col("v"))) == [None]
-    with pytest.raises(Exception):
-        df.select(casts.strict_int(F.col("v"))).collect()
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert one(df, casts.lenient_int(F.col("v"))) == [None]
+        with pytest.raises(Exception):
+            df.select(casts.strict_int(F.col("v"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 @pytest.mark.parametrize("text", ["", "north", "1.5d"])

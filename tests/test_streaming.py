@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +143,17 @@ def test_unknown_source(spark):
         stream.read_article_stream(spark, "carrier pigeon", {"path": "x"})
 
 
+def test_topic_is_read_from_its_start():
+    """No connector here: only the options are checked."""
+    spark = MagicMock()
+    stream.read_article_stream(spark, "kafka", {"subscribe": "news", "maxOffsetsPerTrigger": "50"})
+    reader = spark.readStream.format
+    reader.assert_called_once_with("kafka")
+    reader.return_value.options.assert_called_once_with(
+        startingOffsets="earliest", subscribe="news", maxOffsetsPerTrigger="50"
+    )
+
+
 def test_watermark_dedupe(spark, pipe):
     pipe.land(message("a", published="2025-01-01T00:00:00Z"), message("a", published="2025-01-01T00:10:00Z"),
               message("b", published="2025-01-01T00:20:00Z"))

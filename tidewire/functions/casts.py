@@ -17,32 +17,30 @@ WHOLE = r"^\s*[+-]?\d+\s*$"
 DATE_START = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 
 
-def _fail(col: Column, wanted: str, to: str) -> Column:
-    return F.raise_error(F.concat(F.lit(f"not {wanted}: '"), col, F.lit("'"))).cast(to)
+def _or_fail(col: Column, value: Column, to: str) -> Column:
+    error = F.raise_error(F.concat(F.lit(f"not a valid {to}: '"), col, F.lit("'"))).cast(to)
+    return F.when(col.isNull(), F.lit(None)).otherwise(F.coalesce(value, error))
 
 
-def _rounded(col: Column, to: str, cast: str) -> Column:
+def lenient_int(col: Column, to: str = "int") -> Column:
     # A failing try_cast costs an exception per row, so the notation is tested first and casts hardly ever fail.
-    number = getattr(F.round(col.cast("double")), cast)(to)
-    if to == "int":
-        return number
-    return F.when(col.rlike(WHOLE), getattr(col, cast)(to)).otherwise(number)  # a double would lose digits
+    number = F.round(col.cast("double")).try_cast(to)
+    if to != "int":
+        # A double would lose the last digits of a long.
+        number = F.when(col.rlike(WHOLE), col.try_cast(to)).otherwise(number)
+    return F.when(col.rlike(NUMBER), number)
 
 
 def strict_int(col: Column, to: str = "int") -> Column:
-    return F.when(col.isNull() | col.rlike(NUMBER), _rounded(col, to, "cast")).otherwise(_fail(col, "an integer", to))
+    return _or_fail(col, lenient_int(col, to), to)
 
 
-def lenient_int(col: Column, to: str = "int") -> Column:
-    return F.when(col.rlike(NUMBER), _rounded(col, to, "try_cast"))
+def lenient_double(col: Column) -> Column:
+    return F.when(col.rlike(NUMBER), col.cast("double"))
 
 
 def strict_double(col: Column) -> Column:
-    return F.when(col.isNull() | col.rlike(NUMBER), col.cast("double")).otherwise(_fail(col, "a number", "double"))
-
-
-def lenient_double(col: Column) -> Column:
-    return F.when(col.rlike(NUMBER), col.try_cast("double"))
+    return _or_fail(col, lenient_double(col), "double")
 
 
 def to_ntz(col: Column) -> Column:

@@ -40,8 +40,7 @@ you you'd you'll you're you've your yours yourself yourselves
 NEWS_STOPWORDS = ["news", "said", "say", "new", "one", "just", "will", "us", "mr", "mrs", "ms", "also"]
 
 # Java's \w is ASCII only; these classes follow Unicode.
-_NOT_WORD = r"[^\p{L}\p{N}_\s']"
-_SPACES = r"(?U)\s+"
+_BETWEEN = r"[^\p{L}\p{N}_']+"
 _LETTERS = r"^\p{L}+$"
 
 
@@ -51,8 +50,9 @@ def stopwords(base: Iterable[str] = BASE_STOPWORDS, extra: Iterable[str] = ()) -
 
 
 def tokenize(text: Column) -> Column:
-    """Array of the candidate title tokens; filter them with :func:`is_title_token` after the explode."""
-    return F.split(F.regexp_replace(F.lower(text), _NOT_WORD, " "), _SPACES)
+    """Array of the candidate title tokens: what lies between runs of anything but word characters and apostrophes.
+    Filter them with :func:`is_title_token` after the explode."""
+    return F.split(F.lower(text), _BETWEEN)
 
 
 def strip_quotes(token: Column) -> Column:
