@@ -125,6 +125,20 @@ def test_decode_and_quarantine(spark):
     assert rejected == [(1, "invalid json"), (3, "bad timestamp"), (5, "invalid json"), (6, "invalid json")]
 
 
+@pytest.mark.parametrize(
+    "text",
+    ['{"title": "a"} xyz', '{"title": "a"}, {"title": "b"}', "{'title': 'a'}", '{"title": "a"', '"title"', "null", "",
+     '{"title": "line\nbreak"}', '{title: "a"}'],
+)
+def test_only_one_whole_object_decodes(spark, text):
+    assert [r.reject_reason for r in extract(spark, text.encode()).collect()] == ["invalid json"]
+
+
+def test_odd_but_valid_messages_decode(spark):
+    out = extract(spark, b' {"title": 5, "source": null} ', b'{"title": {"a": 1}, "url": true}')
+    assert rows(articles.accepted(out).select("i", "title", "url")) == [(0, "5", None), (1, '{"a":1}', "true")]
+
+
 def test_response_pages(spark):
     pages = [
         {"status": "ok", "articles": [{"title": "a", "source": {"name": "S"}}, {"title": "b"}]},
@@ -176,3 +190,10 @@ def test_a_batch_without_titles_to_look_up_does_not_read_the_store(spark):
     result.collect()
     final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert stored.inputFiles()[0].rsplit("/", 2)[1] not in final
+
+
+def test_publishing_goes_to_the_topic_sink(spark):
+    """The connector is not installed here, so the job stops at that source."""
+    df = spark.createDataFrame([("u", "t")], "url string, title string")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        articles.publish_articles(df, "news", {"kafka.bootstrap.servers": "nowhere:9092"})

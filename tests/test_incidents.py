@@ -48,6 +48,17 @@ def test_malformed_csv_rows_are_skipped(spark, tmp_path):
     assert df.select("city").count() == 5
 
 
+def test_rows_in_another_encoding_are_skipped(spark, tmp_path):
+    lines = [",".join(WIDE), csv_line("São"), csv_line("plain"), csv_line("cafe")]
+    raw_bytes = "\n".join(lines).encode().replace(b"cafe", b"caf\xe9")
+    (tmp_path / "in.csv").write_bytes(raw_bytes)
+    df = incidents.read_incident_csv(spark, str(tmp_path / "in.csv"))
+    assert sorted(r.summary for r in df.collect()) == ["São", "plain"]
+    assert df.select("city").count() == 2
+    latin = incidents.read_incident_csv(spark, str(tmp_path / "in.csv"), multi_line=False, encoding="ISO-8859-1")
+    assert "café" in [r.summary for r in latin.collect()]
+
+
 def test_clean_types_and_filter(spark):
     df = raw(spark, record(nkill="3.0", nwound="2.5"), record(nkill="bad", latitude=None))
     clean = incidents.clean_incidents(df)

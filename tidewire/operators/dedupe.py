@@ -55,7 +55,8 @@ def new_articles(
 ) -> DataFrame:
     """The rows of ``batch`` to store, given the ``stored`` ones (None: nothing yet).
 
-    ``order_cols`` give the arrival order and must make it total. ``probe`` says that the batch holds at most :data:`PROBE_ROWS` rows.
+    ``order_cols`` give the arrival order and must make it total. ``probe`` says that the batch holds at most
+    :data:`PROBE_ROWS` rows.
     """
     keys = ["title", "published_at"]
     no_url = url_missing(F.col("url"))

@@ -94,13 +94,12 @@ def kde_grid(
     placed = weighted.withColumn("s", stats).where(det > 0).select("x", "y", "w", grid.alias("g"))
     g = F.col("g")
     steps = F.sequence(F.lit(0), F.lit(gridsize - 1))
+    px, py = g.gx + F.col("ix") * g.sx, g.gy + F.col("iy") * g.sy
     columns = placed.withColumn("ix", F.explode(steps)).select(
-        "y", "w", "g", "ix", (g.gx + F.col("ix") * g.sx).alias("px"), (g.gx + F.col("ix") * g.sx - F.col("x")).alias("dx")
+        "y", "w", "g", "ix", px.alias("px"), (px - F.col("x")).alias("dx")
     )
     cells = columns.withColumn("iy", F.explode(steps)).select(
-        "w", "g", "ix", "iy", "px", "dx",
-        (g.gy + F.col("iy") * g.sy).alias("py"),
-        (g.gy + F.col("iy") * g.sy - F.col("y")).alias("dy"),
+        "w", "g", "ix", "iy", "px", "dx", py.alias("py"), (py - F.col("y")).alias("dy")
     )
     dx, dy = F.col("dx"), F.col("dy")
     distance = g.axx * dx * dx + F.lit(2e0) * g.axy * dx * dy + g.ayy * dy * dy

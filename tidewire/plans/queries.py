@@ -11,7 +11,7 @@ from ..functions.articles import dedupe_key, url_missing
 from ..functions.casts import ntz_to_iso
 from ..functions.words import BASE_STOPWORDS, NEWS_STOPWORDS, stopwords
 from ..operators import dedupe, filters, frames, geo, sampling, text, views
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch_path, spread
 from ..sources import articles as art
 from ..sources import incidents as inc
 from ..sources import tables
@@ -397,7 +397,7 @@ def kde_density(spark, sf):
 
 
 def _vector_points(spark, sf):
-    return b.table(spark, sf, "embeddings").select(
+    return spread(b.table(spark, sf, "embeddings")).select(
         F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y")
     )
 

@@ -53,7 +53,6 @@ ARTICLES = T.StructType([
 ])
 
 # The fields read from an article message. ``source`` stays text here: it may be an object or anything else.
-CORRUPT = "_corrupt"
 ARTICLE_JSON = T.StructType([
     T.StructField("title", T.StringType()),
     T.StructField("url", T.StringType()),
@@ -61,7 +60,6 @@ ARTICLE_JSON = T.StructType([
     T.StructField("author", T.StringType()),
     T.StructField("description", T.StringType()),
     T.StructField("content", T.StringType()),
-    T.StructField(CORRUPT, T.StringType()),
 ])
 
 # One page of API results; each article stays a JSON text so that it decodes like a message.
@@ -69,7 +67,6 @@ RESPONSE_PAGE = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("message", T.StringType()),
     T.StructField("articles", T.ArrayType(T.StringType())),
-    T.StructField(CORRUPT, T.StringType()),
 ])
 
 # Messages landed as files carry the columns a topic would give.

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
 from ..functions.casts import ntz_to_iso, to_ntz
 from ..functions.once import once
-from ..schemas import ARTICLE_JSON, ARTICLES, CORRUPT, RESPONSE_PAGE
+from ..schemas import ARTICLE_JSON, ARTICLES, RESPONSE_PAGE
 
-_JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+# As strict as the JSON standard about quotes.
+_JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
 def _object_text(df: DataFrame, col: str) -> Column:
@@ -21,11 +22,21 @@ def _object_text(df: DataFrame, col: str) -> Column:
     return F.when(F.ltrim(text).startswith("{"), text)
 
 
+def _with_object(df: DataFrame, col: str, schema: StructType, name: str) -> DataFrame:
+    """Adds the one JSON object that is the whole of a text as a struct; NULL for anything else.
+
+    The text is parsed as the only element of an array, because a plain parse would overlook what follows the object.
+    """
+    element = F.concat(F.lit("["), _object_text(df, col), F.lit("]"))
+    parsed = df.withColumn("_parsed", once(F.from_json(element, ArrayType(schema), _JSON)))
+    only = F.when(F.size("_parsed") == 1, F.col("_parsed")[0])
+    return parsed.withColumn(name, only).drop("_parsed")
+
+
 def decode_articles(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``raw_json`` (the message as text), ``doc`` (its fields) and ``decoded`` (false: not a JSON object)."""
-    doc = F.from_json(_object_text(df, value_col), ARTICLE_JSON, _JSON)
-    out = df.withColumn("raw_json", F.col(value_col).cast("string")).withColumn("doc", once(doc))
-    return out.withColumn("decoded", F.col("doc").isNotNull() & F.col(f"doc.{CORRUPT}").isNull())
+    out = _with_object(df, value_col, ARTICLE_JSON, "doc")
+    return out.withColumns({"raw_json": F.col(value_col).cast("string"), "decoded": F.col("doc").isNotNull()})
 
 
 def extract_article(decoded: DataFrame, keep: list[str] = ()) -> DataFrame:
@@ -60,12 +71,12 @@ def quarantine(extracted: DataFrame, keep: list[str] = ()) -> DataFrame:
 
 
 def decode_pages(df: DataFrame, value_col: str = "value", keep: list[str] = ()) -> DataFrame:
-    page = once(F.from_json(_object_text(df, value_col), RESPONSE_PAGE, _JSON))
-    return df.select(*keep, F.col(value_col).cast("string").alias("raw_page"), page.alias("_page"))
+    pages = _with_object(df, value_col, RESPONSE_PAGE, "_page")
+    return pages.select(*keep, F.col(value_col).cast("string").alias("raw_page"), "_page")
 
 
 def _page_ok() -> Column:
-    return F.coalesce(F.col("_page.status") == "ok", F.lit(False)) & F.col(f"_page.{CORRUPT}").isNull()
+    return F.coalesce(F.col("_page.status") == "ok", F.lit(False))
 
 
 def explode_response_pages(df: DataFrame, value_col: str = "value", keep: list[str] = ()) -> DataFrame:

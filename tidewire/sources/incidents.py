@@ -12,20 +12,29 @@ from ..functions import casts
 from ..operators.filters import has_coordinates
 from ..schemas import CLEAN, RAW_COLUMNS
 
+REPLACEMENT = "\ufffd"
+
 
 def select_raw(df: DataFrame) -> DataFrame:
     return df.select(*RAW_COLUMNS)
 
 
-def read_incident_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All columns as text by header name; rows with too few or too many fields are skipped.
+def read_incident_csv(
+    spark: SparkSession, path: str, multi_line: bool = True, encoding: str = "UTF-8"
+) -> DataFrame:
+    """All columns as text by header name. Malformed rows are skipped: too few or too many fields, or bytes that are
+    not in the given encoding (the decoder leaves a replacement character for those).
 
     No schema is passed on purpose: the header may hold more columns than are kept. Quoted line breaks need
     ``multi_line``, which reads each file in one task: land the data as many files, or switch it off for data
     without line breaks in fields, and store the table as Parquet once.
     """
-    reader = spark.read.options(header=True, mode="DROPMALFORMED", multiLine=multi_line, quote='"', escape='"')
-    return select_raw(reader.csv(path))
+    reader = spark.read.options(
+        header=True, mode="DROPMALFORMED", multiLine=multi_line, quote='"', escape='"', encoding=encoding
+    )
+    df = select_raw(reader.csv(path))
+    undecoded = [F.coalesce(F.contains(name, F.lit(REPLACEMENT)), F.lit(False)) for name in map(F.col, RAW_COLUMNS)]
+    return df.where(~reduce(lambda a, b: a | b, undecoded))
 
 
 def _cast(field: T.StructField, strict: bool) -> Column:

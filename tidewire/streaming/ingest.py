@@ -22,7 +22,10 @@ ORDER_COLS = ["arrival_ts", "arrival_part", "arrival_off"]
 
 def _with_arrival(df: DataFrame, ts: str, part: str, off) -> DataFrame:
     return df.select(
-        "value", F.col(ts).alias("arrival_ts"), F.col(part).cast("string").alias("arrival_part"), off.alias("arrival_off")
+        "value",
+        F.col(ts).alias("arrival_ts"),
+        F.col(part).cast("string").alias("arrival_part"),
+        off.alias("arrival_off"),
     )
 
 
