@@ -59,6 +59,13 @@ def test_rows_in_another_encoding_are_skipped(spark, tmp_path):
     assert "café" in [r.summary for r in latin.collect()]
 
 
+def test_files_with_another_column_order_are_refused(spark, tmp_path):
+    for name, header in (("a", RAW_COLUMNS), ("b", RAW_COLUMNS[::-1])):
+        (tmp_path / f"{name}.csv").write_text(",".join(header) + "\n" + ",".join(header) + "\n")
+    with pytest.raises(Exception):
+        incidents.read_incident_csv(spark, str(tmp_path)).collect()
+
+
 def test_clean_types_and_filter(spark):
     df = raw(spark, record(nkill="3.0", nwound="2.5"), record(nkill="bad", latitude=None))
     clean = incidents.clean_incidents(df)

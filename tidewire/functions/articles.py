@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def url_missing(url: Column) -> Column:
     """NULL and the empty text both count as no url."""
-    return F.coalesce(url, F.lit("")) == ""
+    return url.isNull() | (url == "")
 
 
 def dedupe_key(url: Column, title: Column, published_at: Column) -> Column:

@@ -37,7 +37,7 @@ def incidents(spark: SparkSession, sf_dir: str, summary: bool = False) -> DataFr
     """One typed row per order. ``summary`` adds the document texts, which costs a join; without it, it is NULL."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     if summary:
-        orders = spread(orders)
+        orders = spread(orders)  # the texts that the join adds are costly to work on
     # Nation and region have 25 and 5 rows at every scale.
     places = table(spark, sf_dir, "nation").join(
         F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")

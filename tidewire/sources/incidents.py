@@ -25,12 +25,19 @@ def read_incident_csv(
     """All columns as text by header name. Malformed rows are skipped: too few or too many fields, or bytes that are
     not in the given encoding (the decoder leaves a replacement character for those).
 
-    No schema is passed on purpose: the header may hold more columns than are kept. Quoted line breaks need
+    No schema is passed on purpose: the header may hold more columns than are kept, and every file's header is
+    checked against the first one's. Quoted line breaks need
     ``multi_line``, which reads each file in one task: land the data as many files, or switch it off for data
     without line breaks in fields, and store the table as Parquet once.
     """
     reader = spark.read.options(
-        header=True, mode="DROPMALFORMED", multiLine=multi_line, quote='"', escape='"', encoding=encoding
+        header=True,
+        enforceSchema=False,
+        mode="DROPMALFORMED",
+        multiLine=multi_line,
+        quote='"',
+        escape='"',
+        encoding=encoding,
     )
     df = select_raw(reader.csv(path))
     undecoded = [F.coalesce(F.contains(name, F.lit(REPLACEMENT)), F.lit(False)) for name in map(F.col, RAW_COLUMNS)]
