@@ -21,10 +21,13 @@ def title_tokens(df: DataFrame, col: str, stop: list[str], keep: list[str]) -> D
 
 
 def token_counts(df: DataFrame, col: str, stop: list[str], by: list[str] = ()) -> DataFrame:
-    """(by..., token, count). Counts raw tokens first, so that each distinct one is cleaned and tested once."""
+    """(by..., token, count). Counts raw tokens first, so that each distinct one is cleaned and tested once.
+
+    A filter on a grouping key would move below the grouping and run on every token; ``once`` keeps it above.
+    """
     raw = df.select(*by, F.explode(W.tokenize(F.col(col))).alias("_raw"))
     counts = raw.groupBy(*by, "_raw").agg(F.count("*").alias("n"))
-    tokens = counts.select(*by, W.strip_quotes(F.col("_raw")).alias("token"), "n")
+    tokens = counts.select(*by, once(W.strip_quotes(F.col("_raw"))).alias("token"), "n")
     return tokens.where(W.is_title_token(F.col("token"), stop)).groupBy(*by, "token").agg(F.sum("n").alias("count"))
 
 
@@ -92,7 +95,8 @@ def word_counts(df: DataFrame, col: str, stop: list[str], min_word_length: int =
     """(word, n) of all words that are neither stop words nor numbers, as spelled; a word may come in two rows."""
     raw = df.select(F.explode(W.raw_words(F.col(col), min_word_length)).alias("raw"))
     counts = raw.groupBy("raw").agg(F.count("*").alias("n"))
-    return counts.where(~W.is_stop(F.col("raw"), stop)).select(W.cut_possessive(F.col("raw")).alias("word"), "n")
+    words = counts.select(once(W.cut_possessive(F.col("raw"))).alias("word"), "n")
+    return words.where(~F.lower("word").isin(stop))
 
 
 def adjacent_pairs(df: DataFrame, col: str, stop: list[str], min_word_length: int = 2) -> DataFrame:

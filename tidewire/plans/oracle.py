@@ -514,7 +514,7 @@ VECTORS = "points AS (SELECT CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2
 EXACT = _kde("points", "x AS px, y AS py, 1e0 AS w FROM points")
 ORACLE["geo_bins"] = _with(
     f"{LOCATIONS}, {_bins('points', 128)}",
-    "SELECT cx, cy, weight, round(mean_x, 6) AS mean_x, round(mean_y, 6) AS mean_y FROM cells",
+    "SELECT cx, cy, weight, round(mean_x, 8) AS mean_x, round(mean_y, 8) AS mean_y FROM cells",
 )
 ORACLE["kde_density"] = _with(
     f"{LOCATIONS}, {_bins('points', 128)}, "

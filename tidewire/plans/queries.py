@@ -384,7 +384,7 @@ def summary_collocations(spark, sf):
 @query
 def geo_bins(spark, sf):
     binned = geo.bin_points(b.clean(spark, sf), "longitude", "latitude")
-    return binned.withColumns({"mean_x": F.round("mean_x", 6), "mean_y": F.round("mean_y", 6)})
+    return binned.withColumns({"mean_x": F.round("mean_x", 8), "mean_y": F.round("mean_y", 8)})
 
 
 def _grid_rounded(grid: DataFrame) -> DataFrame:
