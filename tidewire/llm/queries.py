@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality
+from . import bpe, packing, quality, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +20,22 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_token_counts(spark, sf):
+    return token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op3_byte_bpe(spark, sf):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query
+def op7_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op9_quality(spark, sf):
     return quality.judge(table(spark, sf, "documents"))
