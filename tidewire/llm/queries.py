@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, packing, quality, token_counts
+from . import ann, bpe, chat, packing, quality, sharding, token_counts, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,17 +26,52 @@ def op1_token_counts(spark, sf):
     return token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op2_chat(spark, sf):
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    # Fixed values of the contract.
+    said = "</s>[INST] ok [/INST]"
+    tried = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    return chat.digests(chat.format_chats(turns.unionByName(tried)))
+
+
+ORACLE["op2_chat"] = chat.DIGESTS_SQL
+
+
 @query
 def op3_byte_bpe(spark, sf):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query
+def op4_nearest(spark, sf):
+    return ann.nearest(table(spark, sf, "embeddings"))
+
+
+@query
+def op6_urls(spark, sf):
+    return urls.filter_urls(table(spark, sf, "pages"))
+
+
+ORACLE["op6_urls"] = urls.URLS_SQL
+
+
 @query
 def op7_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op8_sharding(spark, sf):
+    return sharding.shard_documents(table(spark, sf, "documents"))
+
+
 @query
 def op9_quality(spark, sf):
     return quality.judge(table(spark, sf, "documents"))
