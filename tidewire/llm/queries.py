@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, packing, quality, sharding, token_counts, urls
+from . import ann, bpe, chat, near_dup, packing, quality, sharding, token_counts, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op4_nearest(spark, sf):
     return ann.nearest(table(spark, sf, "embeddings"))
 
 
+@query
+def op5_near_dup(spark, sf):
+    return near_dup.classes(table(spark, sf, "documents"))
+
+
 @query
 def op6_urls(spark, sf):
     return urls.filter_urls(table(spark, sf, "pages"))
