@@ -23,3 +23,10 @@ def bounded_batches(spark: SparkSession) -> None:
 def utf8(text: str = "text") -> Column:
     """The UTF-8 bytes of a string column, NULL as no bytes."""
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+
+
+def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(uid, doc_id, raw): rows with a number, the same whenever a stored table is read, and the text's bytes."""
+    return docs.select(
+        F.monotonically_increasing_id().alias("uid"), docs[doc_id].cast("long").alias("doc_id"), utf8(text).alias("raw")
+    )

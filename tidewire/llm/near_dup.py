@@ -21,23 +21,21 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import bounded_batches, utf8
+from .common import bounded_batches, numbered
 from .components import components
+from .parts import HASH_BITS, blocks, cut_parts, mix, pack, pack_ids, unpack, unpack_ids
 from .token_counts import Numbers
 
-#: A block ends with so many bytes of text or documents; a longer document is one block.
-BLOCK_BYTES, BLOCK_DOCS = 16_000_000, 60_000
-#: Shingles that a part of the hash space has on average, and bits of a shingle's hash.
-PART_SHINGLES, HASH_BITS = 1_000_000, 48
+#: Shingles that a part of the hash space has on average.
+PART_SHINGLES = 1_000_000
 #: Shingles of the vectors that a comparison block has on average.
 COMPARED = 200_000
-SENT = "part long, block long, entries binary, times binary, docs long, total long"
-REPLY = "block long, keys binary, times binary, shared binary, header binary, totals binary"
+SENT = "part long, block long, entries binary, times binary, uids binary, ids binary, totals binary"
+REPLY = "block long, keys binary, times binary, shared binary, uids binary, ids binary, totals binary"
 VECTOR = "uid long, doc_id long, typical double, weight double, print binary, shingles binary, weights binary"
 
 
@@ -57,26 +55,6 @@ class Likeness:
     idf: float = 0.2
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of 64-bit numbers."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def pack(sorted_keys: np.ndarray) -> bytes:
-    """Increasing 64-bit numbers as compressed byte planes of their differences."""
-    steps = np.diff(sorted_keys, prepend=np.uint64(0)).astype("<u8")
-    return zstandard.ZstdCompressor(level=1).compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
-
-
-def unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
-    return np.cumsum(planes.reshape(8, -1).T.copy().view("<u8").ravel(), dtype=np.uint64)
-
-
 def shingle_keys(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash and ordinal of the document in one number, times) of each distinct shingle of each document, sorted.
 
@@ -108,83 +86,68 @@ def _idf(shared: np.ndarray, docs: int, spread: float) -> np.ndarray:
     return 1 + spread * (np.log((1 + docs) / (1 + shared)) / np.log(1 + docs))
 
 
-def _send(docs: DataFrame, doc_id: str, text: str, parts: int, words: int) -> DataFrame:
-    """A header row per block, then a row for each block and part of the hash space."""
+def _send(rows: DataFrame, parts: int, words: int) -> DataFrame:
+    """A header row per block, then a row for each block and part of the hash space. A block is known by its first uid."""
     names = [c.split()[0] for c in SENT.split(", ")]
-
-    def rows(block: int, ids: list, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        keys, times = shingle_keys(texts, words)
-        owner = (keys & np.uint64(0xFFFF)).astype(np.int64)
-        totals = np.bincount(owner, weights=times, minlength=len(ids)).astype("<i8")
-        known = np.array([i is not None for i in ids], np.uint8).tobytes()
-        header = known + np.array([i or 0 for i in ids], "<i8").tobytes()
-        # A part of its own takes the header past the counting.
-        out = [(-1 - block, block, header, totals.tobytes(), len(ids), int(times.sum()))]
-        part = ((keys >> np.uint64(16)).astype(np.float64) * (parts / 2.0**HASH_BITS)).astype(np.int64)
-        cuts = np.searchsorted(part, np.arange(parts + 1))
-        for p, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-            if low < high:
-                held = zstandard.ZstdCompressor(level=1).compress(times[low:high].astype("<u4").tobytes())
-                out.append((p, block, pack(keys[low:high]), held, 0, 0))
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+    types = [pa.int64()] * 2 + [pa.binary()] * 5
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, ids, texts, size = TaskContext.get().partitionId() << 24, [], [], 0
-        for batch in batches:
-            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if ids and (size + len(raw) > BLOCK_BYTES or len(ids) >= BLOCK_DOCS):
-                    yield from rows(block, ids, texts)
-                    block, ids, texts, size = block + 1, [], [], 0
-                ids.append(key)
-                texts.append(raw)
-                size += len(raw)
-        if ids:
-            yield from rows(block, ids, texts)
-
-    bounded_batches(docs.sparkSession)
-    return docs.select(docs[doc_id].cast("long"), utf8(text)).mapInArrow(work, SENT)
+        for held in blocks(batches, "raw"):
+            keys, times = shingle_keys(held["raw"], words)
+            owner, block = (keys & np.uint64(0xFFFF)).astype(np.int64), held["uid"][0]
+            totals = np.bincount(owner, weights=times, minlength=len(held["raw"])).astype("<i8").tobytes()
+            # A part of its own takes the header past the counting.
+            header = (np.array(held["uid"], "<i8").tobytes(), pack_ids(held["doc_id"]), totals)
+            out = [(-1 - block, block, None, None, *header)]
+            compress = zstandard.ZstdCompressor(level=1).compress
+            for part, low, high in cut_parts(keys, parts):
+                held_times = compress(times[low:high].astype("<u4").tobytes())
+                out.append((part, block, pack(keys[low:high]), held_times, None, None, None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+    bounded_batches(rows.sparkSession)
+    return rows.select("uid", "doc_id", "raw").mapInArrow(work, SENT)
 
 
 def _count(part: pa.Table) -> pa.Table:
     """What a part of the hash space says to each block: its shingles that two or more documents hold, and how many."""
     names = [c.split()[0] for c in REPLY.split(", ")]
-    types = [pa.int64()] + [pa.binary()] * 5
-    rows = list(zip(*(part.column(c).to_pylist() for c in ("part", "block", "entries", "times"))))
-    if rows[0][0] < 0:
-        out = [(block, None, None, None, header, totals) for _, block, header, totals in rows]
+    types = [pa.int64()] + [pa.binary()] * 6
+    rows = list(zip(*(part.column(c).to_pylist() for c in ("block", "entries", "times", "uids", "ids", "totals"))))
+    if part.column("part")[0].as_py() < 0:
+        out = [(block, None, None, None, *header) for block, _, _, *header in rows]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
-    keys = [unpack(entries) for _, _, entries, _ in rows]
+    keys = [unpack(row[1]) for row in rows]
     _, at, counts = np.unique(np.concatenate(keys) >> np.uint64(16), return_inverse=True, return_counts=True)
     shared = counts[at].astype("<u4")
     out, low = [], 0
-    for (_, block, _, times), own in zip(rows, keys):
+    for (block, _, times, *_), own in zip(rows, keys):
         here = shared[low : low + len(own)]
         low += len(own)
         more = here > 1
         if more.any():
             held = np.frombuffer(zstandard.ZstdDecompressor().decompress(times), "<u4")
-            out.append((block, own[more].astype("<u8").tobytes(), held[more].tobytes(), here[more].tobytes(), None, None))
-    return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 6, types)], names)
+            found = own[more].astype("<u8").tobytes(), held[more].tobytes(), here[more].tobytes()
+            out.append((block, *found, None, None, None))
+    return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 7, types)], names)
 
 
-def vectors(docs: DataFrame, like: Likeness, doc_id: str, text: str) -> DataFrame:
+def vectors(rows: DataFrame, like: Likeness) -> DataFrame:
     """One row per document; those that may have a near copy also have their shared shingles and weights.
 
     ``print`` is equal for equal vectors, ``typical`` the smaller the more of a document many others have.
     """
-    size, count = docs.select(F.sum(F.octet_length(text)), F.count("*")).first()
+    size, count = rows.select(F.sum(F.octet_length("raw")), F.count("*")).first()
     parts = max(64, (size or 0) // 6 // PART_SHINGLES)
     names = [c.split()[0] for c in VECTOR.split(", ")]
     types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary()]
     least, spread = like.least, like.idf
 
-    def block_vectors(rows: pa.Table) -> pa.Table:
-        cells = {c: rows.column(c).to_pylist() for c in rows.column_names}
-        header = next(i for i, h in enumerate(cells["header"]) if h is not None)
-        totals = np.frombuffer(cells["totals"][header], "<i8")
-        known = np.frombuffer(cells["header"][header][: len(totals)], np.uint8)
-        ids = np.frombuffer(cells["header"][header][len(totals) :], "<i8")
+    def block_vectors(block: pa.Table) -> pa.Table:
+        cells = {c: block.column(c).to_pylist() for c in block.column_names}
+        header = next(i for i, h in enumerate(cells["uids"]) if h is not None)
+        totals, uids = (np.frombuffer(cells[c][header], "<i8") for c in ("totals", "uids"))
+        ids = unpack_ids(cells["ids"][header]).to_pylist()
         join = lambda c, t: np.frombuffer(b"".join(x for x in cells[c] if x), t)
         keys, times, shared = join("keys", "<u8"), join("times", "<u4"), join("shared", "<u4")
         owner = (keys & np.uint64(0xFFFF)).astype(np.int64)
@@ -200,11 +163,9 @@ def vectors(docs: DataFrame, like: Likeness, doc_id: str, text: str) -> DataFram
         hashes = mix(np.repeat(keys >> np.uint64(16), times) + turn.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         weights = np.repeat(idf, times).astype("<f8")
         cuts = np.searchsorted(np.repeat(owner, times), np.arange(len(totals) + 1)).tolist()
-        block = cells["block"][0]
         out = []
         for doc in range(len(totals)):
-            uid = block << 16 | doc
-            key = int(ids[doc]) if known[doc] else None
+            uid, key = int(uids[doc]), ids[doc]
             low, high = cuts[doc], cuts[doc + 1]
             if not totals[doc] or inside[doc] >= (least - 1e-9) * weight[doc]:
                 rank = np.argsort(hashes[low:high])
@@ -218,7 +179,7 @@ def vectors(docs: DataFrame, like: Likeness, doc_id: str, text: str) -> DataFram
                 out.append((uid, key, None, None, None, None, None))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    sent = _send(docs, doc_id, text, parts, like.words).drop("docs", "total")
+    sent = _send(rows, parts, like.words)
     replies = sent.groupBy("part").applyInArrow(_count, REPLY)
     return replies.groupBy("block").applyInArrow(block_vectors, VECTOR)
 
@@ -362,15 +323,15 @@ def links(vecs: DataFrame, like: Likeness) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, like: Likeness | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, class_id, class_size, kept): one row per document.
+    """(doc_id, class_id, class_size, kept, uid): one row per document.
 
     Documents that are linked, directly or over others, share a class; its id is its least ``doc_id``, and the first
     row with that id is kept. Documents without words (NULL and empty ones) are one class, so are repeated rows; a
-    NULL ``doc_id`` counts as larger than any other. ``docs`` should read a stored table: rows are numbered by input
-    partition.
+    NULL ``doc_id`` counts as larger than any other. ``docs`` should read a stored table: ``uid`` numbers its rows by
+    input partition.
     """
     like = like or Likeness()
-    every = materialize(vectors(docs, like, doc_id, text), "vectors")
+    every = materialize(vectors(numbered(docs, doc_id, text), like), "vectors")
     some = every.where(F.col("print").isNotNull())
     first = Window.partitionBy("print").orderBy("uid")
     reps = materialize(
@@ -396,3 +357,10 @@ def near_duplicates(
 def classes(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
     """:func:`near_duplicates` without the row number."""
     return near_duplicates(docs, like).drop("uid")
+
+
+def drop_near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
+    """The kept document of each class, all columns as they were. ``docs`` should read a stored table."""
+    gone = near_duplicates(docs, like).where(~F.col("kept")).select(F.col("uid").alias("_uid"))
+    rows = docs.withColumn("_uid", F.monotonically_increasing_id())
+    return rows.join(gone, "_uid", "left_anti").drop("_uid")

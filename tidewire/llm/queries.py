@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, near_dup, packing, quality, sharding, token_counts, urls
+from . import ann, bpe, chat, near_dup, packing, quality, sharding, suffix_dedup, token_counts, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,8 @@ def op8_sharding(spark, sf):
 @query
 def op9_quality(spark, sf):
     return quality.judge(table(spark, sf, "documents"))
+
+
+@query
+def op10_suffix_dedup(spark, sf):
+    return suffix_dedup.removal_digests(table(spark, sf, "documents"))
