@@ -41,16 +41,14 @@ def test_dedupe_asymmetry(spark):
     assert sorted(r.off for r in kept.collect()) == [0, 3, 4, 6, 7, 8, 9]
 
 
-@pytest.mark.parametrize("probe", [False, True])
-def test_dedupe_against_stored(spark, probe):
+def test_dedupe_against_stored(spark):
     stored = batch(spark, ("A", "u1", DAY), ("B", None, DAY))
     fresh = batch(spark, ("X", "u1", DAY), ("B", None, DAY), ("A", None, DAY), ("B", "u9", DAY), ("D", None, DAY))
-    kept = dedupe.new_articles(fresh, stored, ["off"], probe=probe)
+    kept = dedupe.new_articles(fresh, dedupe.article_keys(stored), ["off"])
     assert sorted(r.off for r in kept.collect()) == [3, 4]
 
 
-@pytest.mark.parametrize("probe", [False, True])
-def test_dedupe_equals_the_sequential_rule(spark, probe):
+def test_dedupe_equals_the_sequential_rule(spark):
     """Many random batches at once: every case gets its own url and title space."""
     rng = random.Random(7)
     records, stored, expected, off = [], [], [], 0
@@ -70,7 +68,7 @@ def test_dedupe_equals_the_sequential_rule(spark, probe):
     rng.shuffle(records)
     have = spark.createDataFrame([(0, *s) for s in stored], BATCH)
     df = spark.createDataFrame(records, BATCH).repartition(5)
-    kept = dedupe.new_articles(df, have, ["off"], probe=probe)
+    kept = dedupe.new_articles(df, dedupe.article_keys(have), ["off"])
     assert sorted(r.off for r in kept.collect()) == sorted(expected)
 
 
@@ -80,10 +78,11 @@ def test_dedupe_with_a_composite_order(spark):
     assert [r.off for r in kept.collect()] == [0]
 
 
-def test_hot_keys_shrink_before_the_shuffle(spark):
-    df = batch(spark, ("A", "u", DAY))
-    text = plan(dedupe.new_articles(df, None, ["off"]))
-    assert text.count("WindowGroupLimit") >= 4
+def test_hot_keys_shrink_before_the_shuffle(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(dedupe, "materialize", lambda df, label: plans.append(plan(df)) or df)
+    dedupe.new_articles(batch(spark, ("A", "u", DAY)), None, ["off"])
+    assert plans[0].count("WindowGroupLimit") >= 2
 
 
 def test_dedupe_key(spark):
@@ -128,12 +127,18 @@ def test_decode_and_quarantine(spark):
 @pytest.mark.parametrize(
     "text",
     ['{"title": "a"} xyz', '{"title": "a"}, {"title": "b"}', "{'title': 'a'}", '{"title": "a"', '"title"', "null", "",
-     '{"title": "line\nbreak"}', '{title: "a"}'],
+     '{"title": "line\nbreak"}', '{title: "a"}', '{"title": "a"}] garbage', '{"title": "a"}],[{"b": 1}',
+     '{"title": "a"}, null] {}', '{"title": "a"},{"_end_of_text":"1"}] {}', "[{}]", "{}{}"],
 )
 def test_only_one_whole_object_decodes(spark, text):
     assert [r.reject_reason for r in extract(spark, text.encode()).collect()] == ["invalid json"]
 
 
+def test_blanks_around_an_object_are_fine(spark):
+    out = extract(spark, b'\n{"title": "a"}', b'\t{"title": "b"}\r\n', b' \t\r\n{"title": "c"} ')
+    assert rows(articles.accepted(out).select("i", "title")) == [(0, "a"), (1, "b"), (2, "c")]
+
+
 def test_odd_but_valid_messages_decode(spark):
     out = extract(spark, b' {"title": 5, "source": null} ', b'{"title": {"a": 1}, "url": true}')
     assert rows(articles.accepted(out).select("i", "title", "url")) == [(0, "5", None), (1, '{"a":1}', "true")]
@@ -173,25 +178,12 @@ def test_nothing_in_nothing_out(spark):
     empty = batch(spark, ("A", "u", DAY)).where("false")
     some = batch(spark, ("A", "u", DAY))
     assert dedupe.new_articles(empty, None, ["off"]).count() == 0
-    for probe in (False, True):
-        assert dedupe.new_articles(empty, some, ["off"], probe).count() == 0
-        assert dedupe.new_articles(some, empty, ["off"], probe).count() == 1
+    assert dedupe.new_articles(empty, dedupe.article_keys(some), ["off"]).count() == 0
+    assert dedupe.new_articles(some, dedupe.article_keys(empty), ["off"]).count() == 1
     out = articles.extract_article(articles.decode_articles(spark.createDataFrame([], "value binary")))
     assert articles.accepted(out).count() == 0 and articles.quarantine(out).count() == 0
 
 
-def test_a_batch_without_titles_to_look_up_does_not_read_the_store(spark):
-    """With the probe, an empty key list is known before the stored table is scanned."""
-    from tidewire.session import materialize
-
-    stored = materialize(batch(spark, ("A", None, DAY)), "stored")
-    keyed = materialize(batch(spark, ("A", None, DAY)), "batch").where("length(title) > 5")
-    result = dedupe.unseen_by_title_time(keyed, stored, probe=True).agg(F.count("*"))
-    result.collect()
-    final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert stored.inputFiles()[0].rsplit("/", 2)[1] not in final
-
-
 def test_publishing_goes_to_the_topic_sink(spark):
     """The connector is not installed here, so the job stops at that source."""
     df = spark.createDataFrame([("u", "t")], "url string, title string")

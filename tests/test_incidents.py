@@ -49,12 +49,12 @@ def test_malformed_csv_rows_are_skipped(spark, tmp_path):
 
 
 def test_rows_in_another_encoding_are_skipped(spark, tmp_path):
-    lines = [",".join(WIDE), csv_line("São"), csv_line("plain"), csv_line("cafe")]
+    lines = [",".join(WIDE), csv_line("São"), csv_line("plain"), csv_line("cafe"), csv_line("kept \ufffd sign")]
     raw_bytes = "\n".join(lines).encode().replace(b"cafe", b"caf\xe9")
     (tmp_path / "in.csv").write_bytes(raw_bytes)
     df = incidents.read_incident_csv(spark, str(tmp_path / "in.csv"))
-    assert sorted(r.summary for r in df.collect()) == ["São", "plain"]
-    assert df.select("city").count() == 2
+    assert sorted(r.summary for r in df.collect()) == ["São", "kept \ufffd sign", "plain"]
+    assert df.select("city").count() == 3
     latin = incidents.read_incident_csv(spark, str(tmp_path / "in.csv"), multi_line=False, encoding="ISO-8859-1")
     assert "café" in [r.summary for r in latin.collect()]
 

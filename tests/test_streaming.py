@@ -5,7 +5,7 @@ from unittest.mock import MagicMock
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from tidewire.operators import dedupe
 from tidewire.plans import bindings
 from tidewire.schemas import MESSAGE
@@ -81,12 +81,13 @@ def test_stream_goes_on_after_compaction(pipe):
     for part in (("a", "b"), ("b", "c"), ("d",)):
         pipe.land(*[message(url) for url in part])
         pipe.run()
-    before = rows(pipe.stored().drop("batch_id"))
+    before = rows(pipe.stored().drop("batch_id", "run"))
     new_path = scratch_path(pipe.spark, "compact")
     tables.compact_articles(pipe.spark, pipe.path, new_path)
     pipe.path = new_path
-    assert rows(pipe.stored().drop("batch_id")) == before
+    assert rows(pipe.stored().drop("batch_id", "run")) == before
     assert rows(pipe.stored().select("batch_id").distinct()) == [(-1,), (2,)]
+    assert pipe.stored().select("run").distinct().count() == 2
     pipe.land(message("a"), message("e"))
     pipe.run()
     assert rows(pipe.stored().select("url", "batch_id").where("batch_id > 2")) == [("e", 3)]
@@ -119,6 +120,57 @@ def test_replay_idempotent(spark):
     assert stored() == expected
 
 
+def test_new_checkpoint_keeps_what_is_stored(pipe):
+    pipe.land(*[message(f"u{i}", title=f"t{i}") for i in range(10)])
+    pipe.run()
+    pipe.checkpoint = scratch_path(pipe.spark, "another")
+    pipe.land(message("u3"), message("new"), message(None, "t4"), message(None, "other"))
+    pipe.run()
+    urls = [r.url for r in pipe.stored().collect()]
+    assert sorted(filter(None, urls)) == sorted([f"u{i}" for i in range(10)] + ["new"])
+    assert urls.count(None) == 1
+    # The first checkpoint goes on where it was.
+    pipe.checkpoint = scratch_path(pipe.spark, "third")
+    pipe.run()
+    assert pipe.stored().count() == 12
+
+
+def test_a_small_batch_reads_few_buckets(spark):
+    path = scratch_path(spark, "stored")
+    tables.ensure_articles(spark, path)
+    many = spark.range(500).selectExpr(
+        "to_json(struct(concat('u', id) AS url)) AS value", "cast(null AS timestamp) AS arrival_ts",
+        "'0' AS arrival_part", "id AS arrival_off",
+    )
+    stream.append_new_articles(many, 0, path)
+    keys = tables.read_keys(spark, path)
+    assert keys.select("key").distinct().count() == 500
+    assert keys.select("bucket").distinct().count() == tables.KEY_BUCKETS
+    one = keys.first().bucket
+    pruned = tables.read_keys(spark, path, [one])
+    assert "PartitionFilters: [isnotnull(bucket" in plan(pruned) or "PartitionFilters: [(bucket" in plan(pruned)
+    assert pruned.count() == keys.where(F.col("bucket") == one).count()
+
+
+def test_first_line_of_a_text_file_wins(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [message(f"u{i % 20}", title="first" if i < 20 else "second") for i in range(40)]
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines) + "\n")
+    source = stream.read_article_stream(spark, "text", {"path": str(tmp_path / "in")})
+    path, checkpoint = scratch_path(spark, "stored"), scratch_path(spark, "checkpoint")
+    stream.ingest(source, path, checkpoint, trigger={"availableNow": True}).awaitTermination()
+    assert rows(tables.read_articles(spark, path).select("title")) == [("first",)] * 20
+
+
+def test_offsets_order_a_partition_not_times(spark):
+    path = scratch_path(spark, "stored")
+    tables.ensure_articles(spark, path)
+    landed = [(None, message("a", title="early").encode(), 0, 1, dt.datetime(2025, 1, 2)),
+              (None, message("a", title="late").encode(), 0, 2, dt.datetime(2025, 1, 1))]
+    stream.append_new_articles(stream._from_topic(spark.createDataFrame(landed, MESSAGE)), 0, path)
+    assert rows(tables.read_articles(spark, path).select("title")) == [("early",)]
+
+
 def test_stream_equals_batch(spark, sf, pipe):
     bindings.landed_messages(spark, sf, broken=True).write.parquet(pipe.landing)
     pipe.run()

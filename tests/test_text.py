@@ -53,9 +53,11 @@ def test_plural_and_case_folding(spark):
 
 def test_words_numbers_and_possessives(spark):
     assert frequencies(spark, "Bob's 1999 3rd 12's a it's we'll 2000's x", stop=["it"]) == {
-        "Bob": 1, "3rd": 1, "we'll": 1
+        "Bob": 1, "3rd": 1, "we'll": 1, "a": 1, "x": 1
     }
     assert frequencies(spark, "x 7 7a", min_word_length=1) == {"x": 1, "7a": 1}
+    assert frequencies(spark, "x ab abc", min_word_length=3) == {"abc": 1}
+    assert frequencies(spark, "plan B plan B x x x x") == {"plan": 2, "B": 2, "x": 4}
 
 
 def test_weights(spark):
@@ -121,11 +123,10 @@ def test_collocations_equal_a_plain_model(spark, threshold):
     expected, strong = model(texts, stop, threshold)
     assert strong
     df = docs(spark, *texts)
-    for lazy in (False, True):
-        found = text.collocations(df, "body", list(stop), threshold, lazy=lazy)
-        assert {r.bigram: r.c12 for r in found.collect()} == strong
-        terms = text.word_frequencies(df, "body", list(stop), 10_000, True, threshold, lazy=lazy)
-        assert {r.term: r["count"] for r in terms.collect()} == expected
+    found = text.collocations(df, "body", list(stop), threshold)
+    assert {r.bigram: r.c12 for r in found.collect()} == strong
+    terms = text.word_frequencies(df, "body", list(stop), 10_000, True, threshold)
+    assert {r.term: r["count"] for r in terms.collect()} == expected
 
 
 def test_pairs_stay_inside_a_text(spark):

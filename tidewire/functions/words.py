@@ -63,15 +63,15 @@ def is_title_token(token: Column, stop: list[str]) -> Column:
     return (F.length(token) > 2) & token.rlike(_LETTERS) & ~token.isin(stop)
 
 
-def raw_words(text: Column, min_word_length: int = 2) -> Column:
+def raw_words(text: Column, min_word_length: int = 0) -> Column:
     """All words of a text in order, without numbers; a possessive ``'s`` is still on.
 
-    A word starts with a letter, digit or underscore and may hold apostrophes; single characters count only below
-    length 2. The first branch of the pattern swallows numbers, which leaves an empty group.
+    A word starts with a letter, digit or underscore and may hold apostrophes; shorter ones than ``min_word_length``
+    are left out. The first branch of the pattern swallows numbers, which leaves an empty group.
     """
     start, rest = r"[\p{L}\p{N}_]", r"[\p{L}\p{N}_']"
     number = rf"\p{{Nd}}+(?:'[sS])?(?!{rest})"
-    word = rf"{start}{rest}" + ("*" if min_word_length < 2 else "+")
+    word = rf"{start}{rest}{{{max(0, min_word_length - 1)},}}"
     return F.array_remove(F.regexp_extract_all(text, F.lit(f"{number}|({word})"), F.lit(1)), "")
 
 

@@ -2,6 +2,8 @@
 
 The rule, for rows taken in arrival order: a row with a url is stored iff that url is not stored yet; a row without
 one is stored iff no stored row, with or without a url, has the same non-null title and time.
+
+Both kinds of key are taken as hashes of 256 bits, so keys of any length are narrow and equal only if the texts are.
 """
 
 from __future__ import annotations
@@ -10,74 +12,72 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.articles import url_missing
-
-# Up to this many batch rows, the 8-byte key hashes of the batch are broadcast to the stored table (8 MB).
-PROBE_ROWS = 1_000_000
+from ..session import materialize
 
 
 def _has_title_time() -> Column:
     return F.col("title").isNotNull() & F.col("published_at").isNotNull()
 
 
-def _first_by(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
-    # Spark cuts a `row_number() = 1` filter down inside each map task (WindowGroupLimit), so a hot key sends at
-    # most one row per task through the shuffle.
-    order = Window.partitionBy(*keys).orderBy(*order_cols)
-    return df.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn")
-
-
-def _unseen(batch: DataFrame, stored: DataFrame, keys: list[str], probe: bool) -> DataFrame:
-    stored_keys = stored.select(*keys)
-    if probe:
-        # The batch is known to be small: find its keys in one column-pruned pass over the stored table instead of
-        # shuffling that table. The hash only preselects; the anti join below compares the keys themselves.
-        hashes = batch.select(F.xxhash64(*keys).alias("_hash"))
-        stored_keys = stored_keys.withColumn("_hash", F.xxhash64(*keys)).join(
-            F.broadcast(hashes), "_hash", "left_semi"
-        ).select(*keys)
-    # Distinct before the join: a key stored many times is cut down inside each map task, and the join uses the
-    # partitioning of the distinct. A key that is hot in the batch is split by the adaptive skew join.
-    return batch.join(stored_keys.distinct(), keys, "left_anti")
+def url_key() -> Column:
+    """NULL where there is no url."""
+    return F.when(~url_missing(F.col("url")), F.unhex(F.sha2(F.concat(F.lit("u"), F.col("url")), 256)))
 
 
-def unseen_by_url(batch: DataFrame, stored: DataFrame, probe: bool = False) -> DataFrame:
-    """Batch rows whose url is not stored."""
-    return _unseen(batch, stored.where(~url_missing(F.col("url"))), ["url"], probe)
+def title_time_key() -> Column:
+    """NULL where title or time is NULL."""
+    text = F.concat(F.lit("t"), F.col("published_at").cast("string"), F.lit(" "), F.col("title"))
+    return F.when(_has_title_time(), F.unhex(F.sha2(text, 256)))
 
 
-def unseen_by_title_time(batch: DataFrame, stored: DataFrame, probe: bool = False) -> DataFrame:
-    """Batch rows whose (title, published_at) is not stored. A NULL in either never matches, such rows stay."""
-    return _unseen(batch, stored.where(_has_title_time()), ["title", "published_at"], probe)
+def article_keys(stored: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """(key): under which stored rows block later ones, one or two per row."""
+    keys = F.array_compact(F.array(url_key(), title_time_key()))
+    return stored.select(*keep, F.explode(keys).alias("key"))
 
 
-def new_articles(
-    batch: DataFrame, stored: DataFrame | None, order_cols: list[str], probe: bool = False
-) -> DataFrame:
-    """The rows of ``batch`` to store, given the ``stored`` ones (None: nothing yet).
+def unseen_by_url(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """Batch rows whose url is not stored."""
+    # Distinct before the join: a key stored many times is cut down inside each map task, and the join uses the
+    # partitioning of the distinct. A key that is hot in the batch is split by the adaptive skew join.
+    return batch.join(stored.where(~url_missing(F.col("url"))).select("url").distinct(), "url", "left_anti")
+
 
-    ``order_cols`` give the arrival order and must make it total. ``probe`` says that the batch holds at most
-    :data:`PROBE_ROWS` rows.
-    """
+def unseen_by_title_time(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """Batch rows whose (title, published_at) is not stored. A NULL in either never matches, such rows stay."""
     keys = ["title", "published_at"]
-    no_url = url_missing(F.col("url"))
-    by_url = _first_by(batch.where(~no_url), ["url"], order_cols)
-    if stored is not None:
-        by_url = unseen_by_url(by_url, stored, probe)
+    return batch.join(stored.where(_has_title_time()).select(*keys).distinct(), keys, "left_anti")
 
-    # NULL keys never match anything: they bypass the grouping, or all of them would meet in one task.
-    unkeyed = batch.where(no_url & ~_has_title_time())
-    keyed = _first_by(batch.where(no_url & _has_title_time()), keys, order_cols)
-    if stored is not None:
-        keyed = unseen_by_title_time(keyed, stored, probe)
 
-    # A url row stored earlier in this batch also blocks a later row without url.
+def new_articles(batch: DataFrame, stored_keys: DataFrame | None, order_cols: list[str]) -> DataFrame:
+    """The rows of ``batch`` to store, given the keys of stored rows (:func:`article_keys`; None: nothing yet).
+
+    ``order_cols`` give the arrival order and must make it total. The batch is read once; what is first of its key
+    and not stored is written to the shared folder, as two branches need it.
+    """
     arrival = F.col(order_cols[0]) if len(order_cols) == 1 else F.struct(*order_cols)
-    blockers = by_url.where(_has_title_time()).groupBy(*keys).agg(F.min(arrival).alias("_first"))
-    k, b = keyed.withColumn("_arrival", arrival).alias("k"), blockers.alias("b")
-    same = (F.col("k.title") == F.col("b.title")) & (F.col("k.published_at") == F.col("b.published_at"))
-    keyed = k.join(b, same & (F.col("b._first") < F.col("k._arrival")), "left_anti").drop("_arrival")
+    keyed = batch.withColumns({"_url": url_key(), "_title_time": title_time_key(), "_arrival": arrival})
+    keyed = keyed.withColumn("_key", F.coalesce("_url", "_title_time"))
+    # Rows without a key never match anything. Each gets a group of its own, or all of them would meet in one task.
+    alone = F.unhex(F.sha2(F.concat_ws(" ", F.lit("a"), *[F.col(c).cast("string") for c in order_cols]), 256))
+    keyed = keyed.withColumn("_key", F.coalesce("_key", alone))
+    # Spark cuts a `row_number() = 1` filter down inside each map task (WindowGroupLimit), so a hot key sends at
+    # most one row per task through the shuffle.
+    order = Window.partitionBy("_key").orderBy("_arrival")
+    first = keyed.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn")
+    if stored_keys is not None:
+        first = first.join(stored_keys.select(F.col("key").alias("_key")).distinct(), "_key", "left_anti")
+    first = materialize(first, "first")
 
-    return by_url.unionByName(keyed).unionByName(unkeyed)
+    # A url row stored earlier in this batch also blocks a later row without url.
+    by_url = F.col("_url").isNotNull()
+    blockers = first.where(by_url & F.col("_title_time").isNotNull()).groupBy("_title_time").agg(
+        F.min("_arrival").alias("_first")
+    )
+    blocked = first.where(~by_url & F.col("_title_time").isNotNull()).select("_title_time", "_arrival").join(
+        blockers, "_title_time"
+    ).where(F.col("_first") < F.col("_arrival")).select(F.col("_title_time").alias("_key"))
+    return first.join(blocked, "_key", "left_anti").select(batch.columns)
 
 
 def dedupe_stream(df: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:

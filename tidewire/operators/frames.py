@@ -2,27 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIRST_YEAR, LAST_YEAR = 1, 9999
-
-
-def _calendar_year(col: Column) -> Column:
-    """Fails on a value that is no calendar year, which bounds the list of frames at 9,999 entries."""
-    return F.when(col.isNull() | col.between(FIRST_YEAR, LAST_YEAR), col).otherwise(
-        F.raise_error(F.concat(F.lit("not a calendar year: "), col.cast("string"))).cast("int")
-    )
-
-
 def cumulative_frames(df: DataFrame, col: str = "iyear", label: str = "iyear_str") -> DataFrame:
     """Each row once per observed year at or after its own.
 
-    The observed years (at most 9,999 integers) arrive as one array from a scalar subquery over this one column;
-    each row then expands itself, so there is no join and no shuffle of the rows.
+    The distinct observed years arrive as one array from a scalar subquery over this one column; each row then
+    expands itself, so there is no join and no shuffle of the rows. The result has a row per row and later year, so
+    show it for a selection; :func:`cumulative_year_counts` is the aggregate.
     """
     years = (
-        df.select(_calendar_year(F.col(col)).alias("y"))
+        df.select(F.col(col).alias("y"))
         .where(F.col("y").isNotNull())
         .distinct()
         .agg(F.sort_array(F.collect_list("y")).alias("years"))
@@ -40,9 +31,9 @@ def cumulative_frames(df: DataFrame, col: str = "iyear", label: str = "iyear_str
 def cumulative_year_counts(df: DataFrame, col: str = "iyear") -> DataFrame:
     """Per frame, the count of each single year up to it. Not a running sum.
 
-    Counted per year first; frames are made from that result alone (at most 9,999 rows).
+    Counted per year first; frames are made from that result alone, one row per observed year.
     """
-    counts = df.where(F.col(col).isNotNull()).groupBy(_calendar_year(F.col(col)).alias("y")).agg(
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("y")).agg(
         F.count("*").alias("n")
     )
     series = counts.agg(F.sort_array(F.collect_list(F.struct("y", "n"))).alias("series"))

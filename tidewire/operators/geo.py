@@ -5,12 +5,11 @@ Bandwidth: the sample covariance times the square of n^(-1/6). The grid reaches
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SPREAD = 64  # tasks that evaluate the kernel for binned points
-
-
 def _points(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where(
         F.col("x").isNotNull() & F.col("y").isNotNull()
@@ -49,7 +48,8 @@ def kde_grid(
 ) -> DataFrame:
     """(ix, iy, x, y, density). ``bins=None`` evaluates every point: exact, at gridsize^2 steps per point.
 
-    All statistics come from the points themselves, in one pass; binning only moves points to their cell's mean.
+    All statistics come from the points themselves, in one pass; binning only moves points to their cell's mean. The
+    kernel is summed in numpy, a grid per task, which is what is shuffled.
     """
     points = _points(df, x, y)
     stats = points.select(
@@ -67,8 +67,9 @@ def kde_grid(
     if bins is None:
         weighted = points.select("x", "y", F.lit(1e0).alias("w"))
     else:
-        # A fixed spread: the cells are few rows but carry all the work, and must not end up in one task.
-        cells = bin_points(df, x, y, bins).repartition(_SPREAD, "cx", "cy")
+        # The cells are few rows but carry all the work: given a number, Spark does not merge them into one task.
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cells = bin_points(df, x, y, bins).repartition(tasks, "cx", "cy")
         weighted = cells.select(
             F.col("mean_x").alias("x"), F.col("mean_y").alias("y"), F.col("weight").cast("double").alias("w")
         )
@@ -92,21 +93,37 @@ def kde_grid(
         (s.n * F.lit(2e0) * F.pi() * F.sqrt(det)).alias("norm"),
     )
     placed = weighted.withColumn("s", stats).where(det > 0).select("x", "y", "w", grid.alias("g"))
-    g = F.col("g")
-    steps = F.sequence(F.lit(0), F.lit(gridsize - 1))
-    px, py = g.gx + F.col("ix") * g.sx, g.gy + F.col("iy") * g.sy
-    columns = placed.withColumn("ix", F.explode(steps)).select(
-        "y", "w", "g", "ix", px.alias("px"), (px - F.col("x")).alias("dx")
-    )
-    cells = columns.withColumn("iy", F.explode(steps)).select(
-        "w", "g", "ix", "iy", "px", "dx", py.alias("py"), (py - F.col("y")).alias("dy")
-    )
-    dx, dy = F.col("dx"), F.col("dy")
-    distance = g.axx * dx * dx + F.lit(2e0) * g.axy * dx * dy + g.ayy * dy * dy
-    kernel = F.col("w") * F.exp(F.lit(-0.5e0) * distance) / g.norm
-    return cells.groupBy("ix", "iy").agg(
-        F.max("px").alias("x"), F.max("py").alias("y"), F.sum(kernel).alias("density")
-    )
+    names = ["gx", "sx", "gy", "sy", "axx", "ayy", "axy", "norm"]
+    rows = placed.select("x", "y", "w", *[F.col(f"g.{name}").alias(name) for name in names])
+
+    def partial_sums(batches):
+        """The kernel of a task's points on the whole grid, summed: points never become points times grid rows."""
+        total, numbers = None, None
+        for batch in batches:
+            for low in range(0, len(batch), 1024):
+                part = batch.iloc[low : low + 1024]
+                numbers = part[names].iloc[0]
+                steps = np.arange(gridsize, dtype=float)
+                dx = (numbers.gx + steps * numbers.sx)[None, :] - part["x"].to_numpy()[:, None]
+                dy = (numbers.gy + steps * numbers.sy)[None, :] - part["y"].to_numpy()[:, None]
+                weight = part["w"].to_numpy() / numbers.norm
+                for i in range(gridsize):
+                    distance = (
+                        (numbers.axx * dx[:, i] ** 2)[:, None]
+                        + 2 * numbers.axy * dx[:, i][:, None] * dy
+                        + numbers.ayy * dy**2
+                    )
+                    total = np.zeros((gridsize, gridsize)) if total is None else total
+                    total[i] += weight @ np.exp(-0.5 * distance)
+        if total is not None:
+            ix, iy = np.divmod(np.arange(gridsize * gridsize), gridsize)
+            yield pd.DataFrame({
+                "ix": ix.astype(np.int32), "iy": iy.astype(np.int32), "x": numbers.gx + ix * numbers.sx,
+                "y": numbers.gy + iy * numbers.sy, "density": total.ravel(),
+            })
+
+    sums = rows.mapInPandas(partial_sums, "ix int, iy int, x double, y double, density double")
+    return sums.groupBy("ix", "iy").agg(F.max("x").alias("x"), F.max("y").alias("y"), F.sum("density").alias("density"))
 
 
 def density_levels(grid: DataFrame, thresh: float = 0.05, levels: int = 10) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import words as W
 from ..functions.once import once
 from ..session import materialize
 from .filters import restrict_to
-from .views import order_rows_by, top_n
+from .views import top_n
 
 
 def title_tokens(df: DataFrame, col: str, stop: list[str], keep: list[str]) -> DataFrame:
@@ -63,35 +63,50 @@ def keyword_source_long(
 def keyword_source_matrix(
     df: DataFrame, stop: list[str], n_sources: int = 20, n_keywords: int = 15, values: list[str] | None = None
 ) -> DataFrame:
-    """Keywords by sources, 0 where a pair is missing, rows by keyword frequency."""
-    pairs = materialize(source_tokens(df, stop, n_sources), "pairs")
-    ranked = ranked_tokens(pairs, n_keywords)
-    long = restrict_to(pairs, ranked, "token")
-    matrix = long.groupBy("token").pivot("source_name", values).agg(F.sum("count"))
-    cells = [c for c in matrix.columns if c != "token"]
-    matrix = matrix.na.fill(0, cells) if cells else matrix
-    return order_rows_by(matrix, ranked, "token", "kw_rank")
+    """Keywords by sources, 0 where a pair is missing, rows by keyword frequency.
+
+    The counts per token and source are gathered per token, at most ``n_sources`` entries each; the top tokens then
+    carry their whole row of the matrix with them.
+    """
+    entry = F.struct("source_name", "count")
+    gathered = source_tokens(df, stop, n_sources).groupBy("token").agg(
+        F.sum("count").alias("total"), F.collect_list(entry).alias("entries")
+    )
+    top = materialize(gathered.orderBy(F.col("total").desc(), "token").limit(n_keywords), "keywords")
+    ranked = top.withColumn("kw_rank", F.row_number().over(Window.orderBy(F.col("total").desc(), "token")))
+    long = ranked.select("token", "kw_rank", F.inline("entries").alias("source_name", "count"))
+    matrix = long.groupBy("token", "kw_rank").pivot("source_name", values).agg(F.sum("count"))
+    cells = [c for c in matrix.columns if c not in ("token", "kw_rank")]
+    return (matrix.na.fill(0, cells) if cells else matrix).select("token", *cells, "kw_rank").orderBy("kw_rank")
 
 
 def fold_forms(counts: DataFrame) -> DataFrame:
     """(word, n) to (stem, term, n): adds up letter case and, where the singular occurs, simple plurals.
 
-    ``term`` is the most frequent spelling (ties: the smallest). Works on the vocabulary, not on the tokens; a
-    group holds the spellings of one word.
+    ``term`` is the most frequent spelling (ties: the smallest). Works on the vocabulary, not on the tokens: one row
+    per spelling, then one group per word that holds its spellings.
     """
     lower = F.lower("word")
-    forms = counts.select("word", "n", W.stem(lower).alias("stem"), W.is_plural(lower).alias("plural"))
-    singular_seen = F.max(~F.col("plural")).over(Window.partitionBy("stem"))
-    cut = F.substring("word", F.lit(1), F.length("word") - 1)
-    forms = forms.withColumn("form", F.when(F.col("plural") & singular_seen, cut).otherwise(F.col("word")))
-    spellings = forms.groupBy("stem", "form").agg(F.sum("n").alias("n"))
-    best = F.min(F.struct((-F.col("n")).alias("rank"), F.col("form")))
-    return spellings.groupBy("stem").agg(F.sum("n").alias("n"), best.alias("best")).select(
-        "stem", F.col("best.form").alias("term"), "n"
+    forms = counts.groupBy("word").agg(F.sum("n").alias("n")).select(
+        W.stem(lower).alias("stem"), F.struct("word", "n", W.is_plural(lower).alias("plural")).alias("form")
+    )
+    words = forms.groupBy("stem").agg(F.collect_list("form").alias("forms"), F.min("form.plural").alias("only_plural"))
+    cut = lambda f: F.when(
+        f["plural"] & ~F.col("only_plural"), F.substring(f["word"], F.lit(1), F.length(f["word"]) - 1)
+    ).otherwise(f["word"])
+    spelled = F.transform("forms", lambda f: F.struct(cut(f).alias("form"), f["n"].alias("n")))
+    # A spelling may come from the singular and from a plural that was cut.
+    total = lambda form: F.aggregate(
+        F.filter("spelled", lambda s: s["form"] == form), F.lit(0).cast("long"), lambda sum_, s: sum_ + s["n"]
+    )
+    ranked = F.transform("spelled", lambda s: F.struct((-total(s["form"])).alias("rank"), s["form"].alias("form")))
+    every = F.aggregate("spelled", F.lit(0).cast("long"), lambda sum_, s: sum_ + s["n"])
+    return words.select("stem", spelled.alias("spelled")).select(
+        "stem", F.array_min(ranked)["form"].alias("term"), every.alias("n")
     )
 
 
-def word_counts(df: DataFrame, col: str, stop: list[str], min_word_length: int = 2) -> DataFrame:
+def word_counts(df: DataFrame, col: str, stop: list[str], min_word_length: int = 0) -> DataFrame:
     """(word, n) of all words that are neither stop words nor numbers, as spelled; a word may come in two rows."""
     raw = df.select(F.explode(W.raw_words(F.col(col), min_word_length)).alias("raw"))
     counts = raw.groupBy("raw").agg(F.count("*").alias("n"))
@@ -99,20 +114,21 @@ def word_counts(df: DataFrame, col: str, stop: list[str], min_word_length: int =
     return words.where(~F.lower("word").isin(stop))
 
 
-def adjacent_pairs(df: DataFrame, col: str, stop: list[str], min_word_length: int = 2) -> DataFrame:
+def adjacent_pairs(df: DataFrame, col: str, stop: list[str], min_word_length: int = 0) -> DataFrame:
     """(w1, w2, n): every non-stop word with its successor, NULL if that is a stop word or the text ends.
 
-    Pairs are formed inside a row, before stop words go, so there is no shuffle by document. The sum over w2 gives
-    the word counts, so one pass over the texts serves both. A pair may come in several rows.
+    Pairs are formed inside a row, before stop words go, so there is no shuffle by document; each word is tested
+    once. The sum over w2 gives the word counts, so one pass over the texts serves both.
     """
-    texts = df.where(F.col(col).isNotNull()).select(W.raw_words(F.col(col), min_word_length).alias("t"))
+    def tested(raw: Column) -> Column:
+        return F.when(~W.is_stop(raw, stop), W.cut_possessive(raw))
+
+    texts = df.where(F.col(col).isNotNull()).select(
+        once(F.transform(W.raw_words(F.col(col), min_word_length), tested)).alias("t")
+    )
     following = F.slice("t", F.lit(2), F.greatest(F.size("t") - 1, F.lit(0)))
     pairs = texts.select(F.inline(F.arrays_zip(F.col("t").alias("w1"), following.alias("w2"))).alias("w1", "w2"))
-    pairs = pairs.where(~W.is_stop(F.col("w1"), stop)).select(
-        "w1", F.when(~W.is_stop(F.col("w2"), stop), F.col("w2")).alias("w2")
-    )
-    counts = pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
-    return counts.select(W.cut_possessive(F.col("w1")).alias("w1"), W.cut_possessive(F.col("w2")).alias("w2"), "n")
+    return pairs.where(F.col("w1").isNotNull()).groupBy("w1", "w2").agg(F.count("*").alias("n"))
 
 
 def _log_likelihood(k: Column, n: Column, x: Column) -> Column:
@@ -160,26 +176,22 @@ def _collocations(pairs: DataFrame, unigrams: DataFrame, threshold: float) -> Da
     )
 
 
-def _stage(df: DataFrame, label: str, lazy: bool) -> DataFrame:
-    return df if lazy else materialize(df, label)
-
-
 def collocations(
-    df: DataFrame, col: str, stop: list[str], threshold: float = 30, min_word_length: int = 2, lazy: bool = False
+    df: DataFrame, col: str, stop: list[str], threshold: float = 30, min_word_length: int = 0
 ) -> DataFrame:
     """Word pairs that occur together far more often than by chance, with their score.
 
-    Counts that several branches need are written once; ``lazy`` runs nothing now and recomputes them instead.
+    Counts that several branches need are written once.
     """
-    pairs = _stage(adjacent_pairs(df, col, stop, min_word_length), "pairs", lazy)
-    unigrams = _stage(_unigrams(pairs), "unigrams", lazy)
+    pairs = materialize(adjacent_pairs(df, col, stop, min_word_length), "pairs")
+    unigrams = materialize(_unigrams(pairs), "unigrams")
     return _collocations(pairs, unigrams, threshold)
 
 
-def _with_collocations(pairs: DataFrame, threshold: float, lazy: bool) -> DataFrame:
+def _with_collocations(pairs: DataFrame, threshold: float) -> DataFrame:
     """A strong pair becomes a term of its own, its count leaves both words, and what is used up vanishes."""
-    unigrams = _stage(_unigrams(pairs), "unigrams", lazy)
-    strong = _stage(_collocations(pairs, unigrams, threshold), "collocations", lazy)
+    unigrams = materialize(_unigrams(pairs), "unigrams")
+    strong = materialize(_collocations(pairs, unigrams, threshold), "collocations")
     used = (
         strong.select(F.explode(F.array("word1", "word2")).alias("term"), "c12")
         .groupBy("term")
@@ -203,13 +215,12 @@ def word_frequencies(
     max_words: int = 200,
     with_collocations: bool = False,
     threshold: float = 30,
-    min_word_length: int = 2,
-    lazy: bool = False,
+    min_word_length: int = 0,
 ) -> DataFrame:
     """The most frequent terms of a text column: (term, count, weight)."""
     if with_collocations:
-        pairs = _stage(adjacent_pairs(df, col, stop, min_word_length), "pairs", lazy)
-        terms = _with_collocations(pairs, threshold, lazy)
+        pairs = materialize(adjacent_pairs(df, col, stop, min_word_length), "pairs")
+        terms = _with_collocations(pairs, threshold)
     else:
         terms = fold_forms(word_counts(df, col, stop, min_word_length)).select("term", "n")
     top = terms.orderBy(F.col("n").desc(), "term").limit(max_words)

@@ -71,10 +71,13 @@ def cooccurrence(df: DataFrame, a: str, b: str, drop_null_keys: bool = False) ->
 
 
 def crosstab(
-    df: DataFrame, a: str, b: str, values: list[str] | None = None, drop_null_keys: bool = True
+    df: DataFrame, a: str, b: str, values: list[str] | None = None, drop_null_keys: bool = True,
+    null_column: str = "(none)",
 ) -> DataFrame:
     """Matrix of counts, one row per ``a``, one column per value of ``b``, 0 where a pair is missing.
 
+    With ``drop_null_keys=False`` NULL in ``a`` is a row of its own and NULL in ``b`` the column ``null_column``.
+
     With ``values`` the result is lazy. Without, the column names come from the data: the pair counts are written
     once and both the names and the matrix come from there, so the input is scanned once. Spark refuses more than
     ``spark.sql.pivotMaxValues`` columns; :func:`cooccurrence` has the same content in long form.
@@ -82,6 +85,8 @@ def crosstab(
     if drop_null_keys:
         df = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     counts = df.groupBy(a, b).agg(F.count("*").alias("count"))
+    if not drop_null_keys:
+        counts = counts.withColumn(b, F.coalesce(b, F.lit(null_column)))
     if values is None:
         counts = materialize(counts, "crosstab")
     matrix = counts.groupBy(a).pivot(b, values).agg(F.sum("count"))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..operators.filters import has_coordinates
 from ..schemas import CLEAN, RAW_COLUMNS
-from ..session import spread
 from ..sources.articles import as_api_articles
 
 PAGE_SIZE = 20
@@ -36,8 +35,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def incidents(spark: SparkSession, sf_dir: str, summary: bool = False) -> DataFrame:
     """One typed row per order. ``summary`` adds the document texts, which costs a join; without it, it is NULL."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    if summary:
-        orders = spread(orders)  # the texts that the join adds are costly to work on
     # Nation and region have 25 and 5 rows at every scale.
     places = table(spark, sf_dir, "nation").join(
         F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")
@@ -91,8 +88,9 @@ def incidents_raw(spark: SparkSession, sf_dir: str, summary: bool = True) -> Dat
 
 
 def articles_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One article per document, ``off`` is the arrival order. Exact copies share title and time."""
-    return spread(table(spark, sf_dir, "documents")).selectExpr(
+    """One article per document, ``off`` is the arrival order. Exact copies share title and time; there are twice as
+    many source names as sources."""
+    return table(spark, sf_dir, "documents").selectExpr(
         "doc_id AS off",
         "if(doc_id % 41 = 0, NULL, text) AS title",
         """CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN ''
@@ -100,7 +98,7 @@ def articles_in(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ELSE concat('http://news.example/', doc_id div 4) END AS url""",
         """if(doc_id % 29 = 0, NULL,
               timestamp_ntz '2025-01-01 00:00:00' + n_chars * interval '1' minute) AS published_at""",
-        "if(doc_id % 23 = 0, NULL, source) AS source_name",
+        "if(doc_id % 23 = 0, NULL, if(doc_id % 7 = 3, concat(source, ' wire'), source)) AS source_name",
         "if(doc_id % 3 = 0, NULL, concat('author ', lang)) AS author",
         "concat(lang, ' ', n_chars) AS description",
         "text AS content",
@@ -111,13 +109,14 @@ def messages(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFram
     """(off, value): every article as a JSON message. ``broken`` damages some of them by rule."""
     api = as_api_articles(articles_in(spark, sf_dir), keep=["off"])
     packed = api.select("off", F.struct(*[c for c in api.columns if c != "off"]).alias("article"))
-    value = F.to_json("article", {"ignoreNullFields": "false"})
+    whole = {"ignoreNullFields": "false"}
+    value = F.to_json("article", whole)
     if broken:
         off, article = F.col("off"), F.col("article")
         value = (
             F.when(off % 17 == 0, F.concat(F.lit("{broken "), value))
-            .when(off % 19 == 0, F.to_json(article.withField("publishedAt", F.lit("notadate"))))
-            .when(off % 13 == 0, F.to_json(article.withField("source", F.lit("a plain string"))))
+            .when(off % 19 == 0, F.to_json(article.withField("publishedAt", F.lit("notadate")), whole))
+            .when(off % 13 == 0, F.to_json(article.withField("source", F.lit("a plain string")), whole))
             .otherwise(value)
         )
     return packed.select("off", value.alias("value"))

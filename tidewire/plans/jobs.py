@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.words import BASE_STOPWORDS, NEWS_STOPWORDS, stopwords
 from ..operators import filters, frames, geo, sampling, text, views
-from ..session import materialize
+from ..session import materialize, scratch_scope
 from ..sources.incidents import clean_incidents, read_incident_csv
 from ..sources.tables import export_results, read_table, write_clean, write_raw
 
@@ -36,10 +36,9 @@ def run_incident_job(spark: SparkSession, csv: str, out: str, on_error: str = "f
         clean_incidents(read_table(spark, f"{out}/incidents_raw"), on_error), f"{out}/incidents_clean"
     )
     clean = read_table(spark, f"{out}/incidents_clean")
-    outcome = export_results(incident_views(clean), f"{out}/views")
-    outcome |= export_results(
-        {"attack_target_matrix": views.crosstab(clean, "attacktype1_txt", "targtype1_txt")}, f"{out}/views"
-    )
+    with scratch_scope(spark):
+        matrix = views.crosstab(clean, "attacktype1_txt", "targtype1_txt", drop_null_keys=False)
+        outcome = export_results(incident_views(clean) | {"attack_target_matrix": matrix}, f"{out}/views")
     failed = {name: error for name, error in outcome.items() if error != "ok"}
     if failed:
         raise RuntimeError(f"views failed: {failed}")
@@ -57,7 +56,8 @@ def run_news_job(spark: SparkSession, articles: DataFrame, out: str) -> dict[str
     outcome = {}
     for name, build in analyses.items():
         try:
-            outcome |= export_results({name: build()}, out)
+            with scratch_scope(spark):
+                outcome |= export_results({name: build()}, out)
         except Exception as error:
             outcome[name] = f"{type(error).__name__}: {error}"
     return outcome
@@ -73,9 +73,10 @@ def explore(
     sample_n: int | None = None,
     seed: int = 42,
 ) -> dict[str, DataFrame]:
-    """The interactive views over the filtered rows, all lazy and all empty for an empty selection.
+    """The interactive views over the filtered rows, all empty for an empty selection.
 
-    Totals cover every filtered row; with ``sample_n`` all views work on one stored random sample instead.
+    Totals cover every filtered row; with ``sample_n`` all views work on one stored random sample instead. The word
+    pairs of the summaries and the counts of the matrix are written once, when this is called; all else is lazy.
     """
     rows = filters.filter_incidents(clean, years, region, country, attack, group)
     if sample_n is not None:
@@ -90,5 +91,6 @@ def explore(
         "countries": views.ranked_counts(shown, "country_txt", "country", drop_null_keys=True),
         "attack_trend": views.trend(shown, drop_null_keys=True),
         "attack_targets": views.cooccurrence(shown, "attacktype1_txt", "targtype1_txt", drop_null_keys=True),
-        "summary_words": text.word_frequencies(shown, "summary", stopwords(), with_collocations=True, lazy=True),
+        "attack_target_matrix": views.crosstab(shown, "attacktype1_txt", "targtype1_txt"),
+        "summary_words": text.word_frequencies(shown, "summary", stopwords(), with_collocations=True),
     }

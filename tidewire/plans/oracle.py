@@ -76,19 +76,36 @@ articles_in AS (
               ELSE concat('http://news.example/', doc_id // 4) END AS url,
          CASE WHEN doc_id % 29 <> 0
               THEN TIMESTAMP '2025-01-01 00:00:00' + n_chars * INTERVAL '1' MINUTE END AS published_at,
-         CASE WHEN doc_id % 23 <> 0 THEN source END AS source_name,
+         CASE WHEN doc_id % 23 <> 0 THEN CASE WHEN doc_id % 7 = 3 THEN source || ' wire' ELSE source END END
+           AS source_name,
          CASE WHEN doc_id % 3 <> 0 THEN concat('author ', lang) END AS author,
          concat(lang, ' ', n_chars) AS description,
          text AS content
   FROM documents
 )"""
 
+_ISO = "strftime(published_at, '%Y-%m-%dT%H:%M:%SZ')"
+
+
+def _message(source: str) -> str:
+    """The JSON text of an article."""
+    fields = {"title": "title", "url": "url", "publishedAt": _ISO, "source": None, "author": "author",
+              "description": "description", "content": "content"}
+    quoted = {name: source if sql is None else f"coalesce(CAST(to_json({sql}) AS VARCHAR), 'null')"
+              for name, sql in fields.items()}
+    return "'{' || " + " || ',' || ".join(f"""'"{name}":' || {sql}""" for name, sql in quoted.items()) + " || '}'"
+
+
+_SOURCE = """'{"name":' || coalesce(CAST(to_json(source_name) AS VARCHAR), 'null') || '}'"""
+
 # Messages that survive decoding: damaged JSON and damaged times are gone, a plain-text source has no name.
 ACCEPTED = (
     ARTICLES
-    + """,
+    + f""",
 accepted AS (
-  SELECT * REPLACE (CASE WHEN off % 13 <> 0 THEN source_name END AS source_name)
+  SELECT * REPLACE (CASE WHEN off % 13 <> 0 THEN source_name END AS source_name),
+         CASE WHEN off % 13 <> 0 THEN {_message(_SOURCE)}
+              ELSE {_message("""'"a plain string"'""")} END AS raw_json
   FROM articles_in WHERE off % 17 <> 0 AND off % 19 <> 0
 )"""
 )
@@ -150,14 +167,16 @@ _incidents(
     "load_clean_report",
     """SELECT 'raw' AS stage, count(*) AS rows FROM incidents UNION ALL SELECT 'clean', count(*) FROM clean""",
 )
-_articles("articles_scan", f"SELECT {FIELDS} FROM articles_in")
+_articles("articles_scan", f"SELECT {FIELDS}, {_message(_SOURCE)} AS raw_json FROM articles_in")
 _articles("articles_count", "SELECT count(*) AS articles FROM articles_in")
 _articles(
     "decode_articles",
-    """SELECT off, off % 17 <> 0 AS decoded, CASE WHEN off % 17 <> 0 THEN title END AS title,
-              CASE WHEN off % 17 <> 0 THEN url END AS url FROM articles_in""",
+    f"""SELECT a.off, d.off IS NOT NULL AS decoded, d.title, d.url, d.publishedAt, d.author, d.description, d.content
+        FROM articles_in a LEFT JOIN (
+          SELECT *, CASE WHEN off % 19 = 0 THEN 'notadate' ELSE {_ISO} END AS publishedAt
+          FROM articles_in WHERE off % 17 <> 0) d ON a.off = d.off""",
 )
-ORACLE["extract_article_fields"] = _with(ACCEPTED, f"SELECT {FIELDS} FROM accepted")
+ORACLE["extract_article_fields"] = _with(ACCEPTED, f"SELECT {FIELDS}, raw_json FROM accepted")
 _articles(
     "quarantine_bad_articles",
     """SELECT off, CASE WHEN off % 17 = 0 THEN 'invalid json' ELSE 'bad timestamp' END AS reject_reason
@@ -210,9 +229,36 @@ ORACLE["dedupe_articles_incremental"] = _with(
     {_deduped('stored', 'older', 'nothing')}, {_deduped('kept', 'newer', 'stored')}""",
     f"SELECT {FIELDS} FROM kept",
 )
-ORACLE["stream_ingest_articles"] = _with(
-    f"{ACCEPTED}, {_NOTHING}, {_deduped('kept', 'accepted', 'nothing')}",
-    "SELECT title, url, published_at, source_name, author, description, content FROM kept",
+_STORED = f"{ACCEPTED}, {_NOTHING}, {_deduped('kept', 'accepted', 'nothing')}"
+_STORED_COLUMNS = "title, url, published_at, source_name, author, description, content, raw_json"
+for _name in ("stream_ingest_articles", "stream_compacted_articles"):
+    ORACLE[_name] = _with(_STORED, f"SELECT {_STORED_COLUMNS} FROM kept")
+# What has no key is read again and stored again.
+ORACLE["stream_ingest_new_checkpoint"] = _with(
+    _STORED,
+    f"""SELECT {_STORED_COLUMNS} FROM kept UNION ALL SELECT {_STORED_COLUMNS} FROM accepted
+        WHERE off < {MIDDLE} AND coalesce(url, '') = '' AND (title IS NULL OR published_at IS NULL)""",
+)
+ORACLE["stream_ingest_small_batches"] = _with(
+    ACCEPTED, "SELECT url, count(DISTINCT url) AS copies FROM accepted WHERE coalesce(url, '') <> '' GROUP BY url"
+)
+ORACLE["stream_recent_articles"] = _with(
+    ACCEPTED, "SELECT DISTINCT url FROM accepted WHERE coalesce(url, '') <> '' AND published_at IS NOT NULL"
+)
+ORACLE["quarantined_stream_messages"] = ORACLE["quarantine_bad_articles"]
+
+# Sinks
+
+_incidents(
+    "sink_raw_and_clean",
+    """SELECT iyear, count(*) AS rows, CAST(sum(eventid) AS BIGINT) AS ids,
+              CAST(sum(length(summary)) AS BIGINT) AS summary_chars,
+              (SELECT count(*) FROM incidents) AS raw_rows, (SELECT count(*) FROM clean) AS clean_rows
+       FROM clean GROUP BY iyear""",
+)
+_incidents(
+    "sink_exported_views",
+    "SELECT region_txt AS region, count(*) AS count, 'broken' AS failed FROM clean GROUP BY region_txt",
 )
 
 # Filters and projections
@@ -220,7 +266,7 @@ ORACLE["stream_ingest_articles"] = _with(
 _FILTERED = """WHERE iyear BETWEEN 1996 AND 1999 AND region_txt = 'ASIA' AND attacktype1_txt = '2-HIGH'"""
 _SHOWN = "iyear, country_txt, region_txt, city, latitude, longitude, attacktype1_txt, targtype1_txt, gname, nkill, nwound"
 _incidents("filtered_incidents", f"SELECT {_SHOWN}, summary FROM clean {_FILTERED}")
-_incidents("filtered_incidents_quote", f"SELECT {_SHOWN} FROM clean WHERE gname = 'O''Neil'")
+_incidents("filtered_incidents_quote", f"SELECT {_SHOWN}, summary FROM clean WHERE gname = 'O''Neil'")
 _incidents(
     "null_filled_incidents",
     """SELECT eventid, iyear, CAST(iyear AS VARCHAR) AS iyear_str, coalesce(nkill, 1) AS nkill_size,
@@ -228,12 +274,12 @@ _incidents(
 )
 _incidents(
     "locations_limit",
-    """SELECT latitude, longitude FROM clean ORDER BY md5(CAST(eventid AS VARCHAR) || '|0'), eventid LIMIT 200000""",
+    """SELECT latitude, longitude FROM clean ORDER BY md5(CAST(eventid AS VARCHAR) || '|0'), eventid LIMIT 1000""",
 )
 _incidents(
     "nonnull_texts_limit",
     """SELECT eventid, summary FROM clean WHERE summary IS NOT NULL
-       ORDER BY md5(CAST(eventid AS VARCHAR) || '|0'), eventid LIMIT 50000""",
+       ORDER BY md5(CAST(eventid AS VARCHAR) || '|0'), eventid LIMIT 150""",
 )
 _incidents("year_bounds", "SELECT min(iyear) AS min_year, max(iyear) AS max_year FROM clean")
 for _name, _col, _where in [
@@ -277,6 +323,12 @@ _incidents(
     + ", ".join(f"count(*) FILTER (WHERE targtype1_txt = '{s}') AS \"{s}\"" for s in _SEGMENTS)
     + " FROM clean WHERE attacktype1_txt IS NOT NULL AND targtype1_txt IS NOT NULL GROUP BY 1",
 )
+_incidents(
+    "attack_target_matrix_all",
+    "SELECT attacktype1_txt, count(*) FILTER (WHERE targtype1_txt IS NULL) AS \"(none)\", "
+    + ", ".join(f"count(*) FILTER (WHERE targtype1_txt = '{s}') AS \"{s}\"" for s in _SEGMENTS)
+    + " FROM clean GROUP BY 1",
+)
 _TREND = """SELECT iyear, attacktype1_txt AS attack, count(*) AS incidents,
                    CAST(sum(coalesce(nkill, 0)) AS BIGINT) AS fatalities"""
 _incidents(
@@ -300,8 +352,7 @@ _incidents(
 )
 _incidents(
     "sample_subset",
-    """SELECT * EXCLUDE (summary) FROM clean
-       ORDER BY md5(CAST(eventid AS VARCHAR) || '|42'), eventid LIMIT 20000""",
+    """SELECT * FROM clean ORDER BY md5(CAST(eventid AS VARCHAR) || '|42'), eventid LIMIT 1000""",
 )
 _articles(
     "latest_articles",
@@ -317,8 +368,8 @@ _articles(
 
 _incidents(
     "cumulative_frames",
-    """SELECT eventid, c.iyear, latitude, longitude, attacktype1_txt, gname, nkill,
-              CAST(f.iyear AS VARCHAR) AS iyear_str
+    """SELECT c.* REPLACE (coalesce(nkill, 0) AS nkill, coalesce(nwound, 0) AS nwound),
+              coalesce(nkill, 1) AS nkill_size, CAST(f.iyear AS VARCHAR) AS iyear_str
        FROM clean c JOIN (SELECT DISTINCT iyear FROM clean) f ON c.iyear <= f.iyear""",
 )
 _incidents(
@@ -381,8 +432,8 @@ ORACLE["keyword_source_matrix"] = _with(
 def _folded(name: str, source: str) -> str:
     """CTE: words of ``source`` folded over letter case and simple plurals, as (key, term, n)."""
     return f"""
-{name}_spelled AS (SELECT word, lower(word) AS low, count(*) AS n FROM {source} GROUP BY 1, 2),
-{name}_merged AS (
+{name}_spelled AS MATERIALIZED (SELECT word, lower(word) AS low, count(*) AS n FROM {source} GROUP BY 1, 2),
+{name}_merged AS MATERIALIZED (
   SELECT w.low, CASE WHEN s.low IS NOT NULL THEN s.low ELSE w.low END AS key,
          CASE WHEN s.low IS NOT NULL THEN substr(w.word, 1, length(w.word) - 1) ELSE w.word END AS form, w.n
   FROM {name}_spelled w
@@ -390,12 +441,12 @@ def _folded(name: str, source: str) -> str:
     ON w.low LIKE '%s' AND w.low NOT LIKE '%ss' AND s.low = substr(w.low, 1, length(w.low) - 1)
 ),
 {name}_forms AS (SELECT key, form, sum(n) AS n FROM {name}_merged GROUP BY 1, 2),
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT key, first(form ORDER BY n DESC, form) AS term, CAST(sum(n) AS BIGINT) AS n FROM {name}_forms GROUP BY 1
 )"""
 
 
-_PATTERN = r"[\p{L}\p{N}_][\p{L}\p{N}_'']+"
+_PATTERN = r"[\p{L}\p{N}_][\p{L}\p{N}_'']*"
 _CUT = "CASE WHEN lower(w) LIKE '%''s' THEN substr(w, 1, length(w) - 2) ELSE w END"
 _WEIGHTED = """SELECT term, n AS count, round(CAST(n AS DOUBLE) / max(n) OVER (), 9) AS weight
                FROM (SELECT * FROM {terms} ORDER BY n DESC, term LIMIT 200)"""
@@ -411,16 +462,18 @@ counted AS (SELECT word FROM words WHERE NOT regexp_full_match(word, '\\p{{Nd}}+
 
 COLLOCATIONS = f"""{INCIDENTS},
 texts AS (
-  SELECT eventid, list_filter(
+  SELECT list_filter(
            list_transform(regexp_extract_all(summary, '{_PATTERN}'), lambda w: {_CUT}),
            lambda w: NOT regexp_full_match(w, '\\p{{Nd}}+')) AS t
   FROM clean WHERE summary IS NOT NULL
 ),
-seq AS (SELECT eventid, unnest(t) AS w, unnest(range(len(t))) AS i FROM texts),
-unigram AS (SELECT w AS word FROM seq WHERE lower(w) NOT IN ({STOP})),
+seq AS MATERIALIZED (
+  SELECT unnest(t) AS w, unnest(list_append(t[2:], NULL)) AS following FROM texts WHERE len(t) > 0
+),
+unigram AS MATERIALIZED (SELECT w AS word FROM seq WHERE lower(w) NOT IN ({STOP})),
 bigram AS (
-  SELECT a.w || ' ' || b.w AS word FROM seq a JOIN seq b ON a.eventid = b.eventid AND b.i = a.i + 1
-  WHERE lower(a.w) NOT IN ({STOP}) AND lower(b.w) NOT IN ({STOP})
+  SELECT w || ' ' || following AS word FROM seq
+  WHERE lower(w) NOT IN ({STOP}) AND lower(following) NOT IN ({STOP})
 ),
 {_folded('uni', 'unigram')},
 {_folded('bi', 'bigram')},
@@ -453,8 +506,7 @@ ORACLE["summary_collocations"] = _with(
     """SELECT bigram, word1, word2, n12 AS c12, CAST(c1 AS BIGINT) AS c1, CAST(c2 AS BIGINT) AS c2,
               round(score, 6) AS score FROM strong""",
 )
-ORACLE["summary_word_freq"] = _with(
-    f"""{COLLOCATIONS},
+_WORD_TERMS = """,
 used AS (
   SELECT term, sum(n12) AS n FROM
     (SELECT word1 AS term, n12 FROM strong UNION ALL SELECT word2, n12 FROM strong) GROUP BY 1
@@ -463,9 +515,8 @@ terms AS (
   SELECT uni.term, CAST(uni.n - coalesce(used.n, 0) AS BIGINT) AS n FROM uni LEFT JOIN used ON uni.term = used.term
   WHERE uni.n - coalesce(used.n, 0) > 0
   UNION ALL SELECT bigram, n12 FROM strong
-)""",
-    _WEIGHTED.format(terms="terms"),
-)
+)"""
+ORACLE["summary_word_freq"] = _with(COLLOCATIONS + _WORD_TERMS, _WEIGHTED.format(terms="terms"))
 
 # Density
 
@@ -526,13 +577,106 @@ ORACLE["kde_density_exact"] = _with(
     "SELECT ix, iy, round(x, 9) AS x, round(y, 9) AS y, round(density, 8) AS density FROM density",
 )
 ORACLE["kde_levels"] = _with(
-    f"""{VECTORS}, {EXACT},
+    f"""{LOCATIONS}, {_bins('points', 128)},
+    {_kde("points", "mean_x AS px, mean_y AS py, CAST(weight AS DOUBLE) AS w FROM cells")},
 shares AS (SELECT CAST(i AS INTEGER) AS level, 0.05e0 + i * (1e0 - 0.05e0) / 9e0 AS share FROM range(10) r(i)),
 running AS (
   SELECT density, sum(density) OVER (ORDER BY density DESC, ix, iy ROWS UNBOUNDED PRECEDING)
                   / sum(density) OVER () AS mass FROM density
 )""",
     """SELECT level, round(share, 6) AS share,
-              round(coalesce(max(density) FILTER (WHERE mass >= 1e0 - share), min(density)), 8) AS density
+              round(coalesce(max(density) FILTER (WHERE mass >= 1e0 - share), min(density)), 11) AS density
        FROM shares, running GROUP BY level, share""",
 )
+
+# Jobs
+
+
+def _view(view: str, keys: list[str], value: str, source: str) -> str:
+    key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys)
+    return f"SELECT '{view}' AS view, {key} AS key, CAST({value} AS BIGINT) AS value FROM {source}"
+
+
+def _cells(row: str, rows: str, source: str, cols: list[tuple[str, str]], col: str = "targtype1_txt") -> str:
+    """The cells of a matrix: every row with every column."""
+    listed = ", ".join(f"('{name}', '{value}')" for name, value in cols)
+    return f"""SELECT '{source}' AS view, coalesce(r.{row}, '-') || '|' || c.name AS key,
+        (SELECT count(*) FROM {rows} x WHERE x.{row} IS NOT DISTINCT FROM r.{row}
+           AND coalesce(x.{col}, '(none)') = c.value) AS value
+        FROM (SELECT DISTINCT {row} FROM {rows}) r, (VALUES {listed}) c(name, value)"""
+
+
+_UNION = "\nUNION ALL\n"
+_PAIRS = [(s, s) for s in _SEGMENTS]
+
+
+def _word_terms(top: int = 200) -> str:
+    return f"(SELECT * FROM terms ORDER BY n DESC, term LIMIT {top})"
+
+
+ORACLE["job_incidents"] = _with(
+    COLLOCATIONS + _WORD_TERMS,
+    _UNION.join([
+        "SELECT 'job' AS view, 'raw_rows' AS key, count(*) AS value FROM incidents",
+        "SELECT 'job' AS view, 'clean_rows' AS key, count(*) AS value FROM clean",
+        _view("incidents_per_year", ["iyear"], "count(*)", "clean GROUP BY iyear"),
+        _view("fatalities_per_year", ["iyear"], "sum(coalesce(nkill, 0))", "clean GROUP BY iyear"),
+        _view("attack_types", ["attacktype1_txt"], "count(*)", "clean GROUP BY attacktype1_txt"),
+        _view("regions", ["region_txt"], "count(*)", "clean GROUP BY region_txt"),
+        _view("top_countries", ["country_txt"], "n", """(SELECT country_txt, count(*) AS n FROM clean GROUP BY 1
+            ORDER BY n DESC, country_txt NULLS LAST LIMIT 15)"""),
+        _view("deadliest_groups", ["gname"], "n", """(SELECT gname, sum(coalesce(nkill, 0)) AS n FROM clean
+            WHERE gname <> 'Unknown' GROUP BY 1 ORDER BY n DESC, gname LIMIT 15)"""),
+        _view("attack_targets", ["attacktype1_txt", "targtype1_txt"], "count(*)",
+              "clean GROUP BY attacktype1_txt, targtype1_txt"),
+        _view("attack_trend", ["iyear", "attacktype1_txt"], "count(*)", "clean GROUP BY iyear, attacktype1_txt"),
+        _cells("attacktype1_txt", "clean", "attack_target_matrix", [*_PAIRS, ("(none)", "(none)")]),
+        _view("summary_words", ["term"], "n", _word_terms()),
+    ]),
+)
+ORACLE["job_news"] = _with(
+    f"""{_keywords(20)},
+raw_words AS (SELECT unnest(regexp_extract_all(title, '{_PATTERN}')) AS w FROM articles_in),
+words AS (SELECT {_CUT} AS word FROM raw_words),
+counted AS (SELECT word FROM words WHERE NOT regexp_full_match(word, '\\p{{Nd}}+') AND lower(word) NOT IN ({NEWS_STOP})),
+{_folded('folded', 'counted')}""",
+    _UNION.join([
+        _view("title_words", ["term"], "n", "(SELECT * FROM folded ORDER BY n DESC, term LIMIT 200)"),
+        _view("top_sources", ["source_name"], "n", """(SELECT source_name, count(*) AS n FROM articles_in
+            WHERE source_name IS NOT NULL GROUP BY 1 ORDER BY n DESC, source_name LIMIT 20)"""),
+        """SELECT 'keyword_source_matrix' AS view, r.token || '|' || s.source_name AS key,
+             (SELECT count(*) FROM kept k WHERE k.token = r.token AND k.source_name = s.source_name) AS value
+           FROM ranked r, (SELECT DISTINCT source_name FROM kept JOIN ranked USING (token)) s""",
+    ]),
+)
+# The same rows as the job: a sample of the selection takes the place of the clean table.
+_EXPLORED = COLLOCATIONS.replace("clean AS (", "every AS (", 1).replace(
+    "texts AS (",
+    """clean AS (
+  SELECT * FROM every WHERE iyear BETWEEN 1995 AND 1997 AND region_txt = 'ASIA'
+  ORDER BY md5(CAST(eventid AS VARCHAR) || '|42'), eventid LIMIT 200
+),
+texts AS (""",
+    1,
+)
+ORACLE["job_explore"] = _with(
+    _EXPLORED + _WORD_TERMS + """,
+years AS (SELECT DISTINCT iyear FROM clean),
+known AS (SELECT * FROM clean WHERE attacktype1_txt IS NOT NULL AND targtype1_txt IS NOT NULL)""",
+    _UNION.join([
+        "SELECT 'kpis' AS view, 'n' AS key, count(*) AS value FROM clean",
+        _view("year_frames", ["f.iyear", "c.iyear"], "count(*)",
+              "clean c JOIN years f ON c.iyear <= f.iyear GROUP BY f.iyear, c.iyear"),
+        _view("map_frames", ["f.iyear"], "count(*)", "clean c JOIN years f ON c.iyear <= f.iyear GROUP BY f.iyear"),
+        _view("attack_types", ["attacktype1_txt"], "count(*)",
+              "clean WHERE attacktype1_txt IS NOT NULL GROUP BY attacktype1_txt"),
+        _view("regions", ["region_txt"], "count(*)", "clean GROUP BY region_txt"),
+        _view("countries", ["country_txt"], "count(*)", "clean WHERE country_txt IS NOT NULL GROUP BY country_txt"),
+        _view("attack_trend", ["iyear", "attacktype1_txt"], "count(*)",
+              "clean WHERE attacktype1_txt IS NOT NULL GROUP BY iyear, attacktype1_txt"),
+        _view("attack_targets", ["attacktype1_txt", "targtype1_txt"], "count(*)",
+              "known GROUP BY attacktype1_txt, targtype1_txt"),
+        _cells("attacktype1_txt", "known", "attack_target_matrix", _PAIRS),
+        _view("summary_words", ["term"], "n", _word_terms()),
+    ]),
+)

@@ -11,20 +11,19 @@ from ..functions.articles import dedupe_key, url_missing
 from ..functions.casts import ntz_to_iso
 from ..functions.words import BASE_STOPWORDS, NEWS_STOPWORDS, stopwords
 from ..operators import dedupe, filters, frames, geo, sampling, text, views
-from ..session import materialize, scratch_path, spread
+from ..session import materialize, scratch_path
 from ..sources import articles as art
 from ..sources import incidents as inc
 from ..sources import tables
-from ..streaming.ingest import ingest, read_article_stream
+from ..streaming.ingest import ingest, ingest_recent, read_article_stream
 from . import bindings as b
+from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 STOP = stopwords()
 NEWS_STOP = stopwords(BASE_STOPWORDS, NEWS_STOPWORDS)
-# The test tables have 20 sources at every scale.
-SOURCES = [f"src{i}" for i in range(20)]
 FILTERS = {"years": (1996, 1999), "region": "ASIA", "attack": "2-HIGH"}
 
 
@@ -54,14 +53,22 @@ def load_clean_report(spark, sf):
     return tables.load_report(raw, inc.clean_incidents(raw))
 
 
+FIELDS = ["title", "url", "published_at", "source_name", "author", "description", "content"]
+
+
 def _article_fields(df: DataFrame) -> DataFrame:
-    return df.select("off", "title", "url", "published_at", "source_name", "author", "description", "content")
+    return df.select("off", *FIELDS)
+
+
+def _stored(df: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """All stored columns, the message as it came among them."""
+    return df.select(*keep, *FIELDS, "raw_json")
 
 
 @query
 def articles_scan(spark, sf):
-    stored = materialize(b.articles_in(spark, sf), "articles")
-    return _article_fields(stored)
+    extracted = art.extract_article(art.decode_articles(b.messages(spark, sf)), keep=["off"])
+    return _stored(materialize(art.accepted(extracted), "articles"), ["off"])
 
 
 @query
@@ -72,14 +79,15 @@ def articles_count(spark, sf):
 @query
 def decode_articles(spark, sf):
     decoded = art.decode_articles(b.messages(spark, sf, broken=True))
-    return decoded.select("off", "decoded", F.col("doc.title").alias("title"), F.col("doc.url").alias("url"))
+    fields = ["title", "url", "publishedAt", "author", "description", "content"]
+    return decoded.select("off", "decoded", *[F.col(f"doc.{name}").alias(name) for name in fields])
 
 
 @query
 def extract_article_fields(spark, sf):
     decoded = art.decode_articles(b.landed_messages(spark, sf, broken=True))
     extracted = art.extract_article(decoded.withColumnRenamed("offset", "off"), keep=["off"])
-    return _article_fields(art.accepted(extracted))
+    return _stored(art.accepted(extracted), ["off"])
 
 
 @query
@@ -128,7 +136,7 @@ def article_dedupe_key(spark, sf):
 
 def _stored_first_half(spark, sf):
     old, fresh = b.first_half(b.articles_in(spark, sf))
-    return materialize(dedupe.new_articles(old, None, ["off"]), "stored"), fresh
+    return materialize(dedupe.article_keys(dedupe.new_articles(old, None, ["off"])), "keys"), fresh
 
 
 @query
@@ -150,22 +158,102 @@ def dedupe_articles(spark, sf):
 
 @query
 def dedupe_articles_incremental(spark, sf):
-    stored, fresh = _stored_first_half(spark, sf)
-    return _article_fields(dedupe.new_articles(fresh, stored, ["off"]))
+    keys, fresh = _stored_first_half(spark, sf)
+    return _article_fields(dedupe.new_articles(fresh, keys, ["off"]))
 
 
-@query
-def stream_ingest_articles(spark, sf):
-    """Two landings, the stream restarted in between from its checkpoint; both give one stored table."""
-    landing, path, checkpoint = (scratch_path(spark, part) for part in ("landing", "stored", "checkpoint"))
+def _two_waves(spark, sf, again: Callable[[str, str], str]) -> str:
+    """Ingest two landings; ``again`` gives the second one's checkpoint from a fresh path and the first's."""
+    landing, path, checkpoint, fresh = (scratch_path(spark, part) for part in ("landing", "stored", "first", "fresh"))
     sent = b.landed_messages(spark, sf, broken=True)
     middle = sent.agg(F.floor((F.max("offset") + 1) / 2)).scalar()
     for wave in (F.col("offset") < middle, F.col("offset") >= middle):
         sent.where(wave).write.mode("append").parquet(landing)
         stream = read_article_stream(spark, "parquet", {"path": landing})
-        run = ingest(stream, path, checkpoint, f"{path}-rejected", trigger={"availableNow": True})
-        run.awaitTermination()
-    return art.stored_columns(tables.read_articles(spark, path)).drop("raw_json")
+        ingest(stream, path, checkpoint, f"{path}-rejected", trigger={"availableNow": True}).awaitTermination()
+        checkpoint = again(fresh, checkpoint)
+    return path
+
+
+@query
+def stream_ingest_articles(spark, sf):
+    """Two landings, the stream restarted in between from its checkpoint; both give one stored table."""
+    return _stored(tables.read_articles(spark, _two_waves(spark, sf, lambda fresh, used: used)))
+
+
+@query
+def stream_ingest_new_checkpoint(spark, sf):
+    """The same with a new checkpoint for the second landing, which then reads both: the stored rows stay."""
+    return _stored(tables.read_articles(spark, _two_waves(spark, sf, lambda fresh, used: fresh)))
+
+
+@query
+def stream_ingest_small_batches(spark, sf):
+    """One file per micro-batch: the keys of earlier batches come from their buckets."""
+    landing, path, checkpoint = (scratch_path(spark, part) for part in ("landing", "stored", "checkpoint"))
+    sent = b.landed_messages(spark, sf, broken=True).sort("offset")
+    sent.repartitionByRange(4, "offset").sortWithinPartitions("offset").write.parquet(landing)
+    stream = read_article_stream(spark, "parquet", {"path": landing, "maxFilesPerTrigger": "1"})
+    ingest(stream, path, checkpoint, trigger={"availableNow": True}).awaitTermination()
+    stored = tables.read_articles(spark, path)
+    # Which file comes first is up to the file times, so only what does not depend on it is compared.
+    return stored.where("url != ''").groupBy("url").agg(F.count("*").alias("copies"))
+
+
+@query
+def stream_compacted_articles(spark, sf):
+    """The stored table after compaction."""
+    path = _two_waves(spark, sf, lambda fresh, used: used)
+    tables.compact_articles(spark, path, f"{path}-compact")
+    return _stored(tables.read_articles(spark, f"{path}-compact"))
+
+
+@query
+def stream_recent_articles(spark, sf):
+    """De-duplication with bounded state; the delay is longer than all event times."""
+    landing, path, checkpoint = (scratch_path(spark, part) for part in ("landing", "recent", "checkpoint"))
+    b.landed_messages(spark, sf, broken=True).write.parquet(landing)
+    stream = read_article_stream(spark, "parquet", {"path": landing})
+    ingest_recent(stream, path, checkpoint, "3650 days", {"availableNow": True}).awaitTermination()
+    return spark.read.parquet(path).select("url")
+
+
+@query
+def quarantined_stream_messages(spark, sf):
+    """What the stream set aside, over both waves."""
+    rejected = spark.read.parquet(_two_waves(spark, sf, lambda fresh, used: used) + "-rejected")
+    return rejected.select(F.col("arrival_off").alias("off"), "reject_reason")
+
+
+# Sinks: written and read back
+
+
+@query
+def sink_raw_and_clean(spark, sf):
+    """Both tables replaced twice, the clean one in folders by year; the counts were observed while writing."""
+    path = scratch_path(spark, "tables")
+    raw = b.incidents_raw(spark, sf)
+    for _ in range(2):
+        raw_rows = tables.write_raw(raw, f"{path}/raw")
+        loaded = inc.clean_incidents(tables.read_table(spark, f"{path}/raw"))
+        clean_rows = tables.write_clean(loaded, f"{path}/clean", partition_by_year=True)
+    stored = tables.read_table(spark, f"{path}/clean")
+    return stored.groupBy("iyear").agg(
+        F.count("*").alias("rows"), F.sum("eventid").alias("ids"), F.sum(F.length("summary")).alias("summary_chars")
+    ).withColumns({"raw_rows": F.lit(raw_rows).cast("long"), "clean_rows": F.lit(clean_rows).cast("long")})
+
+
+@query
+def sink_exported_views(spark, sf):
+    """A view that fails does not stop the others."""
+    path = scratch_path(spark, "views")
+    clean = b.clean(spark, sf)
+    broken = clean.select(F.raise_error(F.lit("broken")).alias("x"))
+    outcome = tables.export_results(
+        {"broken": broken, "regions": views.ranked_counts(clean, "region_txt", "region")}, path
+    )
+    regions = spark.read.parquet(f"{path}/regions")
+    return regions.withColumn("failed", F.lit(",".join(n for n, said in outcome.items() if said != "ok")))
 
 
 # Filters and projections
@@ -179,8 +267,8 @@ def filtered_incidents(spark, sf):
 @query
 def filtered_incidents_quote(spark, sf):
     return filters.dashboard_columns(
-        filters.filter_incidents(b.clean(spark, sf), (1995, 2001), region="All", group="O'Neil")
-    ).drop("summary")
+        filters.filter_incidents(b.clean(spark, sf, summary=True), (1995, 2001), region="All", group="O'Neil")
+    )
 
 
 @query
@@ -191,12 +279,12 @@ def null_filled_incidents(spark, sf):
 
 @query
 def locations_limit(spark, sf):
-    return filters.locations(sampling.first_n(b.clean(spark, sf), 200_000, "eventid"))
+    return filters.locations(sampling.first_n(b.clean(spark, sf), 1_000, "eventid"))
 
 
 @query
 def nonnull_texts_limit(spark, sf):
-    return sampling.texts(b.clean(spark, sf, summary=True), "summary", "eventid", limit=50_000)
+    return sampling.texts(b.clean(spark, sf, summary=True), "summary", "eventid", limit=150)
 
 
 @query
@@ -273,6 +361,12 @@ def attack_target_matrix(spark, sf):
     return views.crosstab(b.clean(spark, sf), "attacktype1_txt", "targtype1_txt")
 
 
+@query
+def attack_target_matrix_all(spark, sf):
+    """With the NULL row and the column ``(none)`` for incidents without a target type."""
+    return views.crosstab(b.clean(spark, sf), "attacktype1_txt", "targtype1_txt", drop_null_keys=False)
+
+
 @query
 def attack_year_trend(spark, sf):
     return views.with_bubble_size(views.trend(b.clean(spark, sf)))
@@ -306,7 +400,7 @@ def deadliest_groups(spark, sf):
 
 @query
 def sample_subset(spark, sf):
-    return sampling.materialize_sample(b.clean(spark, sf), "eventid", 20_000).drop("summary")
+    return sampling.materialize_sample(b.clean(spark, sf, summary=True), "eventid", 1_000)
 
 
 @query
@@ -324,7 +418,7 @@ def top_sources(spark, sf):
 
 @query
 def cumulative_frames(spark, sf):
-    shown = b.clean(spark, sf).select("eventid", "iyear", "latitude", "longitude", "attacktype1_txt", "gname", "nkill")
+    shown = filters.fill_casualties(b.clean(spark, sf, summary=True))
     return frames.cumulative_frames(shown).drop("frame_year")
 
 
@@ -353,7 +447,7 @@ def keyword_source_long(spark, sf):
 
 @query
 def keyword_source_matrix(spark, sf):
-    return text.keyword_source_matrix(b.articles_in(spark, sf), NEWS_STOP, values=SOURCES)
+    return text.keyword_source_matrix(b.articles_in(spark, sf), NEWS_STOP)
 
 
 @query
@@ -396,19 +490,93 @@ def kde_density(spark, sf):
     return _grid_rounded(geo.kde_grid(b.clean(spark, sf), "longitude", "latitude"))
 
 
-def _vector_points(spark, sf):
-    return spread(b.table(spark, sf, "embeddings")).select(
+@query
+def kde_density_exact(spark, sf):
+    """Every point for itself. The points are two components of the vectors."""
+    points = b.table(spark, sf, "embeddings").select(
         F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y")
     )
+    grid = geo.kde_grid(points, "x", "y", bins=None)
+    return grid.withColumns({"x": F.round("x", 9), "y": F.round("y", 9), "density": F.round("density", 8)})
 
 
 @query
-def kde_density_exact(spark, sf):
-    grid = geo.kde_grid(_vector_points(spark, sf), "x", "y", bins=None)
-    return grid.withColumns({"x": F.round("x", 9), "y": F.round("y", 9), "density": F.round("density", 8)})
+def kde_levels(spark, sf):
+    levels = geo.density_levels(geo.kde_grid(b.clean(spark, sf), "longitude", "latitude"))
+    return levels.withColumns({"share": F.round("share", 6), "density": F.round("density", 11)})
+
+
+# Jobs
+
+
+def _long(view: str, df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    key = F.concat_ws("|", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("-")) for k in keys])
+    return df.select(F.lit(view).alias("view"), key.alias("key"), F.col(f"`{value}`").cast("long").alias("value"))
+
+
+def _matrix_long(view: str, df: DataFrame, row: str) -> DataFrame:
+    return _long(view, df.unpivot([row], [c for c in df.columns if c != row], "col", "n"), [row, "col"], "n")
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 @query
-def kde_levels(spark, sf):
-    levels = geo.density_levels(geo.kde_grid(_vector_points(spark, sf), "x", "y", bins=None))
-    return levels.withColumns({"share": F.round("share", 6), "density": F.round("density", 8)})
+def job_incidents(spark, sf):
+    """The batch job from CSV to views, as one long table of (view, key, value)."""
+    path = scratch_path(spark, "job")
+    b.incidents_raw(spark, sf).write.options(header=True, quote='"', escape='"').csv(f"{path}/csv")
+    done = jobs.run_incident_job(spark, f"{path}/csv", f"{path}/out")
+    view = lambda name: spark.read.parquet(f"{path}/out/views/{name}")
+    counted = spark.range(1).select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("key"), F.lit(done[n]).alias("value")) for n in ("raw_rows", "clean_rows")]))
+    )
+    return _all([
+        _long("job", counted, ["key"], "value"),
+        _long("incidents_per_year", view("incidents_per_year"), ["iyear"], "count"),
+        _long("fatalities_per_year", view("fatalities_per_year"), ["iyear"], "fatalities"),
+        _long("attack_types", view("attack_types"), ["attack"], "count"),
+        _long("regions", view("regions"), ["region"], "count"),
+        _long("top_countries", view("top_countries"), ["country_txt"], "count"),
+        _long("deadliest_groups", view("deadliest_groups"), ["gname"], "kills"),
+        _long("attack_targets", view("attack_targets"), ["attacktype1_txt", "targtype1_txt"], "count"),
+        _long("attack_trend", view("attack_trend"), ["iyear", "attack"], "incidents"),
+        _matrix_long("attack_target_matrix", view("attack_target_matrix"), "attacktype1_txt"),
+        _long("summary_words", view("summary_words"), ["term"], "count"),
+    ])
+
+
+@query
+def job_news(spark, sf):
+    """The news job over stored articles, as (view, key, value)."""
+    path = scratch_path(spark, "news")
+    jobs.run_news_job(spark, b.articles_in(spark, sf), path)
+    view = lambda name: spark.read.parquet(f"{path}/{name}")
+    return _all([
+        _long("title_words", view("title_words"), ["term"], "count"),
+        _long("top_sources", view("top_sources"), ["source_name"], "count"),
+        _matrix_long("keyword_source_matrix", view("keyword_source_matrix").drop("kw_rank"), "token"),
+    ])
+
+
+@query
+def job_explore(spark, sf):
+    """The interactive views of a selection on a sample, as (view, key, value)."""
+    found = jobs.explore(b.clean(spark, sf, summary=True), (1995, 1997), region="ASIA", sample_n=200)
+    kpis = found["kpis"].select(F.lit("n").alias("key"), "total_incidents")
+    return _all([
+        _long("kpis", kpis, ["key"], "total_incidents"),
+        _long("year_frames", found["year_frames"], ["frame_year", "iyear"], "count"),
+        _long("map_frames", found["map_frames"].groupBy("frame_year").count(), ["frame_year"], "count"),
+        _long("attack_types", found["attack_types"], ["attack"], "count"),
+        _long("regions", found["regions"], ["region"], "count"),
+        _long("countries", found["countries"], ["country"], "count"),
+        _long("attack_trend", found["attack_trend"], ["iyear", "attack"], "incidents"),
+        _long("attack_targets", found["attack_targets"], ["attacktype1_txt", "targtype1_txt"], "count"),
+        _matrix_long("attack_target_matrix", found["attack_target_matrix"], "attacktype1_txt"),
+        _long("summary_words", found["summary_words"], ["term"], "count"),
+    ])

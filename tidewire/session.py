@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, tempfile.TemporaryDirectory] = {}
+_SCOPES = threading.local()
 
 
 def build_session(app: str = "tidewire", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,7 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    # local-cluster has executors of its own and is no local mode.
+    if spark.conf.get("spark.master", "local").split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _LOCAL_DIRS:
@@ -42,8 +47,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; inside a :func:`scratch_scope` it is deleted when that ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if getattr(_SCOPES, "paths", None):
+        _SCOPES.paths[-1].append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes what is materialized inside. For jobs that have written their results by the end of it."""
+    _SCOPES.paths = [*getattr(_SCOPES, "paths", []), []]
+    try:
+        yield
+    finally:
+        for path in _SCOPES.paths.pop():
+            delete_path(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -56,12 +80,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give costly row work to all cores when the input has fewer files than there are cores.
-
-    Only a small table has that few files, so the shuffle is small; a large one passes unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType
 
 from ..functions.casts import ntz_to_iso, to_ntz
 from ..functions.once import once
@@ -14,22 +14,32 @@ from ..schemas import ARTICLE_JSON, ARTICLES, RESPONSE_PAGE
 _JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
+_END = "_end_of_text"
+
+
 def _object_text(df: DataFrame, col: str) -> Column:
     """The text of a JSON object; NULL for bytes that are no UTF-8 and for any other kind of value."""
     text = F.col(col)
     if isinstance(df.schema[col].dataType, BinaryType):
         text = F.when(F.is_valid_utf8(text.cast("string")), text.cast("string"))
-    return F.when(F.ltrim(text).startswith("{"), text)
+    bare = F.btrim(text, F.lit(" \t\n\r"))
+    return F.when(bare.startswith("{") & bare.endswith("}"), bare)
 
 
 def _with_object(df: DataFrame, col: str, schema: StructType, name: str) -> DataFrame:
     """Adds the one JSON object that is the whole of a text as a struct; NULL for anything else.
 
-    The text is parsed as the only element of an array, because a plain parse would overlook what follows the object.
+    A parser stops where its value ends. So the text is parsed as the first of two elements of an array; only if it
+    is one whole object, the second element is the mark put behind it, which holds the text's own hash.
     """
-    element = F.concat(F.lit("["), _object_text(df, col), F.lit("]"))
-    parsed = df.withColumn("_parsed", once(F.from_json(element, ArrayType(schema), _JSON)))
-    only = F.when(F.size("_parsed") == 1, F.col("_parsed")[0])
+    text = _object_text(df, col)
+    mark = F.xxhash64(text).cast("string")
+    pair = F.concat(F.lit("["), text, F.lit(f',{{"{_END}":"'), mark, F.lit('"}]'))
+    elements = ArrayType(StructType([*schema.fields, StructField(_END, StringType())]))
+    parsed = df.withColumn("_parsed", once(F.struct(F.from_json(pair, elements, _JSON).alias("e"), mark.alias("mark"))))
+    whole = (F.size("_parsed.e") == 2) & (F.get("_parsed.e", F.lit(1))[_END] == F.col("_parsed.mark"))
+    first = F.get("_parsed.e", F.lit(0))
+    only = F.when(whole & first.isNotNull(), F.struct(*[first[f.name].alias(f.name) for f in schema.fields]))
     return parsed.withColumn(name, only).drop("_parsed")
 
 

@@ -12,9 +12,6 @@ from ..functions import casts
 from ..operators.filters import has_coordinates
 from ..schemas import CLEAN, RAW_COLUMNS
 
-REPLACEMENT = "\ufffd"
-
-
 def select_raw(df: DataFrame) -> DataFrame:
     return df.select(*RAW_COLUMNS)
 
@@ -23,13 +20,15 @@ def read_incident_csv(
     spark: SparkSession, path: str, multi_line: bool = True, encoding: str = "UTF-8"
 ) -> DataFrame:
     """All columns as text by header name. Malformed rows are skipped: too few or too many fields, or bytes that are
-    not in the given encoding (the decoder leaves a replacement character for those).
+    no UTF-8. For that, bytes are read one by one and decoded per field. Any other ``encoding`` is decoded by the
+    reader, which has no invalid bytes in single-byte encodings.
 
     No schema is passed on purpose: the header may hold more columns than are kept, and every file's header is
     checked against the first one's. Quoted line breaks need
     ``multi_line``, which reads each file in one task: land the data as many files, or switch it off for data
     without line breaks in fields, and store the table as Parquet once.
     """
+    by_bytes = encoding.upper().replace("-", "") == "UTF8"
     reader = spark.read.options(
         header=True,
         enforceSchema=False,
@@ -37,11 +36,14 @@ def read_incident_csv(
         multiLine=multi_line,
         quote='"',
         escape='"',
-        encoding=encoding,
+        encoding="ISO-8859-1" if by_bytes else encoding,
     )
     df = select_raw(reader.csv(path))
-    undecoded = [F.coalesce(F.contains(name, F.lit(REPLACEMENT)), F.lit(False)) for name in map(F.col, RAW_COLUMNS)]
-    return df.where(~reduce(lambda a, b: a | b, undecoded))
+    if not by_bytes:
+        return df
+    texts = [F.encode(name, "ISO-8859-1").cast("string").alias(name) for name in RAW_COLUMNS]
+    valid = [F.coalesce(F.is_valid_utf8(name), F.lit(True)) for name in RAW_COLUMNS]
+    return df.select(*texts).where(reduce(lambda a, b: a & b, valid))
 
 
 def _cast(field: T.StructField, strict: bool) -> Column:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.dedupe import article_keys
 from ..schemas import ARTICLES
 
 log = logging.getLogger(__name__)
@@ -47,30 +48,76 @@ def load_report(raw: DataFrame, clean: DataFrame) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+# Fixed when the first table is written: keys of a batch go to so many folders at most.
+KEY_BUCKETS = 64
+
+
+def batch_path(path: str, run: str, batch_id: int) -> str:
+    return f"{path}/run={run}/batch_id={batch_id}"
+
+
+def _keys_path(path: str) -> str:
+    return f"{path.rstrip('/')}-keys"
+
+
+def key_bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+
+
 def ensure_articles(spark: SparkSession, path: str) -> None:
-    """Create the empty article table unless there is one. Batches live in ``batch_id=<n>`` folders."""
-    spark.createDataFrame([], ARTICLES).write.mode("ignore").parquet(f"{path}/batch_id=-1")
+    """Create the empty article table unless there is one. Batches live in ``run=<id>/batch_id=<n>`` folders."""
+    spark.createDataFrame([], ARTICLES).write.mode("ignore").parquet(batch_path(path, "none", -1))
+    spark.createDataFrame([], "key binary").write.mode("ignore").parquet(
+        f"{batch_path(_keys_path(path), 'none', -1)}/bucket=0"
+    )
+
+
+def _batches(fields: list[T.StructField]) -> T.StructType:
+    return T.StructType([*fields, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(T.StructType([*ARTICLES.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
+    return spark.read.schema(_batches(ARTICLES.fields)).parquet(path)
+
+
+def read_keys(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+    """(key, run, batch_id, bucket) of stored articles; only the given buckets are read."""
+    schema = _batches([T.StructField("key", T.BinaryType())]).add("bucket", T.IntegerType())
+    keys = spark.read.schema(schema).parquet(_keys_path(path))
+    return keys if buckets is None else keys.where(F.col("bucket").isin(buckets))
+
+
+def write_keys(spark: SparkSession, path: str, run: str, batch_id: int) -> None:
+    """The keys of a stored batch, one file per bucket. A batch that is written again overwrites its keys."""
+    stored = spark.read.schema(ARTICLES).parquet(batch_path(path, run, batch_id))
+    keys = article_keys(stored).withColumn("bucket", key_bucket(F.col("key")))
+    keys.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+        batch_path(_keys_path(path), run, batch_id)
+    )
 
 
 def compact_articles(spark: SparkSession, path: str, new_path: str) -> None:
     """Copy an article table into few large files, for use when it has gathered many small batches.
 
-    Run it while the stream is stopped, then go on with the same checkpoint and ``new_path``. The newest batch
-    keeps its own folder, because the stream may replay it.
+    Run it while no stream writes, then go on with the same checkpoint and ``new_path``. The newest batch of each
+    run keeps its own folder, because its stream may replay it.
     """
+    ensure_articles(spark, new_path)
     stored = read_articles(spark, path)
-    newest = stored.agg(F.max("batch_id")).first()[0]
-    if newest is None:
-        ensure_articles(spark, new_path)
-        return
-    older = stored.where(F.col("batch_id") < newest).drop("batch_id")
-    older.hint("rebalance").write.parquet(f"{new_path}/batch_id=-1")
-    last = stored.where(F.col("batch_id") == newest).drop("batch_id")
-    last.write.mode("append").parquet(f"{new_path}/batch_id={newest}")
+    newest = stored.groupBy("run").agg(F.max("batch_id").alias("newest"))
+    # One row per checkpoint that ever wrote to the table.
+    runs = {r["run"]: r["newest"] for r in newest.collect()}
+    last = F.lit(False)
+    for run, batch_id in runs.items():
+        last = last | ((F.col("run") == run) & (F.col("batch_id") == batch_id))
+    stored.where(~last).select(ARTICLES.names).hint("rebalance").write.mode("overwrite").parquet(
+        batch_path(new_path, "compact", -1)
+    )
+    write_keys(spark, new_path, "compact", -1)
+    for run, batch_id in runs.items():
+        own = stored.where((F.col("run") == run) & (F.col("batch_id") == batch_id)).select(ARTICLES.names)
+        own.write.mode("overwrite").parquet(batch_path(new_path, run, batch_id))
+        write_keys(spark, new_path, run, batch_id)
 
 
 def export_results(results: dict[str, DataFrame], path: str) -> dict[str, str]:
@@ -81,6 +128,6 @@ def export_results(results: dict[str, DataFrame], path: str) -> dict[str, str]:
             df.write.mode("overwrite").parquet(f"{path}/{name}")
             outcome[name] = "ok"
         except Exception as error:
-            log.exception("view %s failed", name)
+            log.warning("view %s failed: %s", name, type(error).__name__)
             outcome[name] = f"{type(error).__name__}: {error}"
     return outcome

@@ -1,69 +1,92 @@
 """Article stream: topic or landed files -> decode -> de-duplicate -> append, with a quarantine.
 
-Parquet has no transaction across files, so every micro-batch overwrites its own ``batch_id=<n>`` folder and is
-de-duplicated against the folders of *earlier* batches only. A batch that is replayed after a crash therefore
-gives the same rows again. One checkpoint belongs to one table.
+Parquet has no transaction across files, so every micro-batch overwrites its own ``run=<id>/batch_id=<n>`` folder. The
+run is the id that Spark keeps in the checkpoint: batch numbers that start again under a new checkpoint belong to
+another run, and overwrite nothing. A batch that is replayed after a crash gives the same rows again.
+
+The keys of stored rows lie beside the table, in buckets by key. A batch reads only the buckets its own keys are in,
+so its cost goes with the batch and not with all that was ever stored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.dedupe import PROBE_ROWS, new_articles
+from ..operators.dedupe import dedupe_stream, new_articles, title_time_key, url_key
 from ..schemas import MESSAGE
+from ..session import materialize, scratch_scope
 from ..sources.articles import accepted, decode_articles, extract_article, quarantine, stored_columns
-from ..sources.tables import ensure_articles, read_articles
+from ..sources.tables import batch_path, ensure_articles, key_bucket, read_keys, write_keys
 
-# Arrival order: total for topics and landed messages; for text files up to lines that are equal.
-ORDER_COLS = ["arrival_ts", "arrival_part", "arrival_off"]
+# Arrival order: total, and that of offsets inside a partition of a topic, or of lines inside a file.
+ORDER_COLS = ["arrival_ts", "arrival_off", "arrival_part"]
 
 
-def _with_arrival(df: DataFrame, ts: str, part: str, off) -> DataFrame:
+def _with_arrival(df: DataFrame, ts: Column, part: Column, off: Column) -> DataFrame:
     return df.select(
-        "value",
-        F.col(ts).alias("arrival_ts"),
-        F.col(part).cast("string").alias("arrival_part"),
-        off.alias("arrival_off"),
+        "value", ts.alias("arrival_ts"), part.cast("string").alias("arrival_part"), off.alias("arrival_off")
     )
 
 
+def _from_topic(df: DataFrame) -> DataFrame:
+    # Times may be set by producers and run against the offsets, so they do not count.
+    return _with_arrival(df, F.lit(None).cast("timestamp"), F.col("partition"), F.col("offset"))
+
+
 def read_article_stream(spark: SparkSession, source: str, options: dict[str, str]) -> DataFrame:
-    """``kafka``: a topic from its start; ``parquet``: messages landed with topic columns; ``text``: JSON lines."""
+    """``kafka``: a topic from its start; ``parquet``: messages landed with topic columns; ``text``: JSON lines.
+
+    Lines are read in order of their place in the file, which is not split; files in order of their time.
+    """
     options = dict(options)
     if source == "kafka":
         reader = spark.readStream.format("kafka").options(**{"startingOffsets": "earliest", **options})
-        return _with_arrival(reader.load(), "timestamp", "partition", F.col("offset"))
+        return _from_topic(reader.load())
     path = options.pop("path")
     if source == "parquet":
-        landed = spark.readStream.schema(MESSAGE).options(**options).parquet(path)
-        return _with_arrival(landed, "timestamp", "partition", F.col("offset"))
+        return _from_topic(spark.readStream.schema(MESSAGE).options(**options).parquet(path))
     if source == "text":
-        lines = spark.readStream.options(**options).text(path).select("value", "_metadata")
+        # A whole file is a row, so that a line's place in it is known however the files are read.
+        files = spark.readStream.options(**{**options, "wholetext": "true"}).text(path).select("value", "_metadata")
+        lines = files.select("_metadata", F.posexplode(F.split("value", "\r?\n")).alias("line", "value"))
         return _with_arrival(
-            lines, "_metadata.file_modification_time", "_metadata.file_path", F.xxhash64("value")
+            lines.where("value != ''"),
+            F.col("_metadata.file_modification_time"),
+            F.col("_metadata.file_path"),
+            F.col("line").cast("long"),
         )
     raise ValueError(f"unknown source {source!r}")
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
-def append_new_articles(batch: DataFrame, batch_id: int, path: str, quarantine_path: str | None = None) -> None:
+def append_new_articles(
+    batch: DataFrame, batch_id: int, path: str, quarantine_path: str | None = None, run: str = "direct"
+) -> None:
     """Store the unseen articles of one micro-batch and set the undecodable messages aside."""
     spark = batch.sparkSession
-    extracted = extract_article(decode_articles(batch), keep=ORDER_COLS).persist()
-    try:
-        rows = extracted.count()
+    with scratch_scope(spark):
+        extracted = materialize(extract_article(decode_articles(batch), keep=ORDER_COLS), "extracted")
         if quarantine_path:
-            write_batch(quarantine(extracted, keep=ORDER_COLS), batch_id, quarantine_path)
-        stored = read_articles(spark, path).where(F.col("batch_id") < batch_id)
-        fresh = new_articles(accepted(extracted), stored, ORDER_COLS, probe=rows <= PROBE_ROWS)
-        write_batch(stored_columns(fresh), batch_id, path)
-    finally:
-        extracted.unpersist()
+            bad = quarantine(extracted, keep=ORDER_COLS)
+            bad.write.mode("overwrite").parquet(batch_path(quarantine_path, run, batch_id))
+        good = accepted(extracted)
+        key = F.coalesce(url_key(), title_time_key())
+        # At most as many numbers as there are buckets.
+        touched = [r[0] for r in good.select(key_bucket(key)).where(key.isNotNull()).distinct().collect()]
+        keys = read_keys(spark, path, touched).where(
+            (F.col("run") != run) | (F.col("batch_id") < batch_id)
+        )
+        fresh = new_articles(good, keys, ORDER_COLS)
+        stored_columns(fresh).write.mode("overwrite").parquet(batch_path(path, run, batch_id))
+        write_keys(spark, path, run, batch_id)
 
 
 def ingest(
@@ -75,13 +98,29 @@ def ingest(
 ) -> StreamingQuery:
     """Start the stream. The checkpoint holds the read position, so a restart loses and repeats nothing.
 
-    Batch size is set on the reader (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``), the idle flush here
-    (default: every second).
+    Under another checkpoint the table goes on: what is stored stays, and is not stored again. Batch size is set on
+    the reader (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``), the idle flush here (default: every second).
     """
-    ensure_articles(messages.sparkSession, path)
-    return (
-        messages.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 second"}))
-        .foreachBatch(lambda batch, batch_id: append_new_articles(batch, batch_id, path, quarantine_path))
-        .start()
-    )
+    spark = messages.sparkSession
+    ensure_articles(spark, path)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        append_new_articles(batch, batch_id, path, quarantine_path, run_of(spark, checkpoint))
+
+    writer = messages.writeStream.option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "1 second"})).foreachBatch(store).start()
+
+
+def ingest_recent(
+    messages: DataFrame, path: str, checkpoint: str, delay: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Ingest with bounded state and no look at what is stored: a url counts as seen for ``delay`` of event time.
+
+    Articles without url or time are left out. The sink is a plain Parquet stream, exactly once by its own log.
+    """
+    rows = accepted(extract_article(decode_articles(messages)))
+    timed = rows.withColumn("event_time", F.col("published_at").cast("timestamp"))
+    timed = timed.where("coalesce(url, '') != '' AND event_time IS NOT NULL")
+    unique = dedupe_stream(timed, ["url"], "event_time", delay).drop("event_time")
+    writer = unique.writeStream.option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "1 second"})).format("parquet").start(path)
