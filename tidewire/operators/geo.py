@@ -48,8 +48,7 @@ def kde_grid(
 ) -> DataFrame:
     """(ix, iy, x, y, density). ``bins=None`` evaluates every point: exact, at gridsize^2 steps per point.
 
-    All statistics come from the points themselves, in one pass; binning only moves points to their cell's mean. The
-    kernel is summed in numpy, a grid per task, which is what is shuffled.
+    All statistics come from the points themselves, in one pass; binning only moves points to their cell's mean.
     """
     points = _points(df, x, y)
     stats = points.select(
@@ -93,11 +92,34 @@ def kde_grid(
         (s.n * F.lit(2e0) * F.pi() * F.sqrt(det)).alias("norm"),
     )
     placed = weighted.withColumn("s", stats).where(det > 0).select("x", "y", "w", grid.alias("g"))
+    return _by_points(placed, gridsize) if bins is None else _by_cells(placed, gridsize)
+
+
+def _by_cells(placed: DataFrame, gridsize: int) -> DataFrame:
+    """The kernel of at most bins^2 rows, each spread over the grid."""
+    g = F.col("g")
+    steps = F.sequence(F.lit(0), F.lit(gridsize - 1))
+    px, py = g.gx + F.col("ix") * g.sx, g.gy + F.col("iy") * g.sy
+    columns = placed.withColumn("ix", F.explode(steps)).select(
+        "y", "w", "g", "ix", px.alias("px"), (px - F.col("x")).alias("dx")
+    )
+    cells = columns.withColumn("iy", F.explode(steps)).select(
+        "w", "g", "ix", "iy", "px", "dx", py.alias("py"), (py - F.col("y")).alias("dy")
+    )
+    dx, dy = F.col("dx"), F.col("dy")
+    distance = g.axx * dx * dx + F.lit(2e0) * g.axy * dx * dy + g.ayy * dy * dy
+    kernel = F.col("w") * F.exp(F.lit(-0.5e0) * distance) / g.norm
+    return cells.groupBy("ix", "iy").agg(
+        F.max("px").alias("x"), F.max("py").alias("y"), F.sum(kernel).alias("density")
+    )
+
+
+def _by_points(placed: DataFrame, gridsize: int) -> DataFrame:
+    """The kernel of any number of points: each task sums its points on one grid, and only grids are shuffled."""
     names = ["gx", "sx", "gy", "sy", "axx", "ayy", "axy", "norm"]
     rows = placed.select("x", "y", "w", *[F.col(f"g.{name}").alias(name) for name in names])
 
     def partial_sums(batches):
-        """The kernel of a task's points on the whole grid, summed: points never become points times grid rows."""
         total, numbers = None, None
         for batch in batches:
             for low in range(0, len(batch), 1024):
