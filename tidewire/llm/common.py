@@ -20,6 +20,14 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if the table has such a column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def utf8(text: str = "text") -> Column:
     """The UTF-8 bytes of a string column, NULL as no bytes."""
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))

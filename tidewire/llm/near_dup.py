@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import bounded_batches, numbered
+from .common import bounded_batches, free_name, numbered
 from .components import components
 from .parts import HASH_BITS, blocks, cut_parts, mix, pack, pack_ids, unpack, unpack_ids
 from .token_counts import Numbers
@@ -361,6 +361,7 @@ def classes(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
     """The kept document of each class, all columns as they were. ``docs`` should read a stored table."""
-    gone = near_duplicates(docs, like).where(~F.col("kept")).select(F.col("uid").alias("_uid"))
-    rows = docs.withColumn("_uid", F.monotonically_increasing_id())
-    return rows.join(gone, "_uid", "left_anti").drop("_uid")
+    uid = free_name(docs, "_uid")
+    gone = near_duplicates(docs, like).where(~F.col("kept")).select(F.col("uid").alias(uid))
+    rows = docs.withColumn(uid, F.monotonically_increasing_id())
+    return rows.join(gone, uid, "left_anti").drop(uid)

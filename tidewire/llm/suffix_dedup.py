@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import bounded_batches, numbered
+from .common import bounded_batches, free_name, numbered
 from .parts import HASH_BITS, blocks, cut_parts, mix, pack, pack_ids, unpack, unpack_ids
 
 #: Anchors that a part of the hash space has on average, and suffixes that a merged range has on average.
@@ -500,11 +500,11 @@ def remove_repeated(docs: DataFrame, length: int = 400, doc_id: str = "doc_id",
     spans = found.marked.where("whole").select("uid", all_of.alias("spans")).unionByName(found.spans)
     # A whole document may also have spans; as the text is cut by their union, one row per document is enough.
     spans = spans.groupBy("uid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    names = docs.columns
-    joined = docs.withColumn("_uid", F.monotonically_increasing_id()).join(
-        spans.select(F.col("uid").alias("_uid"), F.col("spans").alias("_spans")), "_uid", "left"
+    names, uid, holes = docs.columns, free_name(docs, "_uid"), free_name(docs, "_spans")
+    joined = docs.withColumn(uid, F.monotonically_increasing_id()).join(
+        spans.select(F.col("uid").alias(uid), F.col("spans").alias(holes)), uid, "left"
     )
-    cut = joined.where("_spans IS NOT NULL").select(*names, "_spans")
+    cut = joined.where(F.col(holes).isNotNull()).select(*names, holes)
     at, chars = names.index(text), names.index("n_chars") if "n_chars" in names else None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -521,7 +521,7 @@ def remove_repeated(docs: DataFrame, length: int = 400, doc_id: str = "doc_id",
 
     bounded_batches(docs.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.where("_spans IS NULL").select(*names).unionByName(cut.mapInArrow(work, schema))
+    return joined.where(F.col(holes).isNull()).select(*names).unionByName(cut.mapInArrow(work, schema))
 
 
 def removal_digests(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
