@@ -33,8 +33,20 @@ def utf8(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
 
 
+def row_uid(stored: DataFrame) -> Column:
+    """A number for each row of a stored table, the same in every job of the session that reads it.
+
+    The number goes by input partition. Spark cuts files by the cores at hand, which change when executors come and
+    go, so the number of cores that counts is fixed when this is first called, unless it is set.
+    """
+    spark, key = stored.sparkSession, "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    return F.monotonically_increasing_id()
+
+
 def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(uid, doc_id, raw): rows with a number, the same whenever a stored table is read, and the text's bytes."""
+    """(uid, doc_id, raw): the rows of a stored table with :func:`row_uid` and the text's bytes."""
     return docs.select(
-        F.monotonically_increasing_id().alias("uid"), docs[doc_id].cast("long").alias("doc_id"), utf8(text).alias("raw")
+        row_uid(docs).alias("uid"), docs[doc_id].cast("long").alias("doc_id"), utf8(text).alias("raw")
     )

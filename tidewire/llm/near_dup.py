@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import bounded_batches, free_name, numbered
+from .common import bounded_batches, free_name, numbered, row_uid
 from .components import components
 from .parts import HASH_BITS, blocks, cut_parts, mix, pack, pack_ids, unpack, unpack_ids
 from .token_counts import Numbers
@@ -363,5 +363,5 @@ def drop_near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataF
     """The kept document of each class, all columns as they were. ``docs`` should read a stored table."""
     uid = free_name(docs, "_uid")
     gone = near_duplicates(docs, like).where(~F.col("kept")).select(F.col("uid").alias(uid))
-    rows = docs.withColumn(uid, F.monotonically_increasing_id())
+    rows = docs.withColumn(uid, row_uid(docs))
     return rows.join(gone, uid, "left_anti").drop(uid)

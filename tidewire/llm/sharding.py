@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import utf8
+from .common import row_uid, utf8
 
 #: Groups that a lot has on average; lots are packed for themselves.
 LOT_GROUPS = 20_000
@@ -159,8 +159,7 @@ def number_rows(rows: DataFrame, shard: str, count: int, shards: int) -> DataFra
     Rows are dealt into small cells of a shard and numbered there; a cell starts where those before it end.
     """
     cells = -(-count // (shards * CELL_ROWS)) or 1
-    uid = F.monotonically_increasing_id()
-    dealt = rows.withColumn("_uid", uid).withColumn("_cell", F.pmod(F.xxhash64("_uid"), F.lit(cells)))
+    dealt = rows.withColumn("_uid", row_uid(rows)).withColumn("_cell", F.pmod(F.xxhash64("_uid"), F.lit(cells)))
     sizes = dealt.groupBy(shard, "_cell").agg(F.count("*").alias("_n"))
     # One row per cell: a few per shard and 20,000 rows.
     before = Window.partitionBy(shard).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)

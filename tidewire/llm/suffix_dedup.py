@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import bounded_batches, free_name, numbered
+from .common import bounded_batches, free_name, numbered, row_uid
 from .parts import HASH_BITS, blocks, cut_parts, mix, pack, pack_ids, unpack, unpack_ids
 
 #: Anchors that a part of the hash space has on average, and suffixes that a merged range has on average.
@@ -501,7 +501,7 @@ def remove_repeated(docs: DataFrame, length: int = 400, doc_id: str = "doc_id",
     # A whole document may also have spans; as the text is cut by their union, one row per document is enough.
     spans = spans.groupBy("uid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     names, uid, holes = docs.columns, free_name(docs, "_uid"), free_name(docs, "_spans")
-    joined = docs.withColumn(uid, F.monotonically_increasing_id()).join(
+    joined = docs.withColumn(uid, row_uid(docs)).join(
         spans.select(F.col("uid").alias(uid), F.col("spans").alias(holes)), uid, "left"
     )
     cut = joined.where(F.col(holes).isNotNull()).select(*names, holes)
