@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-#: The index is fitted on at most this many vectors, the pivots; every vector is indexed.
-PIVOTS = 256
+#: The index is fitted on at most this many vectors, the pivots, out of a sample of four times as many; every vector
+#: is indexed. Pivots with a larger cosine than this to another are taken only if there are no others.
+PIVOTS, APART = 512, 0.9
 #: A vector is posted under its nearest pivots, in this share of all pivots.
 POSTED = 0.25
 #: The share of a block's vectors that is reranked for a query, and the least number.
@@ -40,11 +41,23 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 
 
 def choose_pivots(rows: DataFrame, pivots: int) -> np.ndarray:
-    """So many different vectors by the smallest hashes, of length 1: a bounded sample that is always the same."""
+    """So many different vectors of length 1, apart from one another as far as possible.
+
+    They are chosen in order of a hash, from a bounded sample that is always the same. Many near copies of one vector
+    would else give many pivots that say the same.
+    """
     hashed = rows.select("vector", F.xxhash64("vector").alias("hash"))
     found = hashed.orderBy("hash").limit(4 * pivots).collect()
-    different = list(dict.fromkeys(tuple(r.vector) for r in found))[:pivots]
-    return _unit(np.array(different, np.float64)) if different else np.zeros((0, 0))
+    different = list(dict.fromkeys(tuple(r.vector) for r in found))
+    if not different:
+        return np.zeros((0, 0))
+    units = _unit(np.array(different, np.float64))
+    chosen: list[int] = []
+    for i in range(len(units)):
+        if len(chosen) < pivots and not (units[chosen] @ units[i] > APART).any():
+            chosen.append(i)
+    rest = [i for i in range(len(units)) if i not in set(chosen)]
+    return units[(chosen + rest)[:pivots]]
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
