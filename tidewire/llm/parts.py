@@ -11,7 +11,7 @@ import zstandard
 #: Bits of a hash that are sent. Equal hashes of different things only cost work, or a document count that is 1 too high.
 HASH_BITS = 48
 #: A block ends with so many bytes of text or rows; a longer text is one block. Row ordinals have 16 bits.
-BLOCK_BYTES, BLOCK_ROWS = 16_000_000, 60_000
+BLOCK_BYTES, BLOCK_ROWS = 6_000_000, 60_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
