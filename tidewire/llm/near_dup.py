@@ -345,6 +345,8 @@ def near_duplicates(
         F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), F.col("uid").alias("uid"), F.col("doc_id").alias("id"))).alias("head"),
         F.count("*").alias("class_size"),
     )
+    # Stored before the join: else the join would use the grouping's partitions, in which Spark cannot split a hot class.
+    heads = materialize(heads, "heads")
     shared = members.join(heads, "root").select(
         "doc_id", F.col("head.id").alias("class_id"), "class_size", (F.col("uid") == F.col("head.uid")).alias("kept"), "uid"
     )
