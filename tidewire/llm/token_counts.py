@@ -19,7 +19,7 @@ from .common import bounded_batches
 from .wordpieces import WordPieces
 
 #: A block ends with so many characters or documents, whichever comes first; a longer document is one block.
-BLOCK_CHARS, BLOCK_DOCS = 32_000_000, 60_000
+BLOCK_CHARS, BLOCK_DOCS = 16_000_000, 60_000
 #: Postings that are summed before they are sent back to their blocks.
 SUM_ROWS = 4_000_000
 SENT = "block long, pretoken string, ordinals binary, times binary, ids binary, n_bytes binary"
