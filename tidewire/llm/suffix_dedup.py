@@ -463,7 +463,8 @@ def find_repeated(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", te
     """
     rows = numbered(docs, doc_id, text)
     scanned = materialize(scan(rows, length), "scanned")
-    equal = scanned.groupBy("sha").agg(F.count("*").alias("n"), F.min("uid").alias("first"))
+    # Stored before the join: else the join would use the grouping's partitions, in which Spark cannot split a hot text.
+    equal = materialize(scanned.groupBy("sha").agg(F.count("*").alias("n"), F.min("uid").alias("first")), "equal")
     known = scanned.join(equal, "sha")
     whole = (F.col("n") > 1) & (F.col("n_bytes") >= length)
     marked = materialize(known.select("uid", "doc_id", "n_bytes", "sha", whole.alias("whole"),
