@@ -25,8 +25,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes that lie in a 400-byte string which occurs again."""
-    return suffix_dedup.remove_repeated(docs)
+    """Documents without what lies in a passage of over 50 words, or in a 400-byte string, which occurs again.
+
+    No byte length stands for 50 words: they may have 101 bytes or thousands. Texts with few blanks need the bytes.
+    """
+    return suffix_dedup.remove_repeated(docs, words=51)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import duckdb
@@ -596,6 +597,66 @@ def test_removal_edges(spark, docs, pairs, nothing):
     assert suffix_dedup.removal_digests(nothing).count() == 0 and suffix_dedup.remove_repeated(nothing).count() == 0
 
 
+def plain_word_removal(texts, least, length=None):
+    """Without the words of repeated sequences of ``least`` words and, if given, the repeated strings of ``length`` bytes."""
+    raws = [(t or "").encode() for t in texts]
+    found = [[(m.group(), m.start()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)] for raw in raws]
+    windows = [[tuple(w for w, _ in ws[i : i + least]) for i in range(len(ws) - least + 1)] for ws in found]
+    times = collections.Counter(w for ws in windows for w in ws)
+    strings = collections.Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1)) if length else {}
+    out = []
+    for text, raw, ws, wins in zip(texts, raws, found, windows):
+        gone = {j for i, w in enumerate(wins) if times[w] > 1 for j in range(i, i + least)}
+        starts = [0, *(at for _, at in ws[1:]), len(raw)]
+        lost = {at for i in gone for at in range(starts[i], starts[i + 1])}
+        if length:
+            lost |= {at for i in range(len(raw) - length + 1) if strings[raw[i : i + length]] > 1 for at in range(i, i + length)}
+        out.append(bytes(x for at, x in enumerate(raw) if at not in lost).decode("utf-8", "ignore") if lost else text)
+    return out
+
+
+def test_pipeline_cuts_passages_of_51_words(spark, sf):
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    passage, other, tiny = prose(rng, 51), prose(rng, 50), " ".join(rng.choice("abcdefgh") for _ in range(51))
+    assert 200 < len(passage.encode()) < 400 and len(tiny) == 101
+    wide = "\u6f22" + "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(160))
+    a, b, c, d = (prose(rng, 90) for _ in range(4))
+    texts = [
+        f"{a} {passage} {b}", f"{c} {passage} {d}",  # in two documents
+        f"{prose(rng, 70)}\n{passage.replace(' ', chr(10))}",  # the same words in lines of their own
+        f"{prose(rng, 60)} {other} x", f"{prose(rng, 60)} {other} y",  # 50 words stay
+        f"{tiny} {prose(rng, 60)} {tiny} z", prose(rng, 50) + " " + passage[1:],
+        prose(rng, 300), "", None,
+    ]
+    bytes_only = [f"p {wide} q", f"r {wide} s"]  # a word of over 400 bytes
+    df = spark.createDataFrame([(i, t, "en", len(t or "")) for i, t in enumerate(texts + bytes_only)], "doc_id long, text string, lang string, n_chars long")
+    df = materialize(df.repartition(3), "words")
+    cut = corpus_pipeline.repeated_passages(spark, df, sf)
+    assert cut.columns == df.columns
+    kept = {r.doc_id: (r.text, r.n_chars) for r in cut.collect()}
+    expected = plain_word_removal(texts, 51)
+    assert expected[:2] == [f"{a} {b}", f"{c} {d}"] and expected[3:5] == texts[3:5]
+    assert [kept[i] for i in range(len(texts))] == [(t, len(t or "")) for t in expected]
+    assert all(len(kept[i][0]) <= 4 for i in (10, 11))
+
+
+def test_removal_by_words(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "RANGE_SUFFIXES", 60)
+    monkeypatch.setattr(suffix_dedup, "SLICE", 64)
+    rng = random.Random(22)
+    base = [[rng.choice("ab") + rng.choice("cdé") for _ in range(rng.randint(0, 60))] for _ in range(40)]
+    texts = [" ".join(t) for t in base] + [" \n" + "\t ".join(t) + "\n" for t in base[:5]]
+    for _ in range(60):
+        x, y = rng.choice(base), rng.choice(base)
+        texts.append(" ".join(x[: rng.randint(0, 20)] + y[rng.randint(0, 10) : 30]))
+    texts += ["a " * 40, "", None]
+    df = materialize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), "by-words")
+    kept = {r.doc_id: r.text for r in suffix_dedup.remove_repeated(df, 100_000, words=7).collect()}
+    assert [kept[i] for i in range(len(texts))] == plain_word_removal(texts, 7)
+
+
 def test_merge_of_front_coded_runs():
     rng = random.Random(14)
     for _ in range(60):
@@ -657,3 +718,13 @@ def test_whole_pipeline(spark, sf, library):
     cut = [(k, e[4].decode("utf-8", "ignore")) for (k, _), e in zip(once, plain_removal([t for _, t in once], 400))]
     check_packing(corpus_pipeline.run(spark, sf).collect(), cut, library)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "near duplicates", "repeated passages", "packing"]
+
+
+def test_whole_pipeline_cuts_by_words_and_bytes(spark, sf, library):
+    import corpus_pipeline
+
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    good = materialize(corpus_pipeline.quality_rules(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf), "good")
+    once = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, good, sf).collect()}
+    keys, texts = zip(*((k, t) for k, t in docs if k in once))
+    check_packing(corpus_pipeline.run(spark, sf).collect(), list(zip(keys, plain_word_removal(texts, 51, 400))), library)

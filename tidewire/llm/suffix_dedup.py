@@ -17,8 +17,10 @@ only those whose k-gram occurs again.
 from __future__ import annotations
 
 import hashlib
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,9 @@ from .parts import HASH_BITS, blocks, cut_parts, mix, pack, pack_ids, unpack, un
 PART_ANCHORS, RANGE_SUFFIXES = 500_000, 60_000
 #: Splitters are chosen among so many sampled suffixes per range, by their first bytes.
 SAMPLED, SPLITTER_BYTES = 32, 32
+#: Words are found again by codes of so many bytes each; of so many words a task remembers the codes.
+CODE_BYTES, KNOWN_WORDS = 6, 1 << 17
+WORD = re.compile(rb"[^\t-\r ]+")
 #: Positions that are worked on at once.
 SLICE = 1 << 19
 SENT = "part long, block long, entries binary, tags binary, uids binary, ids binary, sizes binary, hashes binary"
@@ -461,7 +466,29 @@ def find_repeated(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", te
     ``marked``: uid, doc_id, n_bytes, sha, ``whole`` (an equal text exists and it is long enough, so all of it goes).
     ``spans``: uid and the sorted array of (start, end) for all other documents with repeated bytes.
     """
-    rows = numbered(docs, doc_id, text)
+    return _find(numbered(docs, doc_id, text), length)
+
+
+def find_repeated_words(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str = "text") -> Found:
+    """Finds every word of a sequence of ``words`` words which also starts at any other word, whatever the blanks.
+
+    Each word becomes a code of its own, so ``n_bytes`` and ``spans`` count bytes of codes; see :func:`_word_spans`.
+    A string of ``words`` codes that starts inside a code repeats only if two parts of different codes agree by chance,
+    ``CODE_BYTES`` bytes in all, or if the whole codes around it repeat as well.
+    """
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = lru_cache(KNOWN_WORDS)(lambda word: hashlib.blake2b(word, digest_size=CODE_BYTES).digest())
+        for batch in batches:
+            codes = [b"".join(map(code, raw.split())) for raw in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(codes, pa.binary())], ["uid", "doc_id", "raw"])
+
+    bounded_batches(docs.sparkSession)
+    rows = numbered(docs, doc_id, text).mapInArrow(coded, "uid long, doc_id long, raw binary")
+    return _find(rows, words * CODE_BYTES)
+
+
+def _find(rows: DataFrame, length: int) -> Found:
     scanned = materialize(scan(rows, length), "scanned")
     # Stored before the join: else the join would use the grouping's partitions, in which Spark cannot split a hot text.
     equal = materialize(scanned.groupBy("sha").agg(F.count("*").alias("n"), F.min("uid").alias("first")), "equal")
@@ -490,17 +517,37 @@ def _cut(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(ends, starts))
 
 
-def remove_repeated(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _word_spans(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The bytes of the words whose codes lie in the spans, each with the blanks up to the next word."""
+    starts = [*(word.start() for word in WORD.finditer(raw)), len(raw)]
+    starts[0] = 0
+    whole = [(-(-start // CODE_BYTES), end // CODE_BYTES) for start, end in union_spans(spans)]
+    return [(starts[low], starts[high]) for low, high in whole if low < high]
+
+
+def _holes(found: Found, unit: str) -> DataFrame:
+    """(uid, bytes, codes): the spans of all documents with repetitions in the column of their unit, the other NULL."""
+    all_of = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
+    spans = found.marked.where("whole").select("uid", all_of.alias("spans")).unionByName(found.spans)
+    none = F.lit(None).cast(spans.schema["spans"].dataType)
+    return spans.select("uid", *((F.col("spans") if unit == u else none).alias(u) for u in ("bytes", "codes")))
+
+
+def remove_repeated(
+    docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text", words: int | None = None
+) -> DataFrame:
     """``docs`` with all their columns, the repeated bytes cut out of ``text``.
 
-    Bytes of a character that is cut in two go as well. A document may be left empty; ``n_chars``, if there is one,
+    With ``words``, sequences of that many words (split at the six ASCII blanks) that occur again are cut as well,
+    however few bytes they have; both rules judge the input. Bytes of a character that is cut in two go as well. A document may be left empty; ``n_chars``, if there is one,
     is counted anew. Texts without repeated bytes stay as they are, NULL too.
     """
-    found = find_repeated(docs, length, doc_id, text)
-    all_of = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
-    spans = found.marked.where("whole").select("uid", all_of.alias("spans")).unionByName(found.spans)
+    spans = _holes(find_repeated(docs, length, doc_id, text), "bytes")
+    if words:
+        spans = spans.unionByName(_holes(find_repeated_words(docs, words, doc_id, text), "codes"))
     # A whole document may also have spans; as the text is cut by their union, one row per document is enough.
-    spans = spans.groupBy("uid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    both = F.struct(*(F.flatten(F.collect_list(u)).alias(u) for u in ("bytes", "codes")))
+    spans = spans.groupBy("uid").agg(both.alias("spans"))
     names, uid, holes = docs.columns, free_name(docs, "_uid"), free_name(docs, "_spans")
     joined = docs.withColumn(uid, row_uid(docs)).join(
         spans.select(F.col("uid").alias(uid), F.col("spans").alias(holes)), uid, "left"
@@ -512,8 +559,10 @@ def remove_repeated(docs: DataFrame, length: int = 400, doc_id: str = "doc_id",
         for batch in batches:
             kept = []
             for value, spans in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()):
-                union = union_spans([(s["start"], s["end"]) for s in spans])
-                kept.append(_cut((value or "").encode(), union).decode("utf-8", "ignore"))
+                raw = (value or "").encode()
+                bytes_, codes = ([(s["start"], s["end"]) for s in spans[u]] for u in ("bytes", "codes"))
+                union = union_spans(bytes_ + _word_spans(raw, codes))
+                kept.append(_cut(raw, union).decode("utf-8", "ignore"))
             columns = list(batch.columns[: len(names)])
             columns[at] = pa.array(kept, columns[at].type)
             if chars is not None:
