@@ -535,6 +535,28 @@ def test_compression_bands(spark):
     assert not kept[2][1]
 
 
+def test_bands_judge_every_chunk(spark):
+    rng = random.Random(23)
+    clean = prose(rng, 12_000).encode()
+
+    def some(size):
+        start = rng.randrange(len(clean) - 2 * size)
+        return clean[start : start + size].decode("utf-8", "ignore")
+
+    noise = " ".join(base64.b64encode(rng.randbytes(60)).decode() for _ in range(200))
+    lines = "".join(f"item {i} is sold in shop {i % 7} for the price of {i}\n" for i in range(400))
+    mixed = [
+        some(4096) + noise[:4000], some(4096) + noise[:8191], some(4096) + lines[:4096], some(4096) + noise[:2000],
+        some(3072) + noise[:3072], noise[:4096] + some(4000), some(2000) + noise[:4096] + some(2000), some(6000) + noise[:6000],
+    ]
+    whole = [some(n) for n in (400, 1000, 3000, 4096, 4100, 5000, 8191, 8192, 9000, 12000)] + [some(8192) + noise[:500]]
+    df = spark.createDataFrame(list(enumerate(mixed + whole)), "doc_id long, text string")
+    found = {r.doc_id: r for r in quality.judge(df).collect()}
+    assert [i for i in range(len(mixed)) if found[i].kept or found[i].base_failed] == []
+    assert [i for i in range(len(whole)) if not found[len(mixed) + i].kept] == []
+    assert found[1].n_chunks == 3 and found[1].n_bad_chunks == 2
+
+
 @pytest.mark.parametrize("text", ["", "a", "a b c a b c", "a a a a", "x y\n\nx y\n x y\nx y", "a\x1cb\u00a0c d\u2028e", "\r\n\r\n"])
 def test_quality_counts(text):
     raw = text.encode()
