@@ -423,6 +423,24 @@ def test_urls(spark):
     assert urls.filter_urls(df.where("false")).count() == 0
 
 
+def test_urls_without_host(spark):
+    hostless = ["http:///login", "file:///cgi-bin/x", "x:///a/cart/b", "http:///cartoon", "://?login", "http:///", "http:///login#x"]
+    pages = list(enumerate([*hostless, None, "", "no scheme/login", "http://", "http://x.net/login"]))
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    found = urls.filter_urls(df)
+    assert counted(found.collect()) == counted((i, *plain_verdict(u)) for i, u in pages)
+    assert {r.page_id for r in found.collect() if r.verdict == "block"} == {0, 1, 2, 6, 11}
+
+
+def test_urls_without_host_match_sql(spark):
+    pages = [(i, u) for i, u in enumerate(["http:///login", "file:///cgi-bin/x", "x:///a/cart/b", "http:///x", "http://", None])]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    with duckdb.connect() as db:
+        db.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+        db.executemany("INSERT INTO pages VALUES (?, ?)", pages)
+        assert counted(urls.filter_urls(df).collect()) == counted(db.execute(urls.URLS_SQL).fetchall())
+
+
 def test_rules_stand_under_their_rarest_token(spark):
     tokens = spark.createDataFrame([("h:example",)] * 9 + [("h:org",)] * 5 + [("p:es",)] * 7, "token string")
     rules = urls._rule_table(spark, urls.SITE_RULES)

@@ -101,7 +101,7 @@ def filter_urls(
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row.
 
-    Every distinct url is judged once. A url that no rule fits, also a NULL one or one without a host, gets
+    Every distinct url is judged once. A url that no rule fits, also a NULL one or one without host and path, gets
     ``default`` and no rule. ``page_id`` is passed on, NULL as well; repeated rows stay.
     """
     spark = pages.sparkSession
@@ -111,20 +111,20 @@ def filter_urls(
         F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"),
         F.coalesce(path_of(F.col("url")), F.lit("")).alias("path"),
     )
-    with_host = parsed.where("host != ''")
+    with_address = parsed.where("host != '' OR path != ''")
     # Distinct addresses meet once per map task, so one that a third of the rows hold is cut down before the shuffle.
-    addresses = with_host.select("host", "path").distinct()
+    addresses = with_address.select("host", "path").distinct()
     tokens = addresses.select("host", "path", F.explode(tokens_of(F.col("host"), F.col("path"))).alias("token"))
     index = rule_index(tokens, _rule_table(spark, tuple(site_rules) + tuple(own_rules)))
     fits = tokens.join(index, "token").where(F.regexp_like(F.concat("host", "path"), F.col("pattern")))
     best = F.max(F.struct(F.col("label").isNotNull(), "weight", F.col("label").alias("label"), F.col("verdict").alias("verdict")))
     judged = fits.groupBy("host", "path").agg(best.alias("best"))
-    # Rows without a host have no rule; they need no join, so they cannot crowd one of its tasks.
-    found = with_host.join(judged, ["host", "path"], "left").select(
+    # Rows without host and path have no rule; they need no join, so they cannot crowd one of its tasks.
+    found = with_address.join(judged, ["host", "path"], "left").select(
         "page_id", "host", "path", F.col("best.label").alias("rule"),
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
     )
-    rest = parsed.where("host = ''").select(
+    rest = parsed.where("host = '' AND path = ''").select(
         "page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")
     )
     return found.unionByName(rest)
