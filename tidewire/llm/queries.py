@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, near_dup, packing, quality, sharding, suffix_dedup, token_counts, urls
+from . import ann, bpe, chat, near_dup, packing, quality, repair, sharding, suffix_dedup, token_counts, toxicity, urls
+from . import whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +86,18 @@ def op9_quality(spark, sf):
 @query
 def op10_suffix_dedup(spark, sf):
     return suffix_dedup.removal_digests(table(spark, sf, "documents"))
+
+
+@query
+def op11_repair(spark, sf):
+    return repair.repair_digests(table(spark, sf, "conversations"))
+
+
+@query
+def op12_toxicity(spark, sf):
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op13_whitening(spark, sf):
+    return whitening.whitened_components(table(spark, sf, "embeddings"))
