@@ -755,8 +755,8 @@ def test_whole_pipeline(spark, sf, library):
     good = [(k, t) for k, t in docs if plain_quality(t)[-1]]
     classes = plain_classes([t for _, t in good])
     once = [row for row, key in zip(good, classes) if row[0] == min(k for (k, _), c in zip(good, classes) if c == key)]
-    cut = [(k, e[4].decode("utf-8", "ignore")) for (k, _), e in zip(once, plain_removal([t for _, t in once], 400))]
-    check_packing(corpus_pipeline.run(spark, sf).collect(), cut, library)
+    keys, once = zip(*once)
+    check_packing(corpus_pipeline.run(spark, sf).collect(), list(zip(keys, plain_word_removal(once, 51, 400))), library)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "near duplicates", "repeated passages", "packing"]
 
 

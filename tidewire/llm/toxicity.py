@@ -214,6 +214,9 @@ def fit(
 
     # The sample comes sorted in one partition, whose size the machine bounds, so the model does not go by partitions.
     model = materialize(bounded.select("label", "terms").coalesce(1).mapInArrow(learn, MODEL), "model").first()
+    if model is None:
+        # No labelled document at all.
+        return np.array([], np.int64), np.array([]), np.zeros((0, machine.factors)), 0.0
     terms, weights, vectors = (np.frombuffer(model[c], t) for c, t in (("terms", "<i8"), ("weights", "<f8"), ("factors", "<f8")))
     return terms, weights, vectors.reshape(len(terms), machine.factors), model["bias"] - excess
 
