@@ -15,7 +15,8 @@ from ..session import materialize, scratch_path
 from ..sources import articles as art
 from ..sources import incidents as inc
 from ..sources import tables
-from ..streaming.ingest import ingest, ingest_recent, read_article_stream
+from ..sources.commits import read_state
+from ..streaming.ingest import from_topic, ingest, ingest_recent, read_article_stream, stage_batch
 from . import bindings as b
 from . import jobs
 
@@ -187,6 +188,19 @@ def stream_ingest_new_checkpoint(spark, sf):
     return _stored(tables.read_articles(spark, _two_waves(spark, sf, lambda fresh, used: fresh)))
 
 
+@query
+def stream_ingest_after_crash(spark, sf):
+    """A batch is written but its commit is lost; another checkpoint then reads the topic from its start."""
+    landing, path, checkpoint = (scratch_path(spark, name) for name in ("landing", "stored", "checkpoint"))
+    b.landed_messages(spark, sf, broken=True).write.parquet(landing)
+    tables.ensure_articles(spark, path)
+    first = from_topic(spark.read.parquet(landing).where("offset % 3 != 0"))
+    stage_batch(first, 0, path, None, "lost", read_state(spark, path))
+    stream = read_article_stream(spark, "parquet", {"path": landing})
+    ingest(stream, path, checkpoint, trigger={"availableNow": True}).awaitTermination()
+    return _stored(tables.read_articles(spark, path))
+
+
 @query
 def stream_ingest_small_batches(spark, sf):
     """One file per micro-batch: the keys of earlier batches come from their buckets."""

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedupe import article_keys
 from ..schemas import ARTICLES
+from .commits import State, commit_batch, is_committed, read_keys, read_state, write_state
 
 log = logging.getLogger(__name__)
 
@@ -48,76 +49,65 @@ def load_report(raw: DataFrame, clean: DataFrame) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
-# Fixed when the first table is written: keys of a batch go to so many folders at most.
-KEY_BUCKETS = 64
-
-
 def batch_path(path: str, run: str, batch_id: int) -> str:
     return f"{path}/run={run}/batch_id={batch_id}"
 
 
-def _keys_path(path: str) -> str:
-    return f"{path.rstrip('/')}-keys"
-
-
-def key_bucket(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
-
-
 def ensure_articles(spark: SparkSession, path: str) -> None:
     """Create the empty article table unless there is one. Batches live in ``run=<id>/batch_id=<n>`` folders."""
     spark.createDataFrame([], ARTICLES).write.mode("ignore").parquet(batch_path(path, "none", -1))
-    spark.createDataFrame([], "key binary").write.mode("ignore").parquet(
-        f"{batch_path(_keys_path(path), 'none', -1)}/bucket=0"
-    )
+    if not read_state(spark, path).version:
+        write_state(spark, path, State(committed={"none": -1}))
 
 
 def _batches(fields: list[T.StructField]) -> T.StructType:
     return T.StructType([*fields, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
 
 
+def read_batches(spark: SparkSession, folder: str, schema: T.StructType, path: str) -> DataFrame:
+    """Rows of the batches below ``folder`` that are committed in the table at ``path``."""
+    rows = spark.read.schema(_batches(schema.fields)).parquet(folder)
+    return rows.where(is_committed(read_state(spark, path), F.col("run"), F.col("batch_id")))
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_batches(ARTICLES.fields)).parquet(path)
+    """The articles of committed batches, with ``run`` and ``batch_id``."""
+    return read_batches(spark, path, ARTICLES, path)
 
 
-def read_keys(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
-    """(key, run, batch_id, bucket) of stored articles; only the given buckets are read."""
-    schema = _batches([T.StructField("key", T.BinaryType())]).add("bucket", T.IntegerType())
-    keys = spark.read.schema(schema).parquet(_keys_path(path))
-    return keys if buckets is None else keys.where(F.col("bucket").isin(buckets))
+def read_rejected(spark: SparkSession, quarantine_path: str, path: str) -> DataFrame:
+    """What the committed batches of the table at ``path`` set aside."""
+    return read_batches(spark, quarantine_path, spark.read.parquet(quarantine_path).drop("run", "batch_id").schema, path)
 
 
-def write_keys(spark: SparkSession, path: str, run: str, batch_id: int) -> None:
-    """The keys of a stored batch, one file per bucket. A batch that is written again overwrites its keys."""
-    stored = spark.read.schema(ARTICLES).parquet(batch_path(path, run, batch_id))
-    keys = article_keys(stored).withColumn("bucket", key_bucket(F.col("key")))
-    keys.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
-        batch_path(_keys_path(path), run, batch_id)
-    )
+def write_batch(spark: SparkSession, rows: DataFrame, path: str, run: str, batch_id: int) -> tuple[DataFrame, int]:
+    """Write a batch, which does not count yet. Returns the keys of its rows and a bound on their number."""
+    seen = Observation()
+    own = batch_path(path, run, batch_id)
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(own)
+    return article_keys(spark.read.schema(ARTICLES).parquet(own)), 2 * seen.get["rows"]
 
 
 def compact_articles(spark: SparkSession, path: str, new_path: str) -> None:
     """Copy an article table into few large files, for use when it has gathered many small batches.
 
-    Run it while no stream writes, then go on with the same checkpoint and ``new_path``. The newest batch of each
-    run keeps its own folder, because its stream may replay it.
+    Run it while no stream writes, then go on with the same checkpoints and ``new_path``. The newest batch of each run
+    keeps its own folder; all runs and batches are written by one job.
     """
-    ensure_articles(spark, new_path)
+    state = read_state(spark, path)
     stored = read_articles(spark, path)
-    newest = stored.groupBy("run").agg(F.max("batch_id").alias("newest"))
-    # One row per checkpoint that ever wrote to the table.
-    runs = {r["run"]: r["newest"] for r in newest.collect()}
-    last = F.lit(False)
-    for run, batch_id in runs.items():
-        last = last | ((F.col("run") == run) & (F.col("batch_id") == batch_id))
-    stored.where(~last).select(ARTICLES.names).hint("rebalance").write.mode("overwrite").parquet(
-        batch_path(new_path, "compact", -1)
+    last = F.create_map(*[F.lit(v) for pair in state.committed.items() for v in pair])
+    newest = (F.col("run") != "none") & (F.element_at(last, F.col("run")) == F.col("batch_id"))
+    moved = stored.withColumns({
+        "run": F.when(newest, F.col("run")).otherwise("compact"), "batch_id": F.when(newest, F.col("batch_id")).otherwise(-1)
+    })
+    ensure_articles(spark, new_path)
+    moved.hint("rebalance", "run", "batch_id").write.mode("append").partitionBy("run", "batch_id").parquet(new_path)
+    new = read_state(spark, new_path)
+    keys = read_keys(spark, path, state)
+    commit_batch(
+        spark, new_path, State(new.version, {**state.committed, "compact": -1}), "none", -1, keys, sum(r.keys for r in state.runs)
     )
-    write_keys(spark, new_path, "compact", -1)
-    for run, batch_id in runs.items():
-        own = stored.where((F.col("run") == run) & (F.col("batch_id") == batch_id)).select(ARTICLES.names)
-        own.write.mode("overwrite").parquet(batch_path(new_path, run, batch_id))
-        write_keys(spark, new_path, run, batch_id)
 
 
 def export_results(results: dict[str, DataFrame], path: str) -> dict[str, str]:

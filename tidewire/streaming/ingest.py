@@ -1,11 +1,12 @@
 """Article stream: topic or landed files -> decode -> de-duplicate -> append, with a quarantine.
 
-Parquet has no transaction across files, so every micro-batch overwrites its own ``run=<id>/batch_id=<n>`` folder. The
-run is the id that Spark keeps in the checkpoint: batch numbers that start again under a new checkpoint belong to
-another run, and overwrite nothing. A batch that is replayed after a crash gives the same rows again.
+Every micro-batch overwrites its own ``run=<id>/batch_id=<n>`` folder. The run is the id that Spark keeps in the
+checkpoint: batch numbers that start again under a new checkpoint belong to another run, and overwrite nothing. Rows, keys
+and rejects of a batch count from one commit (:mod:`tidewire.sources.commits`): after a crash, under whatever checkpoint,
+nothing is lost and nothing stored twice.
 
-The keys of stored rows lie beside the table, in buckets by key. A batch reads only the buckets its own keys are in,
-so its cost goes with the batch and not with all that was ever stored.
+A batch reads only those parts of the key index that its own keys are in, and opens files in numbers that grow as the
+logarithm of the batches before it.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from ..operators.dedupe import dedupe_stream, new_articles, title_time_key, url_
 from ..schemas import MESSAGE
 from ..session import materialize, scratch_scope
 from ..sources.articles import accepted, decode_articles, extract_article, quarantine, stored_columns
-from ..sources.tables import batch_path, ensure_articles, key_bucket, read_keys, write_keys
+from ..sources.commits import State, commit_batch, prefix, read_keys, read_state, recover
+from ..sources.tables import batch_path, ensure_articles, write_batch
 
 # Arrival order: total, and that of offsets inside a partition of a topic, or of lines inside a file.
 ORDER_COLS = ["arrival_ts", "arrival_off", "arrival_part"]
@@ -32,7 +34,7 @@ def _with_arrival(df: DataFrame, ts: Column, part: Column, off: Column) -> DataF
     )
 
 
-def _from_topic(df: DataFrame) -> DataFrame:
+def from_topic(df: DataFrame) -> DataFrame:
     # Times may be set by producers and run against the offsets, so they do not count.
     return _with_arrival(df, F.lit(None).cast("timestamp"), F.col("partition"), F.col("offset"))
 
@@ -45,10 +47,10 @@ def read_article_stream(spark: SparkSession, source: str, options: dict[str, str
     options = dict(options)
     if source == "kafka":
         reader = spark.readStream.format("kafka").options(**{"startingOffsets": "earliest", **options})
-        return _from_topic(reader.load())
+        return from_topic(reader.load())
     path = options.pop("path")
     if source == "parquet":
-        return _from_topic(spark.readStream.schema(MESSAGE).options(**options).parquet(path))
+        return from_topic(spark.readStream.schema(MESSAGE).options(**options).parquet(path))
     if source == "text":
         # A whole file is a row, so that a line's place in it is known however the files are read.
         files = spark.readStream.options(**{**options, "wholetext": "true"}).text(path).select("value", "_metadata")
@@ -67,26 +69,38 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
+def stage_batch(
+    batch: DataFrame, batch_id: int, path: str, quarantine_path: str | None, run: str, state: State
+) -> tuple[DataFrame, int]:
+    """Write the unseen articles of a micro-batch and what cannot be decoded. Neither counts before the commit."""
+    spark = batch.sparkSession
+    extracted = materialize(extract_article(decode_articles(batch), keep=ORDER_COLS), "extracted")
+    if quarantine_path:
+        bad = quarantine(extracted, keep=ORDER_COLS)
+        bad.write.mode("overwrite").parquet(batch_path(quarantine_path, run, batch_id))
+    good = accepted(extracted)
+    key = F.coalesce(url_key(), title_time_key())
+    # At most 65,536 numbers: the first 16 bits of the keys.
+    prefixes = [r[0] for r in good.select(prefix(key)).where(key.isNotNull()).distinct().collect()]
+    fresh = new_articles(good, read_keys(spark, path, state, prefixes), ORDER_COLS)
+    return write_batch(spark, stored_columns(fresh), path, run, batch_id)
+
+
 def append_new_articles(
     batch: DataFrame, batch_id: int, path: str, quarantine_path: str | None = None, run: str = "direct"
 ) -> None:
-    """Store the unseen articles of one micro-batch and set the undecodable messages aside."""
+    """Store the unseen articles of one micro-batch and set the undecodable messages aside.
+
+    Rows, keys and rejects count from one commit, which is written last. A batch that is replayed after its commit is
+    left as it is; one that was interrupted before is written anew.
+    """
     spark = batch.sparkSession
+    state = read_state(spark, path)
+    if state.committed.get(run, -2) >= batch_id:
+        return
     with scratch_scope(spark):
-        extracted = materialize(extract_article(decode_articles(batch), keep=ORDER_COLS), "extracted")
-        if quarantine_path:
-            bad = quarantine(extracted, keep=ORDER_COLS)
-            bad.write.mode("overwrite").parquet(batch_path(quarantine_path, run, batch_id))
-        good = accepted(extracted)
-        key = F.coalesce(url_key(), title_time_key())
-        # At most as many numbers as there are buckets.
-        touched = [r[0] for r in good.select(key_bucket(key)).where(key.isNotNull()).distinct().collect()]
-        keys = read_keys(spark, path, touched).where(
-            (F.col("run") != run) | (F.col("batch_id") < batch_id)
-        )
-        fresh = new_articles(good, keys, ORDER_COLS)
-        stored_columns(fresh).write.mode("overwrite").parquet(batch_path(path, run, batch_id))
-        write_keys(spark, path, run, batch_id)
+        keys, count = stage_batch(batch, batch_id, path, quarantine_path, run, state)
+        commit_batch(spark, path, state, run, batch_id, keys, count)
 
 
 def ingest(
@@ -103,6 +117,7 @@ def ingest(
     """
     spark = messages.sparkSession
     ensure_articles(spark, path)
+    recover(spark, path)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         append_new_articles(batch, batch_id, path, quarantine_path, run_of(spark, checkpoint))
