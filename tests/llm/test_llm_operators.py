@@ -697,6 +697,26 @@ def test_removal_by_words(spark, monkeypatch):
     assert [kept[i] for i in range(len(texts))] == plain_word_removal(texts, 7)
 
 
+def test_digests_with_the_text_that_is_left(spark):
+    rng = random.Random(31)
+    passage = " ".join(f"w{rng.randrange(10**4):04d}" for _ in range(55))
+    shared = " ".join(f"word{rng.randrange(10**4):04d}" for _ in range(80))
+    own = [" ".join(f"x{rng.randrange(10**6)}" for _ in range(60)) for _ in range(5)]
+    texts = [f"{own[0]} {passage} end", f"start {passage} {own[1]}", f"{own[2]} {shared}", f"{shared} {own[3]}", own[4], "", None]
+    assert len(passage) < 400 < len(shared)
+    docs = materialize(
+        spark.createDataFrame([(i, t, "a", "b") for i, t in enumerate(texts)], "doc_id long, text string, uid string, spans string"),
+        "docs",
+    )
+    found = {r.doc_id: r for r in suffix_dedup.removal_digests(docs, words=51).collect()}
+    plain = {r.doc_id: tuple(r) for r in suffix_dedup.removal_digests(docs).collect()}
+    assert {k: tuple(r)[:5] for k, r in found.items()} == plain
+    left = plain_word_removal([t or "" for t in texts], 51, 400)
+    assert {k: r.cleaned_text or "" for k, r in found.items()} == dict(enumerate(left))
+    assert found[0].n_removed == 0 and passage not in found[0].cleaned_text and found[4].cleaned_text == own[4]
+    assert suffix_dedup.removal_digests(docs.limit(0), words=51).collect() == []
+
+
 def test_merge_of_front_coded_runs():
     rng = random.Random(14)
     for _ in range(60):

@@ -13,8 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch size to :data:`BATCH_ROWS` rows; a smaller one is left as it is."""
+def bounded_batches(spark: SparkSession, most_bytes: int | None = None) -> None:
+    """Lower the session's Arrow batch size to :data:`BATCH_ROWS` rows; a smaller one is left as it is.
+
+    With ``most_bytes``, a batch ends with so many bytes too (a longer row is one batch), on the JVM's side as well.
+    """
+    if most_bytes:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))

@@ -30,8 +30,13 @@ from .components import components
 from .parts import HASH_BITS, blocks, cut_parts, mix, pack, pack_ids, unpack, unpack_ids
 from .token_counts import Numbers
 
-#: Shingles that a part of the hash space has on average.
-PART_SHINGLES = 1_000_000
+#: Shingles that a part of the hash space has on average, and bytes of text in a block. Their arrays take some 20 times as
+#: much memory as the text.
+PART_SHINGLES, SHINGLED_BYTES = 500_000, 3_000_000
+#: Bytes of an Arrow batch. Both sides hold several batches for each task.
+ARROW_BYTES = 8_000_000
+#: Rows that are sent at once: a block's parts are packed as they go out, never all at a time.
+SENT_ROWS = 32
 #: Shingles of the vectors that a comparison block has on average.
 COMPARED = 200_000
 SENT = "part long, block long, entries binary, times binary, uids binary, ids binary, totals binary"
@@ -92,20 +97,27 @@ def _send(rows: DataFrame, parts: int, words: int) -> DataFrame:
     types = [pa.int64()] * 2 + [pa.binary()] * 5
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in blocks(batches, "raw"):
-            keys, times = shingle_keys(held["raw"], words)
-            owner, block = (keys & np.uint64(0xFFFF)).astype(np.int64), held["uid"][0]
-            totals = np.bincount(owner, weights=times, minlength=len(held["raw"])).astype("<i8").tobytes()
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for held in blocks(batches, "raw", SHINGLED_BYTES):
+            uids, block, count = np.array(held["uid"], "<i8").tobytes(), held["uid"][0], len(held["uid"])
+            ids, texts = pack_ids(held["doc_id"]), held.pop("raw")
+            keys, times = shingle_keys(texts, words)
+            del texts
+            owner = (keys & np.uint64(0xFFFF)).astype(np.int64)
+            totals = np.bincount(owner, weights=times, minlength=count).astype("<i8").tobytes()
+            del owner
             # A part of its own takes the header past the counting.
-            header = (np.array(held["uid"], "<i8").tobytes(), pack_ids(held["doc_id"]), totals)
-            out = [(-1 - block, block, None, None, *header)]
-            compress = zstandard.ZstdCompressor(level=1).compress
+            out = [(-1 - block, block, None, None, uids, ids, totals)]
             for part, low, high in cut_parts(keys, parts):
                 held_times = compress(times[low:high].astype("<u4").tobytes())
                 out.append((part, block, pack(keys[low:high]), held_times, None, None, None))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                if len(out) == SENT_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    bounded_batches(rows.sparkSession)
+    bounded_batches(rows.sparkSession, ARROW_BYTES)
     return rows.select("uid", "doc_id", "raw").mapInArrow(work, SENT)
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Iterator
+from struct import Struct
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .bpe import Cache
 from .common import bounded_batches
 from .wordpieces import WordPieces
 
@@ -21,6 +23,59 @@ GROUP_PIECES = 5_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, lot long"
 
 
+class Recent(dict):
+    """A dict that asks ``make`` for what it lacks. When full, it becomes the older generation, whose keys come back when
+    they are asked for again: what is frequent stays, what is not goes with the next generation."""
+
+    def __init__(self, make, most: int = 150_000, longest: int = 48):
+        super().__init__()
+        self.make, self.most, self.longest, self.older = make, most, longest, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+def _of_worker(name: str, make):
+    """What ``make`` gives, made once in each Python worker and kept for its later tasks.
+
+    This module goes to the workers by value, anew for each task, so its own variables do not last.
+    """
+    store = sys.modules.setdefault("tidewire_worker", ModuleType("tidewire_worker")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
+class Encoder:
+    """Ids of white-space units and what they are made of, as bytes. For one Python worker."""
+
+    def __init__(self, path: str):
+        self.words = words = WordPieces(path)
+        formats = [Struct(f"<{n}I") for n in range(64)]
+
+        def packed(piece: str) -> bytes:
+            ids = words.ids(piece)
+            return formats[len(ids)].pack(*ids) if len(ids) < 64 else Struct(f"<{len(ids)}I").pack(*ids)
+
+        # Most units that are looked up here are one pre-token.
+        def of_unit(unit: str) -> bytes:
+            pieces = words.pretokens(unit)
+            return self.pieces[pieces[0]] if len(pieces) == 1 else b"".join([self.pieces[p] for p in pieces])
+
+        self.pieces, self.units = Recent(packed), Recent(of_unit)
+
+    def ids(self, text: str) -> bytes:
+        return b"".join(map(self.units.__getitem__, self.words.units(text)))
+
+
 def _mix(number: int) -> int:
     """A 62-bit hash of a number."""
     number = (number + 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
@@ -46,15 +101,13 @@ def token_pieces(
     bounded_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordPieces(path)
-        known = Cache(lambda piece: np.array(words.ids(piece), "<u4").tobytes())
-        units = Cache(lambda unit: b"".join(known[p] for p in words.pretokens(unit)))
+        encoder = _of_worker(f"encoder {path}", lambda: Encoder(path))
         end = np.array([end_id], "<u4").tobytes()
         lot = TaskContext.get().partitionId() << 40
         for batch in batches:
             out = []
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = b"".join(map(units.__getitem__, words.units(value or ""))) + end
+                ids = encoder.ids(value or "") + end
                 for at in range(0, len(ids), 4 * capacity):
                     piece = ids[at : at + 4 * capacity]
                     lot += 1

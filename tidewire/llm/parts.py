@@ -43,15 +43,15 @@ def cut_parts(keys: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
             yield number, low, high
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[dict[str, list]]:
-    """Rows of the batches in blocks, as lists by column. ``column`` holds the bytes."""
+def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[dict[str, list]]:
+    """Rows of the batches in blocks of ``most`` bytes, as lists by column. ``column`` holds the bytes."""
     held: dict[str, list] = {}
     size = 0
     for batch in batches:
         cells = {name: batch.column(name).to_pylist() for name in batch.schema.names}
         held = held or {name: [] for name in cells}
         for row, raw in enumerate(cells[column]):
-            if held[column] and (size + len(raw) > BLOCK_BYTES or len(held[column]) >= BLOCK_ROWS):
+            if held[column] and (size + len(raw) > most or len(held[column]) >= BLOCK_ROWS):
                 yield held
                 held, size = {name: [] for name in cells}, 0
             for name, values in cells.items():

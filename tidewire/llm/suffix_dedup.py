@@ -20,7 +20,7 @@ import hashlib
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -533,25 +533,17 @@ def _holes(found: Found, unit: str) -> DataFrame:
     return spans.select("uid", *((F.col("spans") if unit == u else none).alias(u) for u in ("bytes", "codes")))
 
 
-def remove_repeated(
-    docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text", words: int | None = None
-) -> DataFrame:
-    """``docs`` with all their columns, the repeated bytes cut out of ``text``.
-
-    With ``words``, sequences of that many words (split at the six ASCII blanks) that occur again are cut as well,
-    however few bytes they have; both rules judge the input. Bytes of a character that is cut in two go as well. A document may be left empty; ``n_chars``, if there is one,
-    is counted anew. Texts without repeated bytes stay as they are, NULL too.
-    """
-    spans = _holes(find_repeated(docs, length, doc_id, text), "bytes")
-    if words:
-        spans = spans.unionByName(_holes(find_repeated_words(docs, words, doc_id, text), "codes"))
-    # A whole document may also have spans; as the text is cut by their union, one row per document is enough.
+def _holes_of(founds: list[tuple[Found, str]]) -> DataFrame:
+    """(uid, spans): one row per document with repetitions. A whole document may also have spans; texts are cut by their union."""
+    spans = reduce(DataFrame.unionByName, [_holes(found, unit) for found, unit in founds])
     both = F.struct(*(F.flatten(F.collect_list(u)).alias(u) for u in ("bytes", "codes")))
-    spans = spans.groupBy("uid").agg(both.alias("spans"))
-    names, uid, holes = docs.columns, free_name(docs, "_uid"), free_name(docs, "_spans")
-    joined = docs.withColumn(uid, row_uid(docs)).join(
-        spans.select(F.col("uid").alias(uid), F.col("spans").alias(holes)), uid, "left"
-    )
+    return spans.groupBy("uid").agg(both.alias("spans"))
+
+
+def _cut_texts(rows: DataFrame, uid: str, spans: DataFrame, text: str) -> DataFrame:
+    """``rows`` without ``uid``, the spans of their row cut out of ``text``; ``n_chars``, if there is one, counted anew."""
+    names, holes = [c for c in rows.columns if c != uid], free_name(rows, "_spans")
+    joined = rows.join(spans.select(F.col("uid").alias(uid), F.col("spans").alias(holes)), uid, "left")
     cut = joined.where(F.col(holes).isNotNull()).select(*names, holes)
     at, chars = names.index(text), names.index("n_chars") if "n_chars" in names else None
 
@@ -569,14 +561,37 @@ def remove_repeated(
                 columns[chars] = pa.array([len(k) for k in kept]).cast(columns[chars].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    bounded_batches(docs.sparkSession)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    bounded_batches(rows.sparkSession)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema)
     return joined.where(F.col(holes).isNull()).select(*names).unionByName(cut.mapInArrow(work, schema))
 
 
-def removal_digests(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeated(
+    docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text", words: int | None = None
+) -> DataFrame:
+    """``docs`` with all their columns, the repeated bytes cut out of ``text``.
+
+    With ``words``, sequences of that many words (split at the six ASCII blanks) that occur again are cut as well,
+    however few bytes they have; both rules judge the input. Bytes of a character that is cut in two go as well. A document may be left empty; ``n_chars``, if there is one,
+    is counted anew. Texts without repeated bytes stay as they are, NULL too. Words are told apart by 48 bits of a hash: in ten million
+    distinct words there is a pair with equal ones with a chance of some 0.2, which only matters where the words around
+    it repeat too.
+    """
+    founds = [(find_repeated(docs, length, doc_id, text), "bytes")]
+    if words:
+        founds.append((find_repeated_words(docs, words, doc_id, text), "codes"))
+    uid = free_name(docs, "_uid")
+    return _cut_texts(docs.withColumn(uid, row_uid(docs)), uid, _holes_of(founds), text)
+
+
+def removal_digests(
+    docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text", words: int | None = None
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row, when repeated bytes are removed.
 
+    With ``words`` there is one more column, ``cleaned_text``: the text less what is in a string of ``length`` bytes or in a
+    sequence of ``words`` words that occurs again (:func:`remove_repeated`). The other columns go by bytes alone.
+
     Strings are judged on the input. NULL and empty texts and texts below ``length`` have nothing to remove; a row
     that is repeated is removed whole if it is long enough. ``doc_id`` is passed on, NULL as well.
     """
@@ -597,10 +612,16 @@ def removal_digests(docs: DataFrame, length: int = 400, doc_id: str = "doc_id",
     cut = found.texts.join(found.spans, "uid").mapInArrow(work, kinds)
     both = found.marked.join(cut, "uid", "left")
     empty = hashlib.sha256(b"").hexdigest()
-    return both.select(
+    digests = both.select(
+        "uid",
         "doc_id",
         "n_bytes",
         F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(F.col("whole"), F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(F.col("whole"), F.lit(empty)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
     )
+    if not words:
+        return digests.drop("uid")
+    spans = _holes_of([(found, "bytes"), (find_repeated_words(docs, words, doc_id, text), "codes")])
+    texts = docs.select(row_uid(docs).alias("uid"), docs[text].cast("string").alias("cleaned_text"))
+    return _cut_texts(digests.join(texts, "uid"), "uid", spans, "cleaned_text")
