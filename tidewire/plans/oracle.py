@@ -231,7 +231,8 @@ ORACLE["dedupe_articles_incremental"] = _with(
 )
 _STORED = f"{ACCEPTED}, {_NOTHING}, {_deduped('kept', 'accepted', 'nothing')}"
 _STORED_COLUMNS = "title, url, published_at, source_name, author, description, content, raw_json"
-for _name in ("stream_ingest_articles", "stream_compacted_articles", "stream_ingest_after_crash"):
+for _name in ("stream_ingest_articles", "stream_compacted_articles", "stream_ingest_after_crash",
+              "stream_first_articles"):
     ORACLE[_name] = _with(_STORED, f"SELECT {_STORED_COLUMNS} FROM kept")
 # What has no key is read again and stored again.
 ORACLE["stream_ingest_new_checkpoint"] = _with(

@@ -16,7 +16,7 @@ from ..sources import articles as art
 from ..sources import incidents as inc
 from ..sources import tables
 from ..sources.commits import read_state
-from ..streaming.ingest import from_topic, ingest, ingest_recent, read_article_stream, stage_batch
+from ..streaming.ingest import from_topic, ingest, ingest_first, ingest_recent, read_article_stream, stage_batch
 from . import bindings as b
 from . import jobs
 
@@ -232,6 +232,16 @@ def stream_recent_articles(spark, sf):
     return spark.read.parquet(path).select("url")
 
 
+@query
+def stream_first_articles(spark, sf):
+    """De-duplicated by keyed state, rows without url or time too; nothing is forgotten while the query runs."""
+    landing, path, checkpoint = (scratch_path(spark, name) for name in ("landing", "first", "checkpoint"))
+    b.landed_messages(spark, sf, broken=True).write.parquet(landing)
+    stream = read_article_stream(spark, "parquet", {"path": landing})
+    ingest_first(stream, path, checkpoint, {"availableNow": True}).awaitTermination()
+    return _stored(spark.read.parquet(path))
+
+
 @query
 def quarantined_stream_messages(spark, sf):
     """What the stream set aside, over both waves."""

@@ -23,6 +23,7 @@ from ..session import materialize, scratch_scope
 from ..sources.articles import accepted, decode_articles, extract_article, quarantine, stored_columns
 from ..sources.commits import State, commit_batch, prefix, read_keys, read_state, recover
 from ..sources.tables import batch_path, ensure_articles, write_batch
+from .stateful import first_articles
 
 # Arrival order: total, and that of offsets inside a partition of a topic, or of lines inside a file.
 ORDER_COLS = ["arrival_ts", "arrival_off", "arrival_part"]
@@ -126,12 +127,26 @@ def ingest(
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).foreachBatch(store).start()
 
 
+def ingest_first(
+    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, remember_ms: int = 0
+) -> StreamingQuery:
+    """Ingest with keyed state and no look at what is stored: a key counts as seen for ``remember_ms`` (0: for ever).
+
+    All accepted articles take part, those without url or time by the same rule as in :func:`ingest`. The sink is a plain
+    Parquet stream, exactly once by its own log; another checkpoint starts with empty state, so it needs another path.
+    """
+    rows = accepted(extract_article(decode_articles(messages), keep=ORDER_COLS))
+    first = stored_columns(first_articles(rows, ORDER_COLS, remember_ms))
+    writer = first.writeStream.option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "1 second"})).format("parquet").start(path)
+
+
 def ingest_recent(
     messages: DataFrame, path: str, checkpoint: str, delay: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Ingest with bounded state and no look at what is stored: a url counts as seen for ``delay`` of event time.
 
-    Articles without url or time are left out. The sink is a plain Parquet stream, exactly once by its own log.
+    Articles without url or time are left out; :func:`ingest_first` keeps them. The sink is a plain Parquet stream, exactly once by its own log.
     """
     rows = accepted(extract_article(decode_articles(messages)))
     timed = rows.withColumn("event_time", F.col("published_at").cast("timestamp"))
