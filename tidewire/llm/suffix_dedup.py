@@ -32,14 +32,16 @@ from .common import bounded_batches, free_name, numbered, row_uid
 from .parts import HASH_BITS, blocks, cut_parts, mix, pack, pack_ids, unpack, unpack_ids
 
 #: Anchors that a part of the hash space has on average, and suffixes that a merged range has on average.
-PART_ANCHORS, RANGE_SUFFIXES = 500_000, 60_000
+PART_ANCHORS, RANGE_SUFFIXES = 300_000, 60_000
+#: Bytes of text in a block, bytes of an Arrow batch, and rows that are sent at once.
+BLOCK, ARROW_BYTES, SENT_ROWS = 3_000_000, 8_000_000, 32
 #: Splitters are chosen among so many sampled suffixes per range, by their first bytes.
 SAMPLED, SPLITTER_BYTES = 32, 32
 #: Words are found again by codes of so many bytes each; of so many words a task remembers the codes.
 CODE_BYTES, KNOWN_WORDS = 6, 1 << 17
 WORD = re.compile(rb"[^\t-\r ]+")
-#: Positions that are worked on at once.
-SLICE = 1 << 19
+#: Positions that are worked on at once: some hundred bytes of arrays each.
+SLICE = 1 << 17
 SENT = "part long, block long, entries binary, tags binary, uids binary, ids binary, sizes binary, hashes binary"
 SCANNED = "uid long, doc_id long, n_bytes long, sha binary, anchors binary"
 RUN = "part long, block long, shared binary, lengths binary, tails binary, before binary, befores binary, many binary, owners binary"
@@ -108,7 +110,7 @@ def _send(rows: DataFrame, length: int, parts: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
-        for held in blocks(batches, "raw"):
+        for held in blocks(batches, "raw", BLOCK):
             block, texts = held["uid"][0], held["raw"]
             digests = [hashlib.sha256(raw).digest() for raw in texts]
             header = (
@@ -126,9 +128,13 @@ def _send(rows: DataFrame, length: int, parts: int) -> DataFrame:
             keys, tags = keys[order], tags[order]
             for part, low, high in cut_parts(keys, parts):
                 out.append((part, block, pack(keys[low:high]), tags[low:high].astype("<u8").tobytes(), *[None] * 4))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                if len(out) == SENT_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    bounded_batches(rows.sparkSession)
+    bounded_batches(rows.sparkSession, ARROW_BYTES)
     return rows.select("uid", "doc_id", "raw").mapInArrow(work, SENT)
 
 
@@ -483,7 +489,7 @@ def find_repeated_words(docs: DataFrame, words: int, doc_id: str = "doc_id", tex
             codes = [b"".join(map(code, raw.split())) for raw in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(codes, pa.binary())], ["uid", "doc_id", "raw"])
 
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, ARROW_BYTES)
     rows = numbered(docs, doc_id, text).mapInArrow(coded, "uid long, doc_id long, raw binary")
     return _find(rows, words * CODE_BYTES)
 
