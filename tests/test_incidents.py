@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +118,55 @@ def test_filters_reach_the_scan(spark, sf):
                    "IsNotNull(latitude)"):
         assert pushed in text
     assert "attacktype1_txt" not in text
+
+
+def small_blocks(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+
+@pytest.fixture
+def cut_files(spark):
+    yield lambda size: small_blocks(spark, size)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", [700, 2_000, 100_000])
+def test_quoted_line_breaks_in_a_file_read_by_many_tasks(spark, tmp_path, cut_files, size, ending):
+    made = random.Random(size)
+    bits = ['""', ending, ending * 2, ",", "word", " ", "é", '"",""', "x" * 300]
+    lines = [",".join(WIDE)]
+    for i in range(400):
+        quoted = '"' + "".join(made.choice(bits) for _ in range(made.randrange(30))) + '"'
+        lines.append(csv_line(made.choice([quoted, quoted, "", "plain"]), city=f"c{i}", cut=3 if i % 50 == 7 else 0))
+    (tmp_path / "in").mkdir()
+    for name in ("a", "b"):
+        (tmp_path / "in" / f"{name}.csv").write_bytes((ending.join(lines) + ending).encode())
+    whole = rows(incidents.read_incident_csv(spark, str(tmp_path / "in")))
+    cut_files(size)
+    split = incidents.read_incident_csv(spark, str(tmp_path / "in"), split=True)
+    assert rows(split) == whole and len(whole) == 2 * 392
+    if size < 100_000:
+        tasks = spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions()
+        assert tasks > 8
+
+
+def test_split_csv_with_a_field_larger_than_blocks_no_rows_or_an_open_quote(spark, tmp_path, cut_files):
+    cut_files(500)
+    long = '"' + "line\n" * 1_000 + '"'
+    text = "\n".join([",".join(WIDE), csv_line("a"), csv_line(long), csv_line('"b\nc"')])
+    (tmp_path / "long.csv").write_text(text)
+    found = incidents.read_incident_csv(spark, str(tmp_path / "long.csv"), split=True)
+    assert sorted(r.summary for r in found.collect()) == ["a", "b\nc", "line\n" * 1_000]
+    (tmp_path / "none.csv").write_text(",".join(WIDE) + "\n")
+    assert incidents.read_incident_csv(spark, str(tmp_path / "none.csv"), split=True).count() == 0
+    (tmp_path / "open.csv").write_text(text + '\n"')
+    with pytest.raises(ValueError, match="ends in a quoted field"):
+        incidents.read_incident_csv(spark, str(tmp_path / "open.csv"), split=True)
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "a.csv").write_text(text)
+    (tmp_path / "two" / "b.csv").write_text(text.replace("city", "town"))
+    with pytest.raises(Exception, match="another header"):
+        incidents.read_incident_csv(spark, str(tmp_path / "two"), split=True).collect()

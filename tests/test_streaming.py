@@ -163,6 +163,33 @@ def test_first_line_of_a_text_file_wins(spark, tmp_path):
     assert rows(tables.read_articles(spark, path).select("title")) == [("first",)] * 20
 
 
+def test_a_text_file_is_split_and_keeps_the_order_of_its_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [message(f"u{i % 200}", title=f"{i:05d}") for i in range(2_000)]
+    (tmp_path / "in" / "a.json").write_text("\r\n".join(["", *lines]) + "\n")
+    settings = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        source = stream.read_article_stream(spark, "text", {"path": str(tmp_path / "in")})
+        seen = []
+
+        def keep(batch, _):
+            parts = batch.select(F.spark_partition_id().alias("p"), "arrival_off", F.get_json_object("value", "$.title"))
+            seen.extend(parts.collect())
+
+        checkpoint = str(tmp_path / "seen")
+        source.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        path, checkpoint = scratch_path(spark, "stored"), scratch_path(spark, "checkpoint")
+        stream.ingest(source, path, checkpoint, trigger={"availableNow": True}).awaitTermination()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert len({r[0] for r in seen}) > 5
+    assert [r[2] for r in sorted(seen, key=lambda r: r[1])] == [f"{i:05d}" for i in range(2_000)]
+    assert rows(tables.read_articles(spark, path).select("title")) == [(f"{i:05d}",) for i in range(200)]
+
+
 def test_offsets_order_a_partition_not_times(spark):
     path = scratch_path(spark, "stored")
     tables.ensure_articles(spark, path)

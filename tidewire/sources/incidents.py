@@ -11,13 +11,29 @@ from pyspark.sql import types as T
 from ..functions import casts
 from ..operators.filters import has_coordinates
 from ..schemas import CLEAN, RAW_COLUMNS
+from .splits import quoted_records
 
 def select_raw(df: DataFrame) -> DataFrame:
     return df.select(*RAW_COLUMNS)
 
 
+def _read_records(spark: SparkSession, path: str, options: dict[str, str]) -> DataFrame:
+    """The columns of records that :func:`quoted_records` finds; the first of each file must be the header."""
+    names = spark.read.options(**options).csv(path).columns
+    texts = ", ".join(f"`{name.replace('`', '``')}` string" for name in [*names, "_malformed"])
+    parse = {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
+    text = F.decode("raw", options["encoding"])
+    # Where records end with CRLF, line breaks in fields become LF, as with the reader of whole files.
+    plain = F.when(text.endswith("\r"), F.rtrim(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"))).otherwise(text)
+    records = quoted_records(spark, path).select("first", plain.alias("text")).where("text != ''")
+    fields = records.select("first", F.from_csv("text", texts, parse).alias("r")).where("r._malformed IS NULL")
+    other = reduce(lambda a, b: a | b, [F.lower(F.col(f"r.{c}")).eqNullSafe(c.lower()) == F.lit(False) for c in RAW_COLUMNS])
+    wrong = F.raise_error(F.lit("a file has another header than the first one")).cast("boolean")
+    return fields.where(F.when(~F.col("first"), True).otherwise(F.when(other, wrong).otherwise(False))).select("r.*")
+
+
 def read_incident_csv(
-    spark: SparkSession, path: str, multi_line: bool = True, encoding: str = "UTF-8"
+    spark: SparkSession, path: str, multi_line: bool = True, encoding: str = "UTF-8", split: bool = False
 ) -> DataFrame:
     """All columns as text by header name. Malformed rows are skipped: too few or too many fields, or bytes that are
     no UTF-8. For that, bytes are read one by one and decoded per field. Any other ``encoding`` is decoded by the
@@ -25,20 +41,24 @@ def read_incident_csv(
 
     No schema is passed on purpose: the header may hold more columns than are kept, and every file's header is
     checked against the first one's. Quoted line breaks need
-    ``multi_line``, which reads each file in one task: land the data as many files, or switch it off for data
-    without line breaks in fields, and store the table as Parquet once.
+    ``multi_line``, which reads each file in one task; ``split`` gives the same rows with many tasks for a file, if
+    quotes stand around fields or doubled inside them only, and reads it twice (:func:`quoted_records`). Files whose
+    fields hold no line breaks need neither.
     """
+    if split and encoding.upper().replace("-", "").replace("_", "")[:5] in ("UTF16", "UTF32", "UCS2"):
+        raise ValueError("files of wide characters cannot be split")
     by_bytes = encoding.upper().replace("-", "") == "UTF8"
-    reader = spark.read.options(
-        header=True,
-        enforceSchema=False,
-        mode="DROPMALFORMED",
-        multiLine=multi_line,
-        quote='"',
-        escape='"',
-        encoding="ISO-8859-1" if by_bytes else encoding,
-    )
-    df = select_raw(reader.csv(path))
+    shape = {
+        "header": "true",
+        "enforceSchema": "false",
+        "quote": '"',
+        "escape": '"',
+        "encoding": "ISO-8859-1" if by_bytes else encoding,
+    }
+    if split:
+        df = select_raw(_read_records(spark, path, {**shape, "multiLine": "true"}))
+    else:
+        df = select_raw(spark.read.options(**shape, multiLine=multi_line, mode="DROPMALFORMED").csv(path))
     if not by_bytes:
         return df
     texts = [F.encode(name, "ISO-8859-1").cast("string").alias(name) for name in RAW_COLUMNS]

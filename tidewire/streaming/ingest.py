@@ -22,6 +22,7 @@ from ..schemas import MESSAGE
 from ..session import materialize, scratch_scope
 from ..sources.articles import accepted, decode_articles, extract_article, quarantine, stored_columns
 from ..sources.commits import State, commit_batch, prefix, read_keys, read_state, recover
+from ..sources.splits import block_lines
 from ..sources.tables import batch_path, ensure_articles, write_batch
 from .stateful import first_articles
 
@@ -43,7 +44,7 @@ def from_topic(df: DataFrame) -> DataFrame:
 def read_article_stream(spark: SparkSession, source: str, options: dict[str, str]) -> DataFrame:
     """``kafka``: a topic from its start; ``parquet``: messages landed with topic columns; ``text``: JSON lines.
 
-    Lines are read in order of their place in the file, which is not split; files in order of their time.
+    Lines are in order of their place in the file, however many tasks read it; files in order of their time.
     """
     options = dict(options)
     if source == "kafka":
@@ -53,15 +54,10 @@ def read_article_stream(spark: SparkSession, source: str, options: dict[str, str
     if source == "parquet":
         return from_topic(spark.readStream.schema(MESSAGE).options(**options).parquet(path))
     if source == "text":
-        # A whole file is a row, so that a line's place in it is known however the files are read.
-        files = spark.readStream.options(**{**options, "wholetext": "true"}).text(path).select("value", "_metadata")
-        lines = files.select("_metadata", F.posexplode(F.split("value", "\r?\n")).alias("line", "value"))
-        return _with_arrival(
-            lines.where("value != ''"),
-            F.col("_metadata.file_modification_time"),
-            F.col("_metadata.file_path"),
-            F.col("line").cast("long"),
-        )
+        # Whatever else the caller sets: lines end with LF, and a file is read by as many tasks as it has blocks.
+        files = spark.readStream.options(**{**options, "lineSep": "\n", "wholetext": "false"}).text(path)
+        lines = block_lines(files.select("value", "_metadata")).withColumn("value", F.regexp_replace("value", "\r$", ""))
+        return _with_arrival(lines.where("value != ''"), F.col("time"), F.col("file"), F.col("offset"))
     raise ValueError(f"unknown source {source!r}")
 
 
