@@ -10,7 +10,7 @@ def cumulative_frames(df: DataFrame, col: str = "iyear", label: str = "iyear_str
 
     The distinct observed years arrive as one array from a scalar subquery over this one column; each row then
     expands itself, so there is no join and no shuffle of the rows. The result has a row per row and later year, so
-    show it for a selection; :func:`cumulative_year_counts` is the aggregate.
+    show it for a selection, or store :func:`frame_spans`; :func:`cumulative_year_counts` is the aggregate.
     """
     years = (
         df.select(F.col(col).alias("y"))
@@ -28,6 +28,29 @@ def cumulative_frames(df: DataFrame, col: str = "iyear", label: str = "iyear_str
     )
 
 
+def frame_spans(df: DataFrame, every: int = 1, col: str = "iyear") -> DataFrame:
+    """Each row once, with the first and the last frame that show it: ``first_frame``, ``last_frame``.
+
+    Frames stand at every ``every``-th year from the earliest on, the last one at or after the latest year. Rows without
+    a year are in no frame. As large as the input, whatever the number of years; :func:`shown_in` picks a frame.
+    """
+    if every < 1:
+        raise ValueError("every must be at least 1")
+    bounds = df.agg(F.struct(F.min(col).alias("low"), F.max(col).alias("high"))).scalar()
+
+    def frame(year):
+        return (F.col("_bounds.low") + F.ceil((year - F.col("_bounds.low")) / every) * every).cast("int")
+
+    spans = df.withColumn("_bounds", bounds).withColumn("first_frame", frame(F.col(col)))
+    shown = F.when(F.col("first_frame").isNotNull(), frame(F.col("_bounds.high")))
+    return spans.withColumn("last_frame", shown).drop("_bounds")
+
+
+def shown_in(spans: DataFrame, frame: int) -> DataFrame:
+    """The rows that a frame shows: a filter on the stored spans, which reaches their scan."""
+    return spans.where(F.lit(frame).between(F.col("first_frame"), F.col("last_frame")))
+
+
 def cumulative_year_counts(df: DataFrame, col: str = "iyear") -> DataFrame:
     """Per frame, the count of each single year up to it. Not a running sum.
 

@@ -117,18 +117,18 @@ def word_counts(df: DataFrame, col: str, stop: list[str], min_word_length: int =
 def adjacent_pairs(df: DataFrame, col: str, stop: list[str], min_word_length: int = 0) -> DataFrame:
     """(w1, w2, n): every non-stop word with its successor, NULL if that is a stop word or the text ends.
 
-    Pairs are formed inside a row, before stop words go, so there is no shuffle by document; each word is tested
-    once. The sum over w2 gives the word counts, so one pass over the texts serves both.
+    Pairs of raw words are formed inside a row, so there is no shuffle by document. They are tested and cleaned once
+    they are rows, in compiled code; functions on array elements would be interpreted. The sum over w2 gives the word
+    counts, so one pass over the texts serves both.
     """
-    def tested(raw: Column) -> Column:
-        return F.when(~W.is_stop(raw, stop), W.cut_possessive(raw))
-
-    texts = df.where(F.col(col).isNotNull()).select(
-        once(F.transform(W.raw_words(F.col(col), min_word_length), tested)).alias("t")
-    )
+    texts = df.where(F.col(col).isNotNull()).select(once(W.raw_words(F.col(col), min_word_length)).alias("t"))
     following = F.slice("t", F.lit(2), F.greatest(F.size("t") - 1, F.lit(0)))
-    pairs = texts.select(F.inline(F.arrays_zip(F.col("t").alias("w1"), following.alias("w2"))).alias("w1", "w2"))
-    return pairs.where(F.col("w1").isNotNull()).groupBy("w1", "w2").agg(F.count("*").alias("n"))
+    raw = texts.select(F.inline(F.arrays_zip(F.col("t").alias("r1"), following.alias("r2"))).alias("r1", "r2"))
+    pairs = raw.where(~W.is_stop(F.col("r1"), stop)).select(
+        W.cut_possessive(F.col("r1")).alias("w1"),
+        F.when(~W.is_stop(F.col("r2"), stop), W.cut_possessive(F.col("r2"))).alias("w2"),
+    )
+    return pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
 
 
 def _log_likelihood(k: Column, n: Column, x: Column) -> Column:

@@ -430,10 +430,10 @@ ORACLE["keyword_source_matrix"] = _with(
 )
 
 
-def _folded(name: str, source: str) -> str:
+def _folded(name: str, source: str, n: str = "count(*)") -> str:
     """CTE: words of ``source`` folded over letter case and simple plurals, as (key, term, n)."""
     return f"""
-{name}_spelled AS MATERIALIZED (SELECT word, lower(word) AS low, count(*) AS n FROM {source} GROUP BY 1, 2),
+{name}_spelled AS MATERIALIZED (SELECT word, lower(word) AS low, {n} AS n FROM {source} GROUP BY 1, 2),
 {name}_merged AS MATERIALIZED (
   SELECT w.low, CASE WHEN s.low IS NOT NULL THEN s.low ELSE w.low END AS key,
          CASE WHEN s.low IS NOT NULL THEN substr(w.word, 1, length(w.word) - 1) ELSE w.word END AS form, w.n
@@ -469,22 +469,24 @@ texts AS (
   FROM clean WHERE summary IS NOT NULL
 ),
 seq AS MATERIALIZED (
-  SELECT unnest(t) AS w, unnest(list_append(t[2:], NULL)) AS following FROM texts WHERE len(t) > 0
+  SELECT w, following, count(*) AS n
+  FROM (SELECT unnest(t) AS w, unnest(list_append(t[2:], NULL)) AS following FROM texts WHERE len(t) > 0)
+  GROUP BY 1, 2
 ),
-unigram AS MATERIALIZED (SELECT w AS word FROM seq WHERE lower(w) NOT IN ({STOP})),
+unigram AS MATERIALIZED (SELECT w AS word, sum(n) AS n FROM seq WHERE lower(w) NOT IN ({STOP}) GROUP BY 1),
 bigram AS (
-  SELECT w || ' ' || following AS word FROM seq
+  SELECT w || ' ' || following AS word, n FROM seq
   WHERE lower(w) NOT IN ({STOP}) AND lower(following) NOT IN ({STOP})
 ),
-{_folded('uni', 'unigram')},
-{_folded('bi', 'bigram')},
-lookup AS (
+{_folded('uni', 'unigram', 'sum(n)')},
+{_folded('bi', 'bigram', 'sum(n)')},
+lookup AS MATERIALIZED (
   SELECT l.low, u.term, u.n FROM (SELECT DISTINCT low, key FROM uni_merged) l JOIN uni u ON u.key = l.key
 ),
 counts AS (
-  SELECT bi.term AS bigram, x.term AS word1, y.term AS word2, bi.n AS n12, CAST(bi.n AS DOUBLE) AS c12,
+  SELECT bi.term AS bigram, x.term AS word1, y.term AS word2, CAST(bi.n AS BIGINT) AS n12, CAST(bi.n AS DOUBLE) AS c12,
          CAST(x.n AS DOUBLE) AS c1, CAST(y.n AS DOUBLE) AS c2,
-         (SELECT CAST(count(*) AS DOUBLE) FROM unigram) AS total
+         (SELECT CAST(sum(n) AS DOUBLE) FROM unigram) AS total
   FROM bi
   JOIN lookup x ON x.low = lower(split_part(bi.term, ' ', 1))
   JOIN lookup y ON y.low = lower(split_part(bi.term, ' ', 2))
@@ -681,3 +683,68 @@ known AS (SELECT * FROM clean WHERE attacktype1_txt IS NOT NULL AND targtype1_tx
         _view("summary_words", ["term"], "n", _word_terms()),
     ]),
 )
+
+# Spans, splits, patterns, corpora
+
+ORACLE["csv_split_load"] = _with(
+    RAW,
+    """SELECT * REPLACE (CAST(latitude AS VARCHAR) AS latitude, CAST(longitude AS VARCHAR) AS longitude,
+                         city || chr(10) || '"city"' || chr(10) || chr(10) || eventid AS city) FROM raw""",
+)
+_incidents(
+    "frame_spans",
+    """SELECT c.*, CAST(y0 + ((c.iyear - y0 + 1) // 2) * 2 AS INTEGER) AS first_frame,
+              CASE WHEN c.iyear IS NOT NULL THEN CAST(y0 + ((y1 - y0 + 1) // 2) * 2 AS INTEGER) END AS last_frame
+       FROM clean c, (SELECT min(iyear) AS y0, max(iyear) AS y1 FROM clean)""",
+)
+ORACLE["title_word_sets"] = _with(
+    TOKENS
+    + """,
+held AS MATERIALIZED (SELECT DISTINCT off, token FROM tokens),
+least AS (SELECT 0.1e0 * count(DISTINCT off) - 1e-9 AS least FROM held),
+often AS MATERIALIZED (
+  SELECT off, token FROM held WHERE token IN
+    (SELECT token FROM held GROUP BY 1 HAVING count(*) >= (SELECT least FROM least))
+),
+sets AS (
+  SELECT a.token AS words, 1 AS size, count(*) AS n FROM often a GROUP BY 1
+  UNION ALL
+  SELECT a.token || ' ' || b.token, 2, count(*) FROM often a JOIN often b ON a.off = b.off AND a.token < b.token
+  GROUP BY a.token, b.token
+  UNION ALL
+  SELECT a.token || ' ' || b.token || ' ' || c.token, 3, count(*) FROM often a
+  JOIN often b ON a.off = b.off AND a.token < b.token JOIN often c ON a.off = c.off AND b.token < c.token
+  GROUP BY a.token, b.token, c.token
+)""",
+    "SELECT words, size, n FROM sets WHERE n >= (SELECT least FROM least)",
+)
+ORACLE["keyword_shift"] = _with(
+    TOKENS
+    + f""",{INCIDENTS},
+past AS (
+  SELECT trim(unnest(regexp_split_to_array(
+           regexp_replace(lower(summary), '[^\\p{{L}}\\p{{N}}_\\s'']', ' ', 'g'), '\\s+')), '''') AS token
+  FROM clean WHERE summary IS NOT NULL
+),
+x AS (
+  SELECT token, count(*) AS n FROM past
+  WHERE length(token) > 2 AND regexp_full_match(token, '\\p{{L}}+') AND token NOT IN ({NEWS_STOP}) GROUP BY 1
+),
+y AS (SELECT token, count(*) AS n FROM tokens GROUP BY 1),
+counts AS (
+  SELECT coalesce(x.token, y.token) AS token, coalesce(x.n, 0) AS n_first, coalesce(y.n, 0) AS n_second
+  FROM x FULL JOIN y ON x.token = y.token
+),
+sums AS (
+  SELECT *, CAST(sum(n_first) OVER () AS DOUBLE) AS f, CAST(sum(n_second) OVER () AS DOUBLE) AS s FROM counts
+),
+priors AS (SELECT *, 1e3 * (n_first + n_second) / (f + s) AS p FROM sums),
+scored AS (
+  SELECT *, ln(((n_first + p) / (f + 1e3 - (n_first + p))) / ((n_second + p) / (s + 1e3 - (n_second + p)))) AS lo,
+         1 / (n_first + p) + 1 / (n_second + p) AS v
+  FROM priors
+)""",
+    """SELECT token, n_first, n_second, round(n_first / nullif(f, 0e0), 9) AS share_first,
+              round(n_second / nullif(s, 0e0), 9) AS share_second, round(lo, 9) AS log_odds, round(v, 9) AS variance,
+              round(lo / sqrt(v), 9) AS z FROM scored""",
+)

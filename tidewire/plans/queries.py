@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.articles import dedupe_key, url_missing
 from ..functions.casts import ntz_to_iso
 from ..functions.words import BASE_STOPWORDS, NEWS_STOPWORDS, stopwords
-from ..operators import dedupe, filters, frames, geo, sampling, text, views
+from ..operators import dedupe, filters, frames, geo, patterns, sampling, text, views
 from ..session import materialize, scratch_path
 from ..sources import articles as art
 from ..sources import incidents as inc
@@ -43,6 +43,15 @@ def csv_roundtrip_load(spark, sf):
     return inc.read_incident_csv(spark, path)
 
 
+@query
+def csv_split_load(spark, sf):
+    """Fields with line breaks and quotes in them, from files that many tasks may read."""
+    path = scratch_path(spark, "broken-lines-csv")
+    raw = b.incidents_raw(spark, sf).withColumn("city", F.concat("city", F.lit('\n"city"\n\n'), "eventid"))
+    raw.write.options(header=True, quote='"', escape='"').csv(path)
+    return inc.read_incident_csv(spark, path, split=True)
+
+
 @query
 def clean_incidents(spark, sf):
     return inc.clean_incidents(b.incidents_raw(spark, sf))
@@ -446,6 +455,11 @@ def cumulative_frames(spark, sf):
     return frames.cumulative_frames(shown).drop("frame_year")
 
 
+@query
+def frame_spans(spark, sf):
+    return frames.frame_spans(b.clean(spark, sf, summary=True), every=2)
+
+
 @query
 def cumulative_year_counts(spark, sf):
     return frames.cumulative_year_counts(b.clean(spark, sf))
@@ -479,6 +493,22 @@ def title_word_freq(spark, sf):
     return _rounded(text.word_frequencies(b.articles_in(spark, sf), "title", NEWS_STOP))
 
 
+@query
+def title_word_sets(spark, sf):
+    sets = patterns.frequent_word_sets(b.articles_in(spark, sf), "off", "title", NEWS_STOP, 0.1, max_size=3)
+    return sets.withColumn("words", F.array_join("words", " "))
+
+
+@query
+def keyword_shift(spark, sf):
+    """Words of the incidents' summaries against those of the article titles."""
+    past = text.token_counts(b.clean(spark, sf, summary=True), "summary", NEWS_STOP)
+    now = text.token_counts(b.articles_in(spark, sf), "title", NEWS_STOP)
+    compared = patterns.compare_counts(past, now)
+    doubles = [name for name, kind in compared.dtypes if kind == "double"]
+    return compared.withColumns({name: F.round(name, 9) for name in doubles})
+
+
 def _rounded(top: DataFrame) -> DataFrame:
     return top.withColumn("weight", F.round("weight", 9))
 
