@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import bounded_batches, free_name, numbered, row_uid
 from .components import components
-from .parts import HASH_BITS, blocks, cut_parts, mix, pack, pack_ids, unpack, unpack_ids
+from .parts import HASH_BITS, blocks, cut_parts, lean, mix, pack, pack_ids, unpack, unpack_ids
 from .token_counts import Numbers
 
 #: Shingles that a part of the hash space has on average, and bytes of text in a block. Their arrays take some 20 times as
@@ -192,8 +192,8 @@ def vectors(rows: DataFrame, like: Likeness) -> DataFrame:
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
     sent = _send(rows, parts, like.words)
-    replies = sent.groupBy("part").applyInArrow(_count, REPLY)
-    return replies.groupBy("block").applyInArrow(block_vectors, VECTOR)
+    replies = sent.groupBy("part").applyInArrow(lean(_count), REPLY)
+    return replies.groupBy("block").applyInArrow(lean(block_vectors), VECTOR)
 
 
 def samples(hashes: np.ndarray, weights: np.ndarray, first: int, count: int) -> np.ndarray:

@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import bounded_batches, free_name, numbered, row_uid
-from .parts import HASH_BITS, blocks, cut_parts, mix, pack, pack_ids, unpack, unpack_ids
+from .parts import HASH_BITS, blocks, cut_parts, lean, mix, pack, pack_ids, unpack, unpack_ids
 
 #: Anchors that a part of the hash space has on average, and suffixes that a merged range has on average.
 PART_ANCHORS, RANGE_SUFFIXES = 300_000, 60_000
@@ -103,15 +103,27 @@ class Anchors:
         return text, place - (ends - lengths)[text], np.concatenate(hashes)[first]
 
 
-def _send(rows: DataFrame, length: int, parts: int) -> DataFrame:
+#: Makes, in a task, the function that turns a text's bytes into those that are searched.
+Recode = Callable[[], Callable[[bytes], bytes]]
+
+
+def word_coder() -> Callable[[bytes], bytes]:
+    """Gives each word of a text a code of its own, and leaves out the blanks."""
+    code = lru_cache(KNOWN_WORDS)(lambda word: hashlib.blake2b(word, digest_size=CODE_BYTES).digest())
+    return lambda raw: b"".join(map(code, raw.split()))
+
+
+def _send(rows: DataFrame, length: int, parts: int, recode: Recode | None = None) -> DataFrame:
     """A header row per block, then a row for each block and part of the hash space. A block is known by its first uid."""
     names = [c.split()[0] for c in SENT.split(", ")]
     types = [pa.int64()] * 2 + [pa.binary()] * 6
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors = Anchors(length)
+        anchors, searched = Anchors(length), recode() if recode else None
         for held in blocks(batches, "raw", BLOCK):
             block, texts = held["uid"][0], held["raw"]
+            if searched:
+                texts = [searched(raw) for raw in texts]
             digests = [hashlib.sha256(raw).digest() for raw in texts]
             header = (
                 np.array(held["uid"], "<i8").tobytes(),
@@ -180,12 +192,13 @@ def _per_document(rows: pa.Table) -> pa.Table:
     return pa.table(columns, [c.split()[0] for c in SCANNED.split(", ")])
 
 
-def scan(rows: DataFrame, length: int) -> DataFrame:
+def scan(rows: DataFrame, length: int, recode: Recode | None = None) -> DataFrame:
     """A row per document with its digest and the hashes of its anchors that occur again; NULL if it has none."""
     total = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
     anchors = 2 * total // (length - 2 * length // 5 + 2)
-    sent = _send(rows, length, max(64, anchors // PART_ANCHORS))
-    return sent.groupBy("part").applyInArrow(_repeated, SENT).groupBy("block").applyInArrow(_per_document, SCANNED)
+    sent = _send(rows, length, max(64, anchors // PART_ANCHORS), recode)
+    counted = sent.groupBy("part").applyInArrow(lean(_repeated), SENT)
+    return counted.groupBy("block").applyInArrow(lean(_per_document), SCANNED)
 
 
 def _chosen(anchors: Anchors, texts: list[bytes], wanted: list[bytes]) -> tuple[list[int], list[int]]:
@@ -483,19 +496,22 @@ def find_repeated_words(docs: DataFrame, words: int, doc_id: str = "doc_id", tex
     ``CODE_BYTES`` bytes in all, or if the whole codes around it repeat as well.
     """
 
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = lru_cache(KNOWN_WORDS)(lambda word: hashlib.blake2b(word, digest_size=CODE_BYTES).digest())
+    return _find(numbered(docs, doc_id, text), words * CODE_BYTES, word_coder)
+
+
+def _recoded(rows: DataFrame, recode: Recode) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        searched = recode()
         for batch in batches:
-            codes = [b"".join(map(code, raw.split())) for raw in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(codes, pa.binary())], ["uid", "doc_id", "raw"])
+            codes = [searched(raw) for raw in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary()), batch.column(2)], ["uid", "raw", "anchors"])
 
-    bounded_batches(docs.sparkSession, ARROW_BYTES)
-    rows = numbered(docs, doc_id, text).mapInArrow(coded, "uid long, doc_id long, raw binary")
-    return _find(rows, words * CODE_BYTES)
+    bounded_batches(rows.sparkSession, ARROW_BYTES)
+    return rows.select("uid", "raw", "anchors").mapInArrow(work, "uid long, raw binary, anchors binary")
 
 
-def _find(rows: DataFrame, length: int) -> Found:
-    scanned = materialize(scan(rows, length), "scanned")
+def _find(rows: DataFrame, length: int, recode: Recode | None = None) -> Found:
+    scanned = materialize(scan(rows, length, recode), "scanned")
     # Stored before the join: else the join would use the grouping's partitions, in which Spark cannot split a hot text.
     equal = materialize(scanned.groupBy("sha").agg(F.count("*").alias("n"), F.min("uid").alias("first")), "equal")
     known = scanned.join(equal, "sha")
@@ -504,13 +520,14 @@ def _find(rows: DataFrame, length: int) -> Found:
                                       F.when(F.col("uid") == F.col("first"), F.col("anchors")).alias("anchors")), "marked")
     # One of several equal texts stands for all; texts without a repeated anchor are not looked at again.
     asked = marked.where("anchors IS NOT NULL").select("uid", "anchors")
-    texts = materialize(rows.select("uid", "raw").join(asked, "uid"), "texts")
+    joined = rows.select("uid", "raw").join(asked, "uid")
+    texts = materialize(_recoded(joined, recode) if recode else joined, "texts")
     suffixes = texts.agg(F.sum(F.octet_length("anchors"))).first()[0] or 0
     ranges = -(-suffixes // (8 * RANGE_SUFFIXES)) or 1
     runs = materialize(_runs(texts, length, splitters_of(texts, length, ranges)), "runs")
     reach = length - max(1, 2 * length // 5)
     merged = runs.drop("owners").groupBy("part").applyInArrow(
-        _merge(length, reach), "part long, block long, least binary, most binary"
+        lean(_merge(length, reach)), "part long, block long, least binary, most binary"
     )
     covered = _spans(runs.select("part", "block", "many", "owners").join(merged, ["part", "block"]), length)
     spans = covered.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
