@@ -27,7 +27,7 @@ class Recent(dict):
     """A dict that asks ``make`` for what it lacks. When full, it becomes the older generation, whose keys come back when
     they are asked for again: what is frequent stays, what is not goes with the next generation."""
 
-    def __init__(self, make, most: int = 150_000, longest: int = 48):
+    def __init__(self, make, most: int = 300_000, longest: int = 48):
         super().__init__()
         self.make, self.most, self.longest, self.older = make, most, longest, {}
 
