@@ -718,6 +718,18 @@ sets AS (
 )""",
     "SELECT words, size, n FROM sets WHERE n >= (SELECT least FROM least)",
 )
+ORACLE["title_tfidf"] = _with(
+    TOKENS
+    + """,
+counts AS MATERIALIZED (SELECT off, token, count(*) AS tf FROM tokens GROUP BY 1, 2),
+known AS (
+  SELECT token, ln((1e0 + (SELECT count(DISTINCT off) FROM counts)) / (1e0 + count(*))) + 1e0 AS idf
+  FROM counts GROUP BY 1 ORDER BY count(*) DESC, token LIMIT 20000
+),
+weighted AS MATERIALIZED (SELECT off, token, tf * idf AS w FROM counts JOIN known USING (token)),
+sizes AS (SELECT off, sqrt(sum(w * w)) AS size FROM weighted GROUP BY 1)""",
+    "SELECT off, token, CAST(round_even(w / size * 1048576e0, 0) AS BIGINT) AS weight FROM weighted JOIN sizes USING (off)",
+)
 ORACLE["keyword_shift"] = _with(
     TOKENS
     + f""",{INCIDENTS},

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.articles import dedupe_key, url_missing
 from ..functions.casts import ntz_to_iso
 from ..functions.words import BASE_STOPWORDS, NEWS_STOPWORDS, stopwords
-from ..operators import dedupe, filters, frames, geo, patterns, sampling, text, views
+from ..operators import clusters, dedupe, filters, frames, geo, patterns, sampling, text, views
 from ..session import materialize, scratch_path
 from ..sources import articles as art
 from ..sources import incidents as inc
@@ -499,6 +499,26 @@ def title_word_sets(spark, sf):
     return sets.withColumn("words", F.array_join("words", " "))
 
 
+@query
+def title_tfidf(spark, sf):
+    """The vectors that titles are clustered by."""
+    cells, terms = clusters.weighted_terms(b.articles_in(spark, sf), "off", "title", NEWS_STOP)
+    return cells.join(terms, "term").select(F.col("row").alias("off"), "token", "weight")
+
+
+@query
+def title_clusters(spark, sf):
+    """The cluster of every title."""
+    found, _ = clusters.topic_clusters(b.articles_in(spark, sf), "off", "title", NEWS_STOP)
+    return found.select(F.col("row").alias("off"), "cluster", "similarity")
+
+
+@query
+def title_cluster_terms(spark, sf):
+    """The first words of the clusters of titles."""
+    return clusters.topic_clusters(b.articles_in(spark, sf), "off", "title", NEWS_STOP)[1]
+
+
 @query
 def keyword_shift(spark, sf):
     """Words of the incidents' summaries against those of the article titles."""
