@@ -240,6 +240,13 @@ ORACLE["stream_ingest_new_checkpoint"] = _with(
     f"""SELECT {_STORED_COLUMNS} FROM kept UNION ALL SELECT {_STORED_COLUMNS} FROM accepted
         WHERE off < {MIDDLE} AND coalesce(url, '') = '' AND (title IS NULL OR published_at IS NULL)""",
 )
+_COUNTS = """count(*) AS arrived, count(*) FILTER (WHERE NOT ok) AS rejected, count(*) FILTER (WHERE held) AS stored,
+  count(*) FILTER (WHERE ok AND NOT held) AS duplicates
+FROM (SELECT off, off % 17 <> 0 AND off % 19 <> 0 AS ok, off IN (SELECT off FROM kept) AS held FROM articles_in)"""
+ORACLE["stream_batch_counts"] = _with(
+    _STORED, f"SELECT CAST(off >= {MIDDLE} AS BIGINT) AS batch_id, {_COUNTS} GROUP BY 1"
+)
+ORACLE["stream_reported_counts"] = _with(_STORED, f"SELECT {_COUNTS}")
 ORACLE["stream_ingest_small_batches"] = _with(
     ACCEPTED, "SELECT url, count(DISTINCT url) AS copies FROM accepted WHERE coalesce(url, '') <> '' GROUP BY url"
 )

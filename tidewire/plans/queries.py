@@ -16,6 +16,7 @@ from ..sources import articles as art
 from ..sources import incidents as inc
 from ..sources import tables
 from ..sources.commits import read_state
+from ..streaming.counts import BatchCounts, read_counts
 from ..streaming.ingest import from_topic, ingest, ingest_first, ingest_recent, read_article_stream, stage_batch
 from . import bindings as b
 from . import jobs
@@ -251,6 +252,30 @@ def stream_first_articles(spark, sf):
     return _stored(spark.read.parquet(path))
 
 
+@query
+def stream_batch_counts(spark, sf):
+    """What became of the messages of each of two micro-batches, as it is kept beside the table."""
+    counts = read_counts(spark, _two_waves(spark, sf, lambda fresh, used: used))
+    return counts.select("batch_id", "arrived", "rejected", "stored", "duplicates")
+
+
+@query
+def stream_reported_counts(spark, sf):
+    """The same of a stream with keyed state, as a listener hears it, over all micro-batches."""
+    landing, path, checkpoint = (scratch_path(spark, name) for name in ("landing", "first", "checkpoint"))
+    b.landed_messages(spark, sf, broken=True).write.parquet(landing)
+    stream = read_article_stream(spark, "parquet", {"path": landing})
+    heard = BatchCounts(path)
+    spark.streams.addListener(heard)
+    try:
+        ingest_first(stream, path, checkpoint, {"availableNow": True}, name=path).awaitTermination()
+        heard.wait()
+    finally:
+        spark.streams.removeListener(heard)
+    names = ["arrived", "rejected", "stored", "duplicates"]
+    return heard.table(spark).agg(*[F.sum(name).alias(name) for name in names])
+
+
 @query
 def quarantined_stream_messages(spark, sf):
     """What the stream set aside, over both waves."""

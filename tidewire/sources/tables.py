@@ -81,11 +81,11 @@ def read_rejected(spark: SparkSession, quarantine_path: str, path: str) -> DataF
 
 
 def write_batch(spark: SparkSession, rows: DataFrame, path: str, run: str, batch_id: int) -> tuple[DataFrame, int]:
-    """Write a batch, which does not count yet. Returns the keys of its rows and a bound on their number."""
+    """Write a batch, which does not count yet. Returns the keys of its rows, two each at most, and the number of rows."""
     seen = Observation()
     own = batch_path(path, run, batch_id)
     rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(own)
-    return article_keys(spark.read.schema(ARTICLES).parquet(own)), 2 * seen.get["rows"]
+    return article_keys(spark.read.schema(ARTICLES).parquet(own)), seen.get["rows"]
 
 
 def compact_articles(spark: SparkSession, path: str, new_path: str) -> None:

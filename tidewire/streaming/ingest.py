@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,6 +24,7 @@ from ..sources.articles import accepted, decode_articles, extract_article, quara
 from ..sources.commits import State, commit_batch, prefix, read_keys, read_state, recover
 from ..sources.splits import block_lines
 from ..sources.tables import batch_path, ensure_articles, write_batch
+from .counts import IN, OUT, counts_path, ensure_counts, in_counts, write_counts
 from .stateful import first_articles
 
 # Arrival order: total, and that of offsets inside a partition of a topic, or of lines inside a file.
@@ -71,7 +72,9 @@ def stage_batch(
 ) -> tuple[DataFrame, int]:
     """Write the unseen articles of a micro-batch and what cannot be decoded. Neither counts before the commit."""
     spark = batch.sparkSession
-    extracted = materialize(extract_article(decode_articles(batch), keep=ORDER_COLS), "extracted")
+    came = Observation()
+    read = extract_article(decode_articles(batch), keep=ORDER_COLS).observe(came, *in_counts())
+    extracted = materialize(read, "extracted")
     if quarantine_path:
         bad = quarantine(extracted, keep=ORDER_COLS)
         bad.write.mode("overwrite").parquet(batch_path(quarantine_path, run, batch_id))
@@ -80,7 +83,9 @@ def stage_batch(
     # At most 65,536 numbers: the first 16 bits of the keys.
     prefixes = [r[0] for r in good.select(prefix(key)).where(key.isNotNull()).distinct().collect()]
     fresh = new_articles(good, read_keys(spark, path, state, prefixes), ORDER_COLS)
-    return write_batch(spark, stored_columns(fresh), path, run, batch_id)
+    keys, rows = write_batch(spark, stored_columns(fresh), path, run, batch_id)
+    write_counts(spark, batch_path(counts_path(path), run, batch_id), **came.get, stored=rows)
+    return keys, 2 * rows
 
 
 def append_new_articles(
@@ -114,6 +119,7 @@ def ingest(
     """
     spark = messages.sparkSession
     ensure_articles(spark, path)
+    ensure_counts(spark, path)
     recover(spark, path)
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -124,16 +130,24 @@ def ingest(
 
 
 def ingest_first(
-    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, remember_ms: int = 0
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    remember_ms: int = 0,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Ingest with keyed state and no look at what is stored: a key counts as seen for ``remember_ms`` (0: for ever).
 
     All accepted articles take part, those without url or time by the same rule as in :func:`ingest`. The sink is a plain
     Parquet stream, exactly once by its own log; another checkpoint starts with empty state, so it needs another path.
+    A :class:`~tidewire.streaming.counts.BatchCounts` of the same ``name`` hears what became of each batch.
     """
-    rows = accepted(extract_article(decode_articles(messages), keep=ORDER_COLS))
-    first = stored_columns(first_articles(rows, ORDER_COLS, remember_ms))
+    came = extract_article(decode_articles(messages), keep=ORDER_COLS).observe(IN, *in_counts())
+    first = stored_columns(first_articles(accepted(came), ORDER_COLS, remember_ms))
+    first = first.observe(OUT, F.count(F.lit(1)).alias("stored"))
     writer = first.writeStream.option("checkpointLocation", checkpoint)
+    writer = writer.queryName(name) if name else writer
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).format("parquet").start(path)
 
 
