@@ -80,7 +80,8 @@ def op8_sharding(spark, sf):
 
 @query
 def op9_quality(spark, sf):
-    return quality.judge(table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
+    return quality.judge(docs, bands=quality.fit_bands(docs, table(spark, sf, "labels")))
 
 
 @query
