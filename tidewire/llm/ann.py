@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ from ..session import materialize
 PIVOTS, APART = 512, 0.9
 #: A vector is posted under its nearest pivots, in this share of all pivots.
 POSTED = 0.25
-#: The share of a block's vectors that is reranked for a query, and the least number.
+#: The share of a block's vectors that is reranked for a query unless it is given, and the least number.
 RERANKED, RERANKED_LEAST = 0.06, 128
 #: Vectors of an index block, and queries that meet a block at a time.
 BLOCK_ROWS, QUERY_ROWS = 8_192, 512
@@ -25,8 +27,8 @@ BLOCK_ROWS, QUERY_ROWS = 8_192, 512
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """(uid, vec_id, vector) of the rows that take part.
 
-    Out are NULL ids, NULL and zero vectors, those with a NULL or non-finite component, and vectors whose length is
-    not the most common one. ``uid`` tells repeated rows apart.
+    Out are NULL ids, NULL and zero vectors, and those with a NULL or non-finite component. ``uid`` tells repeated rows
+    apart.
     """
     rows = vectors.select(
         vectors[vec_id].cast("long").alias("vec_id"),
@@ -35,9 +37,7 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     )
     limit = F.lit(float("inf"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < limit))
-    good = rows.where(F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda x: x != 0))
-    size = good.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return good.where(F.size("vector") == F.lit(size[0].n if size else 0))
+    return rows.where(F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda x: x != 0))
 
 
 def choose_pivots(rows: DataFrame, pivots: int) -> np.ndarray:
@@ -88,12 +88,12 @@ def inverted_files(order: np.ndarray, pivots: int) -> tuple[np.ndarray, np.ndarr
 class Block:
     """An index block as it is stored, with its inverted files."""
 
-    def __init__(self, payload: dict, dims: int, pivots: int, posted: int):
+    def __init__(self, payload: dict, dims: int, pivots: int, posted: int, reranked: float):
         self.uid, self.vec_id = (np.frombuffer(payload[k], "<i8") for k in ("uids", "ids"))
         self.vectors = np.frombuffer(payload["vectors"], "<f8").reshape(-1, dims)
         self.order = np.frombuffer(payload["orders"], "<i4").reshape(-1, posted)
         self.posted = posted
-        self.pivots = pivots
+        self.pivots, self.reranked = pivots, reranked
         self.files = None
 
     def search(self, query: np.ndarray, order: np.ndarray, uid: int, keep: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +108,7 @@ class Block:
             some = slice(starts[pivot], starts[pivot + 1])
             shared[rows[some]] += self.posted - np.maximum(places[some], place)
         shared[self.uid == uid] = -1
-        most = min(len(shared), max(RERANKED_LEAST, int(RERANKED * len(shared))))
+        most = min(len(shared), max(RERANKED_LEAST, math.ceil(self.reranked * len(shared))))
         if most < len(shared):
             least = np.partition(shared, len(shared) - most)[len(shared) - most]
             sure = np.flatnonzero(shared > least)
@@ -154,18 +154,28 @@ def nearest(
     pivots: int = PIVOTS,
     vec_id: str = "vec_id",
     embedding: str = "embedding",
+    reranked: float = RERANKED,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id ``every`` divides, its ``keep`` nearest other rows.
 
     Score is the cosine of the original vectors in double precision, ties go to the smaller id. Rows that
-    :func:`usable` leaves out are neither queries nor found; a repeated row is a neighbour of its copy. Queries meet
-    index blocks in groups of :data:`QUERY_ROWS`; of each block the :data:`RERANKED` share that is nearest by
-    footrule distance is compared exactly.
+    :func:`usable` leaves out are neither queries nor found; a repeated row is a neighbour of its copy. Vectors of
+    different lengths have no cosine: each length has an index of its own. Queries meet index blocks in groups of
+    :data:`QUERY_ROWS`; of each block the share ``reranked`` that is nearest by footrule distance is compared exactly,
+    so 1.0 is the exact search.
     """
+    if not 0 < reranked <= 1:
+        raise ValueError("reranked must lie above 0 and not above 1")
     rows = materialize(usable(vectors, vec_id, embedding), "vectors")
+    sizes = sorted(r.n for r in rows.select(F.size("vector").alias("n")).distinct().collect())
+    parts = [_nearest_of_length(rows.where(F.size("vector") == n), every, keep, pivots, reranked) for n in sizes or [0]]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _nearest_of_length(rows: DataFrame, every: int, keep: int, pivots: int, reranked: float) -> DataFrame:
     chosen = choose_pivots(rows, pivots)
     count, dims = chosen.shape
-    posted = max(1, round(POSTED * count)) if count >= 64 else count
+    posted = math.ceil(POSTED * count)
     index = materialize(build_index(rows, chosen, posted, BLOCK_ROWS), "index")
     queries = build_index(rows.where(F.col("vec_id") % every == 0), chosen, posted, QUERY_ROWS)
     asked = queries.select("block", *[F.col(c).alias(f"q_{c}") for c in ("uids", "ids", "vectors", "orders")])
@@ -179,8 +189,9 @@ def nearest(
             for row in range(batch.num_rows):
                 cells = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
                 if cells["block"] != number:
-                    number, block = cells["block"], Block(cells, dims, count, posted)
-                group = Block({k: cells[f"q_{k}"] for k in ("uids", "ids", "vectors", "orders")}, dims, count, posted)
+                    number, block = cells["block"], Block(cells, dims, count, posted, reranked)
+                asked_by = {k: cells[f"q_{k}"] for k in ("uids", "ids", "vectors", "orders")}
+                group = Block(asked_by, dims, count, posted, reranked)
                 out = []
                 for i, uid in enumerate(group.uid.tolist()):
                     found, scores = block.search(group.vectors[i], group.order[i], uid, keep)
