@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WHOLE = r"(?:/|\z)"  # a label or segment ends here
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -76,9 +77,21 @@ def tokens_of(host: Column, path: Column) -> Column:
 
 
 def _rule_table(spark: SparkSession, rules: tuple[Rule, ...]) -> DataFrame:
-    rows = [(i, r.label, r.verdict, r.pattern, list(r.tokens), r.weight) for i, r in enumerate(rules)]
+    """The rules as literals, so that no Python worker has to bring them."""
     schema = "rule_id int, label string, verdict string, pattern string, tokens array<string>, weight int"
-    return spark.createDataFrame(rows, schema)
+    rows = [
+        F.struct(
+            F.lit(i).alias("rule_id"),
+            F.lit(r.label).cast("string").alias("label"),
+            F.lit(r.verdict).alias("verdict"),
+            F.lit(r.pattern).alias("pattern"),
+            F.array(*map(F.lit, r.tokens)).cast("array<string>").alias("tokens"),
+            F.lit(r.weight).alias("weight"),
+        )
+        for i, r in enumerate(rules)
+    ]
+    held = F.array(*rows).cast(f"array<{T.StructType.fromDDL(schema).simpleString()}>")
+    return spark.range(1).select(F.inline(held))
 
 
 def rule_index(tokens: DataFrame, rules: DataFrame) -> DataFrame:
