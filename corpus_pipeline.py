@@ -15,8 +15,8 @@ from tidewire.session import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the compression bands."""
-    return quality.keep_good(docs)
+    """Documents that pass the base rules and the compression bands, which are learned from those labelled good."""
+    return quality.keep_good(docs, quality.fit_bands(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
