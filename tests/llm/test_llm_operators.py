@@ -650,6 +650,24 @@ def test_bands_learned_from_good_documents(spark):
     assert one == before
 
 
+def test_bands_learned_from_every_good_document(spark):
+    """The band's ends are quantiles of all documents that are labelled good, however many there are."""
+    n = 20_500
+    texts = [" ".join(f"{i:05d}{j:02d}" for j in range(50)) + " a" * (i % 40) for i in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    fit = quality.Fit(tail=0.0, margin=0.0)
+    learned, meter = quality.fit_bands(docs, labels, fit=fit), quality.Meter()
+    of = {}
+    for text in texts:
+        words = text.encode().split()
+        if 100 * quality.repeated_words(words) <= 50 * len(words):
+            of.setdefault(len(text).bit_length(), []).append(meter.ratio(text.encode()))
+    assert sum(map(len, of.values())) > 20_000
+    for power, ratios in of.items():
+        assert ((1 << power), min(ratios), max(ratios)) in learned.whole
+
+
 def test_bands_of_the_query_decide(spark):
     """On a table with enough labels, good documents stay and some of the others go."""
     sf = "/root/testdata/sf0.01"

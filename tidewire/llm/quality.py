@@ -59,10 +59,11 @@ class Fit:
 
     Documents are put into classes of length by powers of two. A class with ``enough`` of them gets the band from the
     quantile ``tail`` to the quantile 1 - ``tail`` of their ratios, widened by ``margin`` of itself on both sides; others
-    keep what they had. At most ``most_labels`` documents are learned from, those with the smallest hashes of their ids.
+    keep what they had. All documents that are labelled good are learned from, unless ``most_labels`` is given: then those
+    with the smallest hashes of their ids.
     """
 
-    most_labels: int = 20_000
+    most_labels: int | None = None
     enough: int = 20
     tail: float = 0.005
     margin: float = 0.05
@@ -103,7 +104,7 @@ class Meter:
         words = raw.split()  # bytes split at the six ASCII blanks only
         n_words = len(words)
         repeated = repeated_words(words)
-        failed = n_words < 50 or 100 * repeated > 50 * n_words
+        failed = base_failed(n_words, repeated)
         ratio, (chunks, bad, bad_bytes) = self.ratio(raw), self.bad_chunks(raw)
         return (
             n_words,
@@ -120,6 +121,10 @@ class Meter:
         )
 
 
+def base_failed(n_words: int, repeated: int) -> bool:
+    return n_words < 50 or 100 * repeated > 50 * n_words
+
+
 def duplicate_lines(raw: bytes) -> int:
     """Lines with a word that equal an earlier line."""
     lines = [line for line in raw.split(b"\n") if line.strip(BLANKS)]
@@ -179,10 +184,10 @@ def fit_bands(
     """
     bands, fit = bands or Bands(), fit or Fit()
     good = labels.where(labels[quality] == 1).select(labels[doc_id].cast("long").alias("id")).dropna().distinct()
-    known = good.orderBy(F.xxhash64("id"), "id").limit(fit.most_labels)
-    rows = docs.select(docs[doc_id].cast("long").alias("id"), docs[text].alias("text"))
-    # The ids are bounded by `most_labels`, so texts need not be shuffled.
-    taught = judge(rows.join(F.broadcast(known), "id", "left_semi"), "id", "text", bands).where("NOT base_failed")
+    if fit.most_labels is not None:
+        good = good.orderBy(F.xxhash64("id"), "id").limit(fit.most_labels)
+    # All documents are measured where they lie, so that three numbers each meet the labels and no text is shuffled.
+    taught = _ratios(docs, doc_id, text, bands).join(good, "id", "left_semi")
     shares = [fit.tail, 1 - fit.tail]
     found = taught.groupBy(F.floor(F.log2("n_bytes")).cast("int").alias("power")).agg(
         F.count("*").alias("n"), F.percentile_approx("ratio", shares, 10_000).alias("tails")
@@ -196,6 +201,29 @@ def fit_bands(
     return replace(bands, whole=tuple(whole))
 
 
+def _ratios(docs: DataFrame, doc_id: str, text: str, bands: Bands) -> DataFrame:
+    """(id, n_bytes, ratio) of the documents that pass the base rules."""
+    bounded_batches(docs.sparkSession)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        meter = Meter(bands)
+        for batch in batches:
+            passed, found = [], []
+            for raw in batch.column(1).to_pylist():
+                words = raw.split()
+                passed.append(not base_failed(len(words), repeated_words(words)))
+                if passed[-1]:
+                    found.append((len(raw), meter.ratio(raw)))
+            sizes, ratios = zip(*found) if found else ((), ())
+            ids = batch.column(0).filter(pa.array(passed, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(sizes, pa.int64()), pa.array(ratios, pa.float64())], ["id", "n_bytes", "ratio"]
+            )
+
+    rows = docs.select(docs[doc_id].cast("long").alias("id"), utf8(text).alias("raw")).where("id IS NOT NULL")
+    return rows.mapInArrow(measure, "id long, n_bytes long, ratio double")
+
+
 def _cut(whole: tuple[tuple[float, float, float], ...], low: float, high: float) -> list[tuple[float, float, float]]:
     """The bands for lengths from ``low`` to below ``high``."""
     starts = [0, *(below for below, _, _ in whole)]
