@@ -14,8 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.once import once
 from ..session import materialize
-from .text import title_tokens
+from .text import token_counts
 
 #: A vector or centre of length 1 has this length as whole numbers.
 SCALE = 1 << 20
@@ -36,8 +37,9 @@ def weighted_terms(
     :data:`SCALE` and rounded. Ties for a place in the vocabulary go to the smaller word. Rows of one id are one text;
     NULL ids, NULL texts and texts without such words give nothing.
     """
-    tokens = title_tokens(df.select(F.col(row).alias("row"), F.col(col).alias("text")).dropna(), "text", stop, ["row"])
-    counts = materialize(tokens.groupBy("row", "token").agg(F.count("*").alias("tf")), "term-counts")
+    # Dealt out by row, a text's words are counted where it lies; texts are smaller than their words one by one.
+    texts = df.select(F.col(row).alias("row"), F.col(col).alias("text")).dropna().repartition("row")
+    counts = materialize(token_counts(texts, "text", stop, ["row"]).withColumnRenamed("count", "tf"), "term-counts")
     rows = counts.agg(F.count_distinct("row").cast("double").alias("rows")).scalar()
     most = counts.groupBy("token").agg(F.count("*").alias("held")).orderBy(F.desc("held"), "token").limit(vocabulary)
     idf = F.ln((F.col("rows") + 1) / (F.col("held") + 1)) + 1
@@ -47,8 +49,9 @@ def weighted_terms(
     weighted = counts.join(terms, "token").select("row", "term", (F.col("tf") * F.col("idf")).alias("w"))
     # Summed in order of the terms, so that the length is the same to the last bit.
     held = weighted.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("held"))
-    length = F.sqrt(F.aggregate("held", F.lit(0e0), lambda total, x: total + x.w * x.w))
-    cells = held.select("row", length.alias("length"), F.explode("held").alias("x")).select(
+    # Beside an explode, Spark would work out the length anew for each word of the row.
+    length = once(F.sqrt(F.aggregate("held", F.lit(0e0), lambda total, x: total + x.w * x.w)))
+    cells = held.select("row", "held", length.alias("length")).select("row", "length", F.explode("held").alias("x")).select(
         "row", "x.term", F.rint(F.col("x.w") / F.col("length") * F.lit(float(SCALE))).cast("long").alias("weight")
     )
     return cells, terms.select("term", "token")
