@@ -51,6 +51,20 @@ def pipe(spark):
     return Pipeline(spark)
 
 
+def test_a_batch_shuffles_keys_and_writes_its_messages_once(spark, monkeypatch):
+    written = {}
+    for module in (dedupe, stream):
+        real = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, label, real=real: written.update({label: df.columns}) or real(df, label))
+    path = scratch_path(spark, "articles")
+    tables.ensure_articles(spark, path)
+    landed = [(None, message(u, t).encode(), 0, i, None) for i, (u, t) in enumerate([("a", "x"), ("a", "y"), (None, "x"), (None, "z")])]
+    stream.append_new_articles(stream.from_topic(spark.createDataFrame(landed, MESSAGE)), 0, path)
+    assert rows(tables.read_articles(spark, path).select("url", "title")) == [(None, "z"), ("a", "x")]
+    assert not {"title", "description", "content"} & set(written["extracted"])
+    assert not {"title", "raw_json", "content"} & set(written["first"])
+
+
 def test_ensure_articles_idempotent(spark):
     path = scratch_path(spark, "articles")
     tables.ensure_articles(spark, path)

@@ -55,9 +55,29 @@ def new_articles(batch: DataFrame, stored_keys: DataFrame | None, order_cols: li
     ``order_cols`` give the arrival order and must make it total. The batch is read once; what is first of its key
     and not stored is written to the shared folder, as two branches need it.
     """
+    keyed = batch.withColumns({"_url": url_key(), "_title_time": title_time_key()})
+    return _unseen(keyed, stored_keys, order_cols).select(batch.columns)
+
+
+def with_keys(batch: DataFrame) -> DataFrame:
+    """Adds ``_url``, ``_title_time`` and a number of the row, which holds only in what is written of it."""
+    return batch.withColumns({
+        "_url": url_key(), "_title_time": title_time_key(), "_uid": F.monotonically_increasing_id()
+    })
+
+
+def new_rows(written: DataFrame, stored_keys: DataFrame | None, order_cols: list[str]) -> DataFrame:
+    """(_uid): the rows that :func:`new_articles` would keep, of a written table that has what :func:`with_keys` adds.
+
+    Only keys, numbers and the arrival are shuffled, sorted and written.
+    """
+    narrow = written.select("_uid", "_url", "_title_time", *order_cols)
+    return materialize(_unseen(narrow, stored_keys, order_cols).select("_uid"), "new")
+
+
+def _unseen(keyed: DataFrame, stored_keys: DataFrame | None, order_cols: list[str]) -> DataFrame:
     arrival = F.col(order_cols[0]) if len(order_cols) == 1 else F.struct(*order_cols)
-    keyed = batch.withColumns({"_url": url_key(), "_title_time": title_time_key(), "_arrival": arrival})
-    keyed = keyed.withColumn("_key", F.coalesce("_url", "_title_time"))
+    keyed = keyed.withColumns({"_key": F.coalesce("_url", "_title_time"), "_arrival": arrival})
     # Rows without a key never match anything. Each gets a group of its own, or all of them would meet in one task.
     alone = F.unhex(F.sha2(F.concat_ws(" ", F.lit("a"), *[F.col(c).cast("string") for c in order_cols]), 256))
     keyed = keyed.withColumn("_key", F.coalesce("_key", alone))
@@ -77,7 +97,7 @@ def new_articles(batch: DataFrame, stored_keys: DataFrame | None, order_cols: li
     blocked = first.where(~by_url & F.col("_title_time").isNotNull()).select("_title_time", "_arrival").join(
         blockers, "_title_time"
     ).where(F.col("_first") < F.col("_arrival")).select(F.col("_title_time").alias("_key"))
-    return first.join(blocked, "_key", "left_anti").select(batch.columns)
+    return first.join(blocked, "_key", "left_anti")
 
 
 def dedupe_stream(df: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.dedupe import dedupe_stream, new_articles, title_time_key, url_key
+from ..operators.dedupe import dedupe_stream, new_rows, with_keys
 from ..schemas import MESSAGE
 from ..session import materialize, scratch_scope
 from ..sources.articles import accepted, decode_articles, extract_article, quarantine, stored_columns
@@ -74,15 +74,18 @@ def stage_batch(
     spark = batch.sparkSession
     came = Observation()
     read = extract_article(decode_articles(batch), keep=ORDER_COLS).observe(came, *in_counts())
-    extracted = materialize(read, "extracted")
+    # Of the fields, which the message holds, only the keys are written and shuffled; new rows are read from it again.
+    narrow = with_keys(read).select(*ORDER_COLS, "raw_json", "reject_reason", "_url", "_title_time", "_uid")
+    extracted = materialize(narrow, "extracted")
     if quarantine_path:
         bad = quarantine(extracted, keep=ORDER_COLS)
         bad.write.mode("overwrite").parquet(batch_path(quarantine_path, run, batch_id))
     good = accepted(extracted)
-    key = F.coalesce(url_key(), title_time_key())
+    key = F.coalesce("_url", "_title_time")
     # At most 65,536 numbers: the first 16 bits of the keys.
     prefixes = [r[0] for r in good.select(prefix(key)).where(key.isNotNull()).distinct().collect()]
-    fresh = new_articles(good, read_keys(spark, path, state, prefixes), ORDER_COLS)
+    chosen = new_rows(good, read_keys(spark, path, state, prefixes), ORDER_COLS)
+    fresh = extract_article(decode_articles(good.join(chosen, "_uid", "left_semi"), "raw_json"))
     keys, rows = write_batch(spark, stored_columns(fresh), path, run, batch_id)
     write_counts(spark, batch_path(counts_path(path), run, batch_id), **came.get, stored=rows)
     return keys, 2 * rows
