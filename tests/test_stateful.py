@@ -3,6 +3,7 @@
 import random
 import time
 
+import pandas as pd
 from conftest import rows
 from test_streaming import Pipeline, message
 
@@ -41,6 +42,33 @@ def test_state_equals_batch_over_several_runs(spark):
     assert rows(spark.read.parquet(path).select(COLUMNS)) == batch_result(spark, pipe)
 
 
+class Seen:
+    def __init__(self):
+        self.keys = set()
+
+    def containsKey(self, key):
+        return key in self.keys
+
+    def updateValue(self, key, value):
+        self.keys.add(key)
+
+
+def test_a_call_takes_many_keys():
+    def passed(processor, *batches):
+        return sorted(n for out in processor.handleInputRows(("0AB",), iter(batches), None) for n in out["n"])
+
+    columns = ["n", "tw_arrival", "tw_has_url", "tw_url_key", "tw_title_key"]
+    by_url, by_title = stateful.FirstByUrl(0), stateful.FirstByTitleTime(0)
+    by_url.seen, by_title.seen = Seen(), Seen()
+    one = pd.DataFrame([(0, "5", True, "A", "T"), (1, "2", True, "A", "T"), (2, "3", True, "B", None)], columns=columns)
+    two = pd.DataFrame([(3, "1", True, "B", None), (4, "1", False, None, "T"), (5, "9", False, None, None)], columns=columns)
+    assert passed(by_url, one, two) == [1, 3, 4, 5]
+    assert passed(by_url, one, two) == [4, 5]
+    late = pd.DataFrame([(6, "7", False, None, "T"), (7, "8", False, None, "U"), (8, "4", False, None, "U")], columns=columns)
+    assert passed(by_title, one, late) == [0, 1, 2, 8]
+    assert passed(by_title, two, late) == [3, 5]
+
+
 def test_keys_are_forgotten(spark):
     pipe, path = Pipeline(spark), scratch_path(spark, "first")
     pipe.land(message("a"), message(None, "x"))

@@ -147,7 +147,9 @@ def ingest_first(
     A :class:`~tidewire.streaming.counts.BatchCounts` of the same ``name`` hears what became of each batch.
     """
     came = extract_article(decode_articles(messages), keep=ORDER_COLS).observe(IN, *in_counts())
-    first = stored_columns(first_articles(accepted(came), ORDER_COLS, remember_ms))
+    # The message holds the fields, so it goes through the state alone and is read again behind it.
+    unique = first_articles(accepted(came), ORDER_COLS, remember_ms, carry=["raw_json"])
+    first = stored_columns(extract_article(decode_articles(unique, "raw_json")))
     first = first.observe(OUT, F.count(F.lit(1)).alias("stored"))
     writer = first.writeStream.option("checkpointLocation", checkpoint)
     writer = writer.queryName(name) if name else writer

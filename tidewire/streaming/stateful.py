@@ -1,7 +1,7 @@
 """Streams with keyed state and timers: de-duplication with bounded state, and flushing by size or silence.
 
 State lives in the state store (RocksDB) by key, is versioned with the checkpoint, and is looked up for the keys of a batch
-only. Each key is a call into Python, so :func:`tidewire.streaming.ingest.ingest` is the faster way where a table of all
+only. Each group of keys is a call into Python and each key a look into the store, so :func:`tidewire.streaming.ingest.ingest` is the faster way where a table of all
 articles is wanted; these are for endless streams that must forget, and for consumers that must not wait.
 """
 
@@ -26,80 +26,88 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def _least(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame | None:
-    """The first row by ``order``, holding two batches at a time."""
-    best = None
-    for batch in rows:
-        held = batch if best is None else pd.concat([best, batch])
-        if len(held):
-            best = held.sort_values(order, kind="stable").iloc[:1]
-    return best
+def _least(held: pd.DataFrame | None, some: pd.DataFrame, key: str) -> pd.DataFrame:
+    """The first row of each key by arrival."""
+    both = some if held is None else pd.concat([held, some])
+    return both.sort_values("tw_arrival", kind="stable").drop_duplicates(key)
 
 
 class FirstByUrl(StatefulProcessor):
-    """Of the rows of a key, only the first ever; rows without a url all pass."""
+    """Of the rows of a key, only the first ever; rows without a url all pass. A group holds many keys."""
 
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean", self.ttl_ms or None)
+        self.seen = handle.getMapState("seen", "key string", "seen boolean", self.ttl_ms or None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if key[0][:1] != "u":
-            yield from rows
-        elif not self.seen.exists():
-            first = _least(rows, ["tw_arrival"])
-            if first is not None:
-                self.seen.update((True,))
-                yield first
+        held = None
+        for batch in rows:
+            keyed = batch["tw_url_key"].notna()
+            if not keyed.all():
+                yield batch[~keyed]
+            if keyed.any():
+                held = _least(held, batch[keyed], "tw_url_key")
+        if held is None:
+            return
+        fresh = held[[not self.seen.containsKey((k,)) for k in held["tw_url_key"]]]
+        for k in fresh["tw_url_key"]:
+            self.seen.updateValue((k,), (True,))
+        if len(fresh):
+            yield fresh
 
     def close(self) -> None:
         pass
 
 
 class FirstByTitleTime(StatefulProcessor):
-    """Rows with a url pass and block later rows without one; of those, the first passes if nothing was there before."""
+    """Rows with a url pass and block later rows without one; of those, the first passes if nothing was there before.
+
+    Rows without title or time all pass. A group holds many keys.
+    """
 
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean", self.ttl_ms or None)
+        self.seen = handle.getMapState("seen", "key string", "seen boolean", self.ttl_ms or None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if key[0][:1] != "t":
-            yield from rows
-            return
-        known = self.seen.exists()
-        candidate, blocked_from = None, None
+        held, blocked_from = None, {}
         for batch in rows:
-            urls = batch[batch["tw_has_url"]]
-            if len(urls):
-                least = urls["tw_arrival"].min()
-                blocked_from = least if blocked_from is None else min(blocked_from, least)
-                yield urls
-            rest = batch[~batch["tw_has_url"]]
-            if len(rest) and not known:
-                candidate = _least(iter([rest] if candidate is None else [candidate, rest]), ["tw_arrival"])
-        if candidate is not None and (blocked_from is None or candidate["tw_arrival"].iloc[0] < blocked_from):
-            yield candidate
-        if not known:
-            # The first row of a key always passes, so from now on something is stored under it.
-            self.seen.update((True,))
+            keyed, by_url = batch["tw_title_key"].notna(), batch["tw_has_url"].astype(bool)
+            free = ~keyed | by_url
+            if free.any():
+                yield batch[free]
+            urls = batch[keyed & by_url]
+            for k, arrival in zip(urls["tw_title_key"], urls["tw_arrival"]):
+                blocked_from[k] = min(arrival, blocked_from.get(k, arrival))
+            if not free.all():
+                held = _least(held, batch[~free], "tw_title_key")
+        candidates = {} if held is None else dict(zip(held["tw_title_key"], held["tw_arrival"]))
+        # The first row of a key always passes, so from now on something is stored under it.
+        unknown = {k for k in candidates.keys() | blocked_from.keys() if not self.seen.containsKey((k,))}
+        for k in unknown:
+            self.seen.updateValue((k,), (True,))
+        passing = [k in unknown and not (k in blocked_from and blocked_from[k] <= a) for k, a in candidates.items()]
+        if any(passing):
+            yield held[passing]
 
     def close(self) -> None:
         pass
 
 
-def first_articles(articles: DataFrame, order_cols: list[str] = ARRIVAL, remember_ms: int = 0) -> DataFrame:
+def first_articles(
+    articles: DataFrame, order_cols: list[str] = ARRIVAL, remember_ms: int = 0, carry: list[str] | None = None
+) -> DataFrame:
     """The rows of a stream that are first of their key, by the rule of :mod:`tidewire.operators.dedupe`, for all rows.
 
     A key is forgotten ``remember_ms`` of processing time after it was stored (0: never; else
     use a trigger that goes on). Rows without url, title or time
-    have no key and all pass. ``order_cols`` give the order inside a micro-batch; columns are passed on.
+    have no key and all pass. ``order_cols`` give the order inside a micro-batch. The columns of ``carry`` (all) are passed on.
     """
-    columns, spark = articles.columns, articles.sparkSession
+    columns, spark = carry or articles.columns, articles.sparkSession
     use_rocksdb(spark)
     # One text that sorts as the arrival columns do: whole numbers and times are padded, NULLs come first.
     parts = [
@@ -108,19 +116,22 @@ def first_articles(articles: DataFrame, order_cols: list[str] = ARRIVAL, remembe
         for c, kind in ((c, dict(articles.dtypes)[c]) for c in order_cols)
     ]
     arrival = F.concat_ws("\x01", *parts)
-    own = F.concat(F.lit("a"), arrival)
     # Names that begin with an underscore do not reach the processors.
     keyed = articles.withColumns({
         "tw_arrival": arrival, "tw_has_url": url_key().isNotNull(),
-        "tw_url_key": F.coalesce(F.concat(F.lit("u"), F.hex(url_key())), own),
-        "tw_title_key": F.coalesce(F.concat(F.lit("t"), F.hex(title_time_key())), own),
+        "tw_url_key": F.hex(url_key()), "tw_title_key": F.hex(title_time_key()),
+    })
+    # A call into Python takes milliseconds, so it is made for each of 4,096 groups of keys, by their first 12 bits.
+    group = lambda key: F.upper(F.substring(F.coalesce(key, F.sha2("tw_arrival", 256)), 1, 3))
+    keyed = keyed.select(*columns, "tw_arrival", "tw_has_url", "tw_url_key", "tw_title_key").withColumns({
+        "tw_url_group": group("tw_url_key"), "tw_title_group": group("tw_title_key")
     })
     # Forgetting goes by processing time, with which Spark goes on with batches for ever, so "availableNow" does not end.
     schema, mode = keyed.schema, "ProcessingTime" if remember_ms else "None"
-    by_url = keyed.groupBy("tw_url_key").transformWithStateInPandas(
+    by_url = keyed.groupBy("tw_url_group").transformWithStateInPandas(
         FirstByUrl(remember_ms), schema, "Append", mode
     )
-    by_both = by_url.groupBy("tw_title_key").transformWithStateInPandas(
+    by_both = by_url.groupBy("tw_title_group").transformWithStateInPandas(
         FirstByTitleTime(remember_ms), schema, "Append", mode
     )
     return by_both.select(columns)
