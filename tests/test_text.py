@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from tidewire.functions.words import BASE_STOPWORDS, NEWS_STOPWORDS, stopwords
 from tidewire.operators import text
 
@@ -134,6 +134,12 @@ def test_pairs_stay_inside_a_text(spark):
     assert rows(pairs) == [("car", None, 1), ("car", "red", 1), ("red", None, 1), ("red", "car", 1)]
 
 
+def test_pairs_are_dealt_out_by_stem_alone(spark):
+    """A pair is one spelling already, so it is not counted by spelling again, and its stem does not travel with it."""
+    found = plan(text.collocations(docs(spark, "red car", "car red"), "body", [])).split("== Initial Plan ==")[-1]
+    assert "hashpartitioning(word#" not in found and "hashpartitioning(stem#" not in found
+
+
 def test_keyword_matrix_order(spark):
     df = spark.createDataFrame(
         [("S1", "bomb bomb bomb car"), ("S2", "car car car car bomb"), ("S2", None), (None, "car"), ("S3", "zebra")],
