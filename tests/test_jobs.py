@@ -7,6 +7,14 @@ from tidewire.session import materialize, scratch_path, scratch_scope, shared_di
 from tidewire.sources import tables
 
 
+def test_stored_tables_are_packed_closely(spark):
+    df = spark.createDataFrame([(1999, "some text")], "iyear int, summary string")
+    raw, clean = scratch_path(spark, "raw"), scratch_path(spark, "clean")
+    assert tables.write_raw(df, raw) == tables.write_clean(df, clean, partition_by_year=True) == 1
+    files = [f for df in (tables.read_table(spark, raw), tables.read_table(spark, clean), materialize(df, "some")) for f in df.inputFiles()]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def test_incident_job(spark, sf):
     csv, out = scratch_path(spark, "csv"), scratch_path(spark, "out")
     bindings.incidents_raw(spark, sf).write.options(header=True, quote='"', escape='"').csv(csv)
