@@ -668,6 +668,24 @@ def test_bands_learned_from_every_good_document(spark):
         assert ((1 << power), min(ratios), max(ratios)) in learned.whole
 
 
+def test_learned_bands_are_exact_quantiles(spark):
+    """Whatever the number of documents, a band's ends are the ratios at the ranks of its quantiles."""
+    n, rng = 70_000, random.Random(37)
+    pool = prose(rng, 40_000)
+    starts = [rng.randrange(len(pool) - 700) for _ in range(n)]
+    texts = [" ".join(pool[start : start + 560 + rng.randrange(100)].split(" ")[1:]) for start in starts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    meter, of = quality.Meter(), {}
+    for raw in map(str.encode, texts):
+        of.setdefault(len(raw).bit_length() - 1, []).append(meter.ratio(raw))
+    for tail in (0.0, 0.00005, 0.005, 0.25):
+        learned = quality.fit_bands(docs, labels, fit=quality.Fit(tail=tail, margin=0.0)).whole
+        for power, ratios in of.items():
+            ends = [sorted(ratios)[max(1, math.ceil(share * len(ratios))) - 1] for share in (tail, 1 - tail)]
+            assert (2 << power, *ends) in learned
+
+
 def test_bands_of_the_query_decide(spark):
     """On a table with enough labels, good documents stay and some of the others go."""
     sf = "/root/testdata/sf0.01"

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize, scratch_scope
 from .common import bounded_batches, utf8
 
 SCHEMA = (
@@ -180,7 +182,8 @@ def fit_bands(
 
     Documents that fail the base rules teach nothing. NULL ids and labels, labels without a document and an empty table
     of labels are no harm: classes that are not learned keep their bands. A repeated label counts once, a repeated document
-    as often as it is there. What reaches the driver is a row per class of length.
+    as often as it is there. The quantiles are exact, so neither order nor partitions matter. What reaches the driver is a
+    row per class of length and range of ratios.
     """
     bands, fit = bands or Bands(), fit or Fit()
     good = labels.where(labels[quality] == 1).select(labels[doc_id].cast("long").alias("id")).dropna().distinct()
@@ -188,15 +191,11 @@ def fit_bands(
         good = good.orderBy(F.xxhash64("id"), "id").limit(fit.most_labels)
     # All documents are measured where they lie, so that three numbers each meet the labels and no text is shuffled.
     taught = _ratios(docs, doc_id, text, bands).join(good, "id", "left_semi")
-    shares = [fit.tail, 1 - fit.tail]
-    found = taught.groupBy(F.floor(F.log2("n_bytes")).cast("int").alias("power")).agg(
-        F.count("*").alias("n"), F.percentile_approx("ratio", shares, 10_000).alias("tails")
-    )
     whole = []
-    for r in found.where(F.col("n") >= fit.enough).orderBy("power").collect():
-        low, high = 1 << r.power, 1 << r.power + 1
+    for power, least, most in _tails(taught, fit):
+        low, high = 1 << power, 1 << power + 1
         whole += _cut(bands.whole, whole[-1][0] if whole else 0, low)
-        whole.append((high, r.tails[0] * (1 - fit.margin), r.tails[1] * (1 + fit.margin)))
+        whole.append((high, least * (1 - fit.margin), most * (1 + fit.margin)))
     whole += _cut(bands.whole, whole[-1][0] if whole else 0, float("inf"))
     return replace(bands, whole=tuple(whole))
 
@@ -224,6 +223,39 @@ def _ratios(docs: DataFrame, doc_id: str, text: str, bands: Bands) -> DataFrame:
     return rows.mapInArrow(measure, "id long, n_bytes long, ratio double")
 
 
+def _tails(taught: DataFrame, fit: Fit) -> list[tuple[int, float, float]]:
+    """(power of two, least, most) by class of length with ``enough`` rows: the quantiles of their ratios.
+
+    Equal ratios of a class are counted first. Then ranges of ratios are laid out over the tasks; the sums of the ranges
+    say in which of them a quantile lies and how far in, and only these are counted up.
+    """
+    spark, power = taught.sparkSession, F.floor(F.log2("n_bytes")).cast("int").alias("power")
+    counts = taught.groupBy(power, "ratio").agg(F.count("*").alias("n"))
+    with scratch_scope(spark):
+        laid = counts.repartitionByRange("power", "ratio").withColumn("lot", F.spark_partition_id())
+        lots = materialize(laid, "ratio-counts")
+        of: dict[int, list] = {}
+        for r in lots.groupBy("power", "lot").agg(F.sum("n").alias("n"), F.min("ratio").alias("least")).collect():
+            of.setdefault(r.power, []).append((r.least, r.lot, r.n))
+        wanted = []
+        for power, ranges in of.items():
+            total = sum(n for _, _, n in ranges)
+            for end, share in enumerate((fit.tail, 1 - fit.tail) if total >= fit.enough else ()):
+                rank = max(1, math.ceil(share * total))
+                for _, lot, n in sorted(ranges):
+                    if rank <= n:
+                        wanted.append((power, lot, end, rank))
+                        break
+                    rank -= n
+        if not wanted:
+            return []
+        wanted = spark.createDataFrame(wanted, "power int, lot int, end int, rank long")
+        up_to = F.sum("n").over(Window.partitionBy("power", "lot", "end").orderBy("ratio"))
+        found = lots.join(F.broadcast(wanted), ["power", "lot"]).withColumn("up_to", up_to)
+        tails = found.where("up_to - n < rank AND rank <= up_to").orderBy("power", "end").collect()
+    return [(least.power, least.ratio, most.ratio) for least, most in zip(tails[::2], tails[1::2])]
+
+
 def _cut(whole: tuple[tuple[float, float, float], ...], low: float, high: float) -> list[tuple[float, float, float]]:
     """The bands for lengths from ``low`` to below ``high``."""
     starts = [0, *(below for below, _, _ in whole)]
