@@ -304,6 +304,30 @@ def test_nearest_is_exact_when_all_is_reranked(spark, monkeypatch):
             ann.nearest(df, reranked=wrong)
 
 
+def test_pivots_of_many_tasks_fit_the_driver(spark):
+    conf = spark._jsc.sc().conf()
+    before = conf.get("spark.driver.maxResultSize", "1g")
+    df = spark.range(0, 60_000, 1, 40)
+    cells = [(F.xxhash64("id", F.lit(i)) % 1000 / 7).alias(str(i)) for i in range(8)]
+    many = materialize(df.select(F.array(*cells).alias("vector")), "many").repartition(40)
+    # A few vectors that fill the table, by number of copies.
+    few = materialize(df.select(F.array(F.lit(1.0), (F.sqrt("id") / 20).cast("long").cast("double")).alias("vector")), "few")
+
+    def plain(rows, most):
+        found = rows.select("vector", F.xxhash64("vector").alias("h")).toArrow().to_pylist()
+        return list(dict.fromkeys(tuple(r["vector"]) for r in sorted(found, key=lambda r: r["h"])[:most]))
+
+    expected = [plain(many, 1024), plain(few, 1024), plain(few.limit(5), 1024)]
+    try:
+        conf.set("spark.driver.maxResultSize", "2m")
+        pivots = ann.choose_pivots(many, 256)
+        found = [[tuple(v) for v in ann._least_hashed(df, 1024)] for df in (many, few, few.limit(5))]
+    finally:
+        conf.set("spark.driver.maxResultSize", before)
+    assert pivots.shape == (256, 8)
+    assert found == expected and [len(x) for x in found][0] == 1024
+
+
 def test_inverted_files():
     order = np.array([[2, 0], [1, 2], [2, 1]], np.int32)
     starts, rows, places = ann.inverted_files(order, 3)

@@ -12,16 +12,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import bounded_batches
 
 #: The index is fitted on at most this many vectors, the pivots, out of a sample of four times as many; every vector
 #: is indexed. Pivots with a larger cosine than this to another are taken only if there are no others.
 PIVOTS, APART = 512, 0.9
+#: The sample is taken from so many times its rows, by their hash.
+SAMPLE_ROOM = 4
 #: A vector is posted under its nearest pivots, in this share of all pivots.
 POSTED = 0.25
 #: The share of a block's vectors that is reranked for a query unless it is given, and the least number.
 RERANKED, RERANKED_LEAST = 0.06, 128
 #: Vectors of an index block, and queries that meet a block at a time.
 BLOCK_ROWS, QUERY_ROWS = 8_192, 512
+#: Bytes of an Arrow batch; a larger row, as of a block and a group of queries, is one batch.
+ARROW_BYTES = 8_000_000
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -46,9 +51,7 @@ def choose_pivots(rows: DataFrame, pivots: int) -> np.ndarray:
     They are chosen in order of a hash, from a bounded sample that is always the same. Many near copies of one vector
     would else give many pivots that say the same.
     """
-    hashed = rows.select("vector", F.xxhash64("vector").alias("hash"))
-    found = hashed.orderBy("hash").limit(4 * pivots).collect()
-    different = list(dict.fromkeys(tuple(r.vector) for r in found))
+    different = list(dict.fromkeys(tuple(vector) for vector in _least_hashed(rows, 4 * pivots)))
     if not different:
         return np.zeros((0, 0))
     units = _unit(np.array(different, np.float64))
@@ -60,6 +63,23 @@ def choose_pivots(rows: DataFrame, pivots: int) -> np.ndarray:
     return units[(chosen + rest)[:pivots]]
 
 
+def _least_hashed(rows: DataFrame, most: int) -> list[list[float]]:
+    """The different vectors among the ``most`` rows of the least hashes, in order of the hash.
+
+    Sorting all rows would send so many from each task. The hashes are spread evenly, so those below a bound are asked
+    for, some times ``most`` rows in all; the bound is raised where few different vectors fill the table.
+    """
+    hashed = rows.select("vector", F.xxhash64("vector").alias("hash"))
+    share = SAMPLE_ROOM * most / max(1, rows.count())
+    while True:
+        low = hashed.where(F.col("hash") < int(share * 2.0**64 - 2.0**63)) if share < 1 else hashed
+        few = low.groupBy("hash", "vector").agg(F.count("*").alias("n")).orderBy("hash").limit(most).collect()
+        before = np.cumsum([0, *(r.n for r in few)])
+        if share >= 1 or before[-1] >= most:
+            return [r.vector for r, n in zip(few, before) if n < most]
+        share *= SAMPLE_ROOM
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     # Scaled first, so that the squares of very large or small components are no trouble.
     vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
@@ -177,11 +197,8 @@ def _nearest_of_length(rows: DataFrame, every: int, keep: int, pivots: int, rera
     count, dims = chosen.shape
     posted = math.ceil(POSTED * count)
     index = materialize(build_index(rows, chosen, posted, BLOCK_ROWS), "index")
-    queries = build_index(rows.where(F.col("vec_id") % every == 0), chosen, posted, QUERY_ROWS)
-    asked = queries.select("block", *[F.col(c).alias(f"q_{c}") for c in ("uids", "ids", "vectors", "orders")])
-    blocks = index.agg(F.coalesce(F.max("block"), F.lit(0))).first()[0]
-    # Each group of queries goes to every block: whole groups and blocks are rows, not their pairs.
-    sent = asked.drop("block").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks).cast("long"))))
+    queries = materialize(build_index(rows.where(F.col("vec_id") % every == 0), chosen, posted, QUERY_ROWS), "queries")
+    asked = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("uids", "ids", "vectors", "orders")])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, block = None, None
@@ -202,7 +219,10 @@ def _nearest_of_length(rows: DataFrame, every: int, keep: int, pivots: int, rera
                 names = ["uid", "query_id", "vec_id", "score"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    met = index.join(sent, "block").sortWithinPartitions("block")
+    # Each group of queries meets every block: whole groups and blocks are rows, not their pairs. Tasks read both from
+    # where they are stored, so no copies are shuffled; the block is the outer loop and changes rarely.
+    bounded_batches(rows.sparkSession, ARROW_BYTES)
+    met = index.hint("shuffle_replicate_nl").crossJoin(asked)
     found = met.mapInArrow(work, "uid long, query_id long, vec_id long, score double")
     order = Window.partitionBy("uid").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
