@@ -861,6 +861,32 @@ def test_digests_with_the_text_that_is_left(spark):
     assert suffix_dedup.removal_digests(docs.limit(0), words=51).collect() == []
 
 
+def test_anchors_are_spread_over_the_parts(spark):
+    rng = random.Random(15)
+    texts = [(i, i, "".join(rng.choice("abcdefgh ") for _ in range(4_000)).encode()) for i in range(300)]
+    rows = materialize(spark.createDataFrame(texts, "uid long, doc_id long, raw binary"), "spread")
+    sent = suffix_dedup._send(rows, 400, 20).where("part >= 0").groupBy("part").agg(F.sum(F.octet_length("tags") / 8).alias("n"))
+    anchors = {r.part: r.n for r in sent.collect()}
+    assert sum(anchors.values()) > 5_000
+    assert set(anchors) == set(range(20)) and max(anchors.values()) < 2 * sum(anchors.values()) / 20
+
+
+def test_splitters_sort_few_whole_texts(spark, monkeypatch):
+    asked, below = [], suffix_dedup.hashed_below
+    monkeypatch.setattr(suffix_dedup, "hashed_below", lambda name, share: asked.append(share) or below(name, share))
+    rng = random.Random(16)
+    raws = ["".join(rng.choice("abcdefgh") for _ in range(90)).encode() for _ in range(3_000)]
+    owner, _, hashes = suffix_dedup.Anchors(25).find(raws)
+    own = [(hashes[owner == i] >> np.uint64(16)).astype("<u8").tobytes() for i in range(len(raws))]
+    texts = materialize(spark.createDataFrame(list(zip(range(len(raws)), raws, own)), "uid long, raw binary, anchors binary"), "texts")
+    splitters = suffix_dedup.splitters_of(texts, 25, 12)
+    wanted = 12 * suffix_dedup.SAMPLED // 4
+    assert wanted < texts.select(F.xxhash64("uid").alias("h")).where(below("h", asked[0])).count() < 8 * wanted
+    # They are those of sorting all.
+    monkeypatch.setattr(suffix_dedup, "hashed_below", lambda name, share: F.lit(True))
+    assert len(splitters) == 11 and splitters == suffix_dedup.splitters_of(texts, 25, 12)
+
+
 def test_merge_of_front_coded_runs():
     rng = random.Random(14)
     for _ in range(60):

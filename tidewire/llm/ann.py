@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import bounded_batches
+from .common import bounded_batches, hashed_below
 
 #: The index is fitted on at most this many vectors, the pivots, out of a sample of four times as many; every vector
 #: is indexed. Pivots with a larger cosine than this to another are taken only if there are no others.
@@ -72,8 +72,8 @@ def _least_hashed(rows: DataFrame, most: int) -> list[list[float]]:
     hashed = rows.select("vector", F.xxhash64("vector").alias("hash"))
     share = SAMPLE_ROOM * most / max(1, rows.count())
     while True:
-        low = hashed.where(F.col("hash") < int(share * 2.0**64 - 2.0**63)) if share < 1 else hashed
-        few = low.groupBy("hash", "vector").agg(F.count("*").alias("n")).orderBy("hash").limit(most).collect()
+        low = hashed.where(hashed_below("hash", share)).groupBy("hash", "vector").agg(F.count("*").alias("n"))
+        few = low.orderBy("hash").limit(most).collect()
         before = np.cumsum([0, *(r.n for r in few)])
         if share >= 1 or before[-1] >= most:
             return [r.vector for r, n in zip(few, before) if n < most]

@@ -33,6 +33,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def hashed_below(name: str, share: float) -> Column:
+    """Whether a 64-bit hash lies in the least ``share`` of all hashes; always for 1 and more."""
+    return F.col(name) < int(share * 2.0**64 - 2.0**63) if share < 1 else F.lit(True)
+
+
 def utf8(text: str = "text") -> Column:
     """The UTF-8 bytes of a string column, NULL as no bytes."""
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))

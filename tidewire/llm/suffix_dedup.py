@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import bounded_batches, free_name, numbered, row_uid
+from .common import bounded_batches, free_name, hashed_below, numbered, row_uid
 from .parts import HASH_BITS, blocks, cut_parts, lean, mix, pack, pack_ids, unpack, unpack_ids
 
 #: Anchors that a part of the hash space has on average, and suffixes that a merged range has on average.
-PART_ANCHORS, RANGE_SUFFIXES = 300_000, 60_000
+PART_ANCHORS, RANGE_SUFFIXES = 1_000_000, 30_000
 #: Bytes of text in a block, bytes of an Arrow batch, and rows that are sent at once.
 BLOCK, ARROW_BYTES, SENT_ROWS = 3_000_000, 8_000_000, 32
 #: Splitters are chosen among so many sampled suffixes per range, by their first bytes.
@@ -100,7 +100,8 @@ class Anchors:
             hashes.append(own[at])
         place, first = np.unique(np.concatenate(places), return_index=True)
         text = np.searchsorted(ends, place, side="right")
-        return text, place - (ends - lengths)[text], np.concatenate(hashes)[first]
+        # What is least somewhere is small everywhere: mixed again, else nearly all would go to the first parts of the hash space.
+        return text, place - (ends - lengths)[text], mix(np.concatenate(hashes)[first])
 
 
 #: Makes, in a task, the function that turns a text's bytes into those that are searched.
@@ -284,7 +285,10 @@ def splitters_of(texts: DataFrame, length: int, ranges: int) -> list[bytes]:
             some = [t for t, r, n in zip(taken, rank, count) if r % max(1, -(-n // 4)) == 0]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary())], ["prefix"])
 
-    few = texts.select("raw", "anchors", F.xxhash64("uid").alias("h")).orderBy("h").limit(ranges * SAMPLED // 4)
+    # Some times as many as are wanted go by a bound of their hash: each task would else send as many whole texts.
+    wanted = ranges * SAMPLED // 4
+    near = texts.select("raw", "anchors", F.xxhash64("uid").alias("h")).where(hashed_below("h", 4 * wanted / max(1, texts.count())))
+    few = near.orderBy("h").limit(wanted)
     found = sorted(r.prefix for r in few.select("raw", "anchors").mapInArrow(work, "prefix binary").collect())
     return sorted({bytes(found[len(found) * i // ranges]) for i in range(1, ranges)}) if found else []
 
